@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding
+from . import exact_dedup, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,17 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_sharding)}
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_sharding, op6_packing)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
