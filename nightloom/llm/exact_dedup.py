@@ -97,7 +97,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     short = plain.filter(size < HUGE).select("doc_id", "text_sha256", F.lit(0).alias("chunk"), F.col("text").alias("part"))
     done = short.mapInArrow(_hash_chunks, PART).select("doc_id", "text_sha256", "n_bytes", F.col("h").alias("fp"))
     # parts of huge texts are dealt to all tasks, so that one text does not hold one task
-    parts = plain.filter(size >= HUGE).select("doc_id", "text_sha256", F.monotonically_increasing_id().alias("row"), F.posexplode(chunks("text")).alias("chunk", "part"))
+    parts = plain.filter(size >= HUGE).withColumn("row", F.monotonically_increasing_id())  # numbered before the rows become parts
+    parts = parts.select("doc_id", "text_sha256", "row", F.posexplode(chunks("text")).alias("chunk", "part"))
     parts = parts.withColumn("text_sha256", F.concat("text_sha256", F.lit(":"), "row")).drop("row").repartition("text_sha256", "chunk")
     folded = parts.mapInArrow(_hash_chunks, PART).groupBy("doc_id", "text_sha256").agg(F.sort_array(F.collect_list(F.struct("chunk", "n_bytes", "h", "b"))).alias("all"))
     prime = F.array(*[F.lit(int(p)) for p in PRIMES])
