@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding
+from . import exact_dedup, license_scan, packing, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_sharding, op6_packing)}
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
@@ -39,4 +43,5 @@ ORACLE_SQL = {
         select doc_id, min(doc_id) over (partition by x) as keep_id, count(*) over (partition by x) as group_size,
                doc_id = min(doc_id) over (partition by x) as kept, sha256(x) as text_sha256
         from t""",
+    "op8_license_scan": license_scan.oracle_sql(),
 }
