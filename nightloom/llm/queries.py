@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, license_scan, packing, sharding
+from . import exact_dedup, license_scan, packing, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +35,13 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan)}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.fold() == 0).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
