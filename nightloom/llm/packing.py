@@ -33,7 +33,7 @@ END_ID = 2
 STEP_TOKENS = 16 * 4096
 POOL = 64  # windows' worth of documents that wait in a tier
 TAILS = 64  # tasks whose tails are packed together
-CACHED = 300_000
+CACHED = 1_200_000  # words that a worker remembers, about 200 bytes each
 _WORD = re.compile(r"[^ \t\n\r\f\v]+")
 
 
@@ -56,6 +56,20 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
+        """Adds the words; one that only adds a closing mark or ASCII capitals to another is taken from that."""
+        known, base = self.known, {}
+        for w in words:
+            if w[-1] in ".," and w[-2:-1].lower().isalnum():
+                base[w] = w[:-1].lower() if w.isascii() else w[:-1], w[-1]
+            elif w.isascii() and (low := w.lower()) != w:
+                base[w] = low, ""
+        plain = {b for b, _ in base.values()} | {m for _, m in base.values() if m}
+        plain.update(w for w in words if w not in base)
+        self.encode_new([w for w in plain if w not in known])
+        for w, (b, mark) in base.items():
+            known[w] = known[b] + known[mark] if mark else known[b]
+
+    def encode_new(self, words: list[str]) -> None:
         odd = [w for w in words if "<|" in w or len(w) > 1000]
         for w in odd:
             self.known[w] = np.array(self.plain.encode(w, add_special_tokens=False).ids, np.uint32).tobytes()
