@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, license_scan, packing, sharding, toxicity
+from . import exact_dedup, html_extraction, license_scan, packing, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", toxicity.fold() == 0).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan)}
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_text(table(spark, sf_dir, "pages")).drop("host")
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan, op9_html_extraction)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
