@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_extraction, license_scan, packing, sharding, toxicity
+from . import exact_dedup, html_extraction, jaccard_join, license_scan, packing, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,7 +45,11 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.main_text(table(spark, sf_dir, "pages")).drop("host")
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op5_sharding, op6_packing, op8_license_scan, op9_html_extraction)}
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_groups(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op8_license_scan, op9_html_extraction)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
