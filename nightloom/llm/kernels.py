@@ -160,3 +160,32 @@ def edit_similar(a: str, b: str, least: float) -> float:
     most = int(longer * (1 - least) + 1e-9)
     d = edit_distance(a, b, most)
     return 1 - d / longer if d <= most else 0.0
+
+
+def edit_search(pattern: str, text: str) -> tuple[int, int]:
+    """The smallest edit distance of pattern to any part of text, and where that part ends."""
+    at = text.find(pattern)
+    if at >= 0:
+        return 0, at + len(pattern)
+    m = len(pattern)
+    peq: dict[str, int] = {}
+    for i, c in enumerate(pattern):
+        peq[c] = peq.get(c, 0) | (1 << i)
+    full, top = (1 << m) - 1, 1 << (m - 1)
+    pv, mv, score, best, end = full, 0, m, m, 0
+    for i, c in enumerate(text):
+        eq = peq.get(c, 0)
+        xv = eq | mv
+        xh = (((eq & pv) + pv) ^ pv) | eq
+        ph = mv | ~(xh | pv) & full
+        mh = pv & xh
+        if ph & top:
+            score += 1
+        elif mh & top:
+            score -= 1
+        if score < best:
+            best, end = score, i + 1
+        ph, mh = ph << 1 & full, mh << 1 & full
+        pv = mh | ~(xv | ph) & full
+        mv = ph & xv
+    return best, end
