@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_extraction, jaccard_join, license_scan, packing, sharding, toxicity
+from . import decontamination, exact_dedup, html_extraction, jaccard_join, license_scan, packing, paragraph_dedup, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,11 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction)}
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction, op10_paragraph_dedup)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
