@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_extraction, jaccard_join, license_scan, packing, paragraph_dedup, sharding, toxicity
+from . import decontamination, exact_dedup, html_extraction, jaccard_join, license_scan, line_dedup, packing, paragraph_dedup, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -57,7 +61,7 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction, op10_paragraph_dedup)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction, op10_paragraph_dedup)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
