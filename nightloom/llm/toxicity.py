@@ -202,7 +202,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFra
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in keep], flat], [*keep, "features"])
 
-    return docs.select(*keep, "text").mapInArrow(task, f"{kinds}, features array<double>")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(task, f"{kinds}, features array<double>")
 
 
 def learned_lexicon(labelled: DataFrame) -> Lexicon:
