@@ -6,10 +6,11 @@ Jaccard distance is a metric, and the join works on it in three steps:
    cell is its pivot.  Every member's exact distance to its pivots is computed.  Within eps = 1 - t of a pivot it
    belongs to the pivot's region, and a region is connected through its pivot: its inner pairs, the part that
    grows with the square of a group, are never looked at again.
-2. What lies between regions and outside of all of them is joined exactly: pairs that may reach t must share a
-   shingle among the first n - ceil(t * n) + 1 of each under one order of all shingles, rare ones first.  Texts of
-   one group never meet here.  Pairs whose known distances to a common pivot differ by more than eps are dropped
-   by the triangle inequality, all others are verified on their whole texts.
+2. What lies between regions and outside of all of them is joined exactly: pairs that may reach t must share at
+   least l shingles among the first n - ceil(t * n) + l of each under one order of all shingles, rare ones first.
+   Texts of one group never meet here.  Pairs whose known distances to a common pivot differ by more than eps are dropped
+   by the triangle inequality; so are those whose parity sketches differ in more bits than their sets may differ in
+   elements.  All others are verified on their whole texts.
 3. Regions that such a pair connects merge, by connected components.
 
 The order of shingles and the choice of pivots only steer the cost; every pair at t or above is linked or
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,34 @@ WORDS = 5
 LEAST = 75  # hundredths
 CELLS = 4
 COMMON = 200_000  # shingles at most that are ordered by their frequency
+SHARED = 6  # shingles that the prefixes of a pair must share where the larger set has LARGE or more
+LARGE, NEARLY_LARGE = 16, 12  # a set of LARGE can only link with sets of NEARLY_LARGE or more
 HELD = 1 << 22  # shingles of which a task counts the common ones at once
 SALTS = 16
 
-SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, cells array<long>, common boolean"
+SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, cells array<long>, sketch binary, common boolean"
+
+
+def parity_sketch(s: np.ndarray) -> bytes:
+    """A bit for each of 2n or more cells: whether an odd number of the n elements falls into it.
+
+    Two sets' sketches differ in at most as many bits as the sets differ in elements; a longer sketch folds onto
+    a shorter one by exclusive or of its halves.
+    """
+    m = max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64
+    odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """A lower bound of the size of the symmetric difference of two sets."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, y, bits = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(a)
+    while bits > 8 * len(b):
+        bits //= 2
+        x = (x >> bits) ^ (x & ((1 << bits) - 1))
+    return (x ^ y).bit_count()
 
 
 def _signatures(k: int):
@@ -52,23 +78,24 @@ def _signatures(k: int):
             x, n = np.unique(np.concatenate(held), return_counts=True)
             ok = n >= max(3, docs // 256)
             none = pa.nulls(int(ok.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(n[ok]), pa.array(x[ok].view(np.int64)), none, pa.nulls(int(ok.sum()), pa.list_(pa.int64())), pa.array(np.ones(int(ok.sum()), bool))], names)
+            return pa.RecordBatch.from_arrays([none, pa.array(n[ok]), pa.array(x[ok].view(np.int64)), none, pa.nulls(int(ok.sum()), pa.list_(pa.int64())), pa.nulls(int(ok.sum()), pa.binary()), pa.array(np.ones(int(ok.sum()), bool))], names)
 
-        names = ["doc_id", "n_shingles", "k1", "k2", "cells", "common"]
+        names = ["doc_id", "n_shingles", "k1", "k2", "cells", "sketch", "common"]
         seeds = mix(np.arange(1, CELLS + 1, dtype=np.uint64) * np.uint64(0x51ED270B))
         for batch in batches:
-            n, keys, cells = [], [], []
+            n, keys, cells, sketches = [], [], [], []
             for s in shingle_sets(batch["text"], k):
                 n.append(len(s))
                 keys.append(set_key(s) if len(s) else (0, 0))
                 cells.append([int(mix(s ^ seed).min().view(np.int64)) for seed in seeds] if len(s) else [])
+                sketches.append(parity_sketch(s))
                 held.append(s)
                 size += len(s)
                 docs += 1
                 if size >= HELD:
                     yield common()
                     held, size, docs = [], 0, 0
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(np.zeros(len(n), bool))], names)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(np.zeros(len(n), bool))], names)
         if held:
             yield common()
 
@@ -86,7 +113,7 @@ def _prefixes(k: int, least: int, common: np.ndarray, rank: np.ndarray):
                 n = len(s)
                 if not n:
                     continue
-                need = n - (n * least + 99) // 100 + 1
+                need = min(n, n - (n * least + 99) // 100 + (SHARED if n >= NEARLY_LARGE else 1))
                 if len(common):
                     where = np.minimum(np.searchsorted(common, s), len(common) - 1)
                     often = common[where] == s
@@ -104,23 +131,24 @@ def _prefixes(k: int, least: int, common: np.ndarray, rank: np.ndarray):
             if not token:
                 continue
             at = np.concatenate(at)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(shape)), pa.array(roots[at])], ["token", "doc_id", "shape", "root"])
+            root = pa.array(roots[at], mask=roots[at] == ids[at])  # null where a text stands alone
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(shape)), root], ["token", "doc_id", "shape", "root"])
 
     return task
 
 
 def _met(least: int):
-    """Pairs (a, b) of one partition's rows that share a token and may reach the threshold, each once."""
+    """(a, b, shared, needed): how many tokens each pair that may reach the threshold shares in this partition."""
 
     def possible(x, y, n, place, index, root):
         """x is the smaller of each pair: size and place bounds, different roots."""
         both = n[x] + n[y]
-        alpha = -((-least * both) // (100 + least))
+        alpha = -((-least * both) // (100 + least)) - np.where(n[y] >= LARGE, SHARED - 1, 0)
         left = np.minimum(n[x] - place[x], n[y] - place[y])
         return (100 * n[x] >= least * n[y]) & index[x] & (left >= alpha) & (root[x] != root[y])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[batch[c].to_numpy() for c in ("token", "doc_id", "shape", "root")] for batch in batches]
+        parts = [[batch[c].to_numpy() for c in ("token", "doc_id", "shape")] + [pc.coalesce(batch["root"], batch["doc_id"]).to_numpy()] for batch in batches]
         if not parts:
             return
         token, doc, shape, root = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -129,7 +157,7 @@ def _met(least: int):
         order = np.lexsort((doc, n, token))
         token, doc, n, place, root = (x[order] for x in (token, doc, n, place, root))
         need = -((-2 * least * n) // (100 + least))  # the common part of a set and a larger one
-        index = place < n - need + 1
+        index = place < n - need + np.where(n >= NEARLY_LARGE, SHARED, 1)
         begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         length = np.diff(np.append(begin, len(token)))
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -160,11 +188,16 @@ def _met(least: int):
                     found.append((small[ok], large[ok]))
         if not found:
             return
-        x, y = (doc[np.concatenate(z)] for z in zip(*found, strict=True))
-        pairs = np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
-        if len(pairs):
-            pairs = np.unique(pairs, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"])
+        x, y = (np.concatenate(z) for z in zip(*found, strict=True))
+        if not len(x):
+            return
+        needed = np.where(n[y] >= LARGE, SHARED, 1)
+        x, y = doc[x], doc[y]
+        a, b = np.minimum(x, y), np.maximum(x, y)
+        order = np.lexsort((b, a))
+        a, b, needed = a[order], b[order], needed[order]
+        first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(np.diff(np.append(first, len(a)))), pa.array(needed[first])], ["a", "b", "shared", "needed"])
 
     return task
 
@@ -184,6 +217,23 @@ def _overlaps(k: int):
     return task
 
 
+def _may_link(least: int):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = (batch["n_a"].to_numpy() + batch["n_b"].to_numpy()) * (100 - least) // (100 + least)
+            ok = [sketch_distance(a, b) <= most for a, b, most in zip(batch["sketch_a"].to_pylist(), batch["sketch_b"].to_pylist(), n.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return task
+
+
+def may_link(pairs: DataFrame, sketches: DataFrame, least: int = LEAST) -> DataFrame:
+    """The pairs (a, b) that the sketches (id, n, sketch) of their sets do not rule out."""
+    one = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(_may_link(least), "a long, b long").distinct()
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
     """(a, b, common, total) for pairs (a, b) of keys of texts (doc_id, text); sizes of intersection and union.
 
@@ -203,9 +253,9 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     work = Workspace(spark, "jaccard")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = work.keep(plain.mapInArrow(_signatures(k), SIGNED), "signatures")
-    rows = signed.filter("not common").select("doc_id", "n_shingles", "k1", "k2", "cells")
+    rows = signed.filter("not common").drop("common")
     # texts of equal sets are one class, whose smallest document stands for it
-    classes = rows.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells"))
+    classes = rows.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     classes = work.keep(classes, "classes")
     reps = classes.filter("rep is not null")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -218,7 +268,8 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     members = reps.select("rep", F.posexplode("cells").alias("hash", "cell"))
     cells = members.groupBy("hash", "cell").agg(F.min("rep").alias("pivot"), F.count("*").alias("size")).filter("size > 1")
     stars = members.join(cells, ["hash", "cell"]).filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    distances = work.keep(overlaps(stars, texts, k), "distances")
+    sketches = reps.select(F.col("rep").alias("id"), "n", "sketch")
+    distances = work.keep(overlaps(may_link(stars, sketches, least), texts, k), "distances")
     near = F.lit(100) * F.col("common") >= F.lit(least) * F.col("total")
     inner = distances.filter(near).select("a", "b")
     regions = work.keep(components(inner, work), "regions")
@@ -231,7 +282,8 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     order = np.argsort(common)
     rooted = texts.join(regions, texts["doc_id"] == regions["id"], "left").select("doc_id", "text", F.coalesce("root", "doc_id").alias("root"))
     prefixes = rooted.mapInArrow(_prefixes(k, least, common[order], rank[order]), "token long, doc_id long, shape long, root long")
-    pairs = prefixes.repartition(width, "token").mapInArrow(_met(least), "a long, b long").distinct()
+    pairs = prefixes.repartition(width, "token").mapInArrow(_met(least), "a long, b long, shared long, needed long")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")).filter("shared >= needed").select("a", "b")
     pairs = work.keep(pairs, "pairs")
     # windows: a pivot that is nearer to one of the two by more than eps keeps them apart
     far = distances.select(F.col("a").alias("pivot"), F.col("b").alias("member"), (1 - F.col("common") / F.col("total")).alias("d"))
@@ -239,7 +291,7 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     apart = apart.filter(F.abs(F.col("d_a") - F.col("d_b")) > 1 - least / 100 + 1e-9).select("a", "b").distinct()
     known = distances.select("a", "b").union(distances.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = pairs.join(apart.union(known).distinct(), ["a", "b"], "left_anti")
-    outer = work.keep(overlaps(pairs, texts, k).filter(near).select("a", "b"), "links")
+    outer = work.keep(overlaps(may_link(pairs, sketches, least), texts, k).filter(near).select("a", "b"), "links")
 
     placed = rows.join(classes.select("k1", "k2", "rep"), ["k1", "k2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"))
     placed = work.keep(placed, "placed")
