@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import time_joins
+from . import selections, time_joins
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _part in (time_joins,):
+for _part in (time_joins, selections):
     QUERIES |= _part.Q.queries
     ORACLE_SQL |= _part.Q.oracles
