@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import selections, spectrum_queries, stat_queries, time_joins
+from . import selections, spectrum_queries, stat_queries, stream_queries, time_joins
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _part in (time_joins, selections, stat_queries, spectrum_queries):
+for _part in (time_joins, selections, stat_queries, spectrum_queries, stream_queries):
     QUERIES |= _part.Q.queries
     ORACLE_SQL |= _part.Q.oracles
