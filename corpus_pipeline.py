@@ -18,8 +18,8 @@ from nightloom.llm.workspace import Workspace
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    return toxicity.score(docs, model, others).filter("predicted = 0").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))  # whatever the other columns are called
+    return toxicity.score(rows, model, ("row",)).filter("predicted = 0").select("row.*")
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
