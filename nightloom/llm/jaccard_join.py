@@ -24,6 +24,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +40,14 @@ from .workspace import Workspace
 WORDS = 5
 LEAST = 75  # hundredths
 CELLS = 4
-COMMON = 200_000  # shingles at most that are ordered by their frequency
+COUNTERS = 1 << 22  # cells in which all shingles of all texts are counted, for the order
+COUNT_BLOCK = 1 << 16
 SHARED = 6  # shingles that the prefixes of a pair must share where the larger set has LARGE or more
 LARGE, NEARLY_LARGE = 16, 12  # a set of LARGE can only link with sets of NEARLY_LARGE or more
-HELD = 1 << 22  # shingles of which a task counts the common ones at once
+HELD = 1 << 21  # shingles that a task counts at once
 SALTS = 16
 
-SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, cells array<long>, sketch binary, common boolean"
+SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, cells array<long>, sketch binary, block int"
 
 
 def parity_sketch(s: np.ndarray) -> bytes:
@@ -71,17 +73,13 @@ def sketch_distance(a: bytes, b: bytes) -> int:
 
 
 def _signatures(k: int):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, docs = [], 0, 0
-
-        def common():
-            x, n = np.unique(np.concatenate(held), return_counts=True)
-            ok = n >= max(3, docs // 256)
-            none = pa.nulls(int(ok.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(n[ok]), pa.array(x[ok].view(np.int64)), none, pa.nulls(int(ok.sum()), pa.list_(pa.int64())), pa.nulls(int(ok.sum()), pa.binary()), pa.array(np.ones(int(ok.sum()), bool))], names)
+    """A row for each text, and from each task the blocks of its counters (block is null for texts)."""
 
-        names = ["doc_id", "n_shingles", "k1", "k2", "cells", "sketch", "common"]
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_shingles", "k1", "k2", "cells", "sketch", "block"]
         seeds = mix(np.arange(1, CELLS + 1, dtype=np.uint64) * np.uint64(0x51ED270B))
+        counts = np.zeros(COUNTERS, np.uint32)
+        held, size = [], 0
         for batch in batches:
             n, keys, cells, sketches = [], [], [], []
             for s in shingle_sets(batch["text"], k):
@@ -91,52 +89,101 @@ def _signatures(k: int):
                 sketches.append(parity_sketch(s))
                 held.append(s)
                 size += len(s)
-                docs += 1
                 if size >= HELD:
-                    yield common()
-                    held, size, docs = [], 0, 0
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(np.zeros(len(n), bool))], names)
+                    counts += np.bincount((np.concatenate(held) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+                    held, size = [], 0
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.nulls(len(n), pa.int32())], names)
         if held:
-            yield common()
+            counts += np.bincount((np.concatenate(held) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
+        blocks = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(-1, COUNT_BLOCK) if x.any()]
+        at = [i for i, x in enumerate(counts.reshape(-1, COUNT_BLOCK)) if x.any()]
+        none = pa.nulls(len(at), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(at), pa.list_(pa.int64())), pa.array(blocks, pa.binary()), pa.array(at, pa.int32())], names)
 
     return task
 
 
-def _prefixes(k: int, least: int, common: np.ndarray, rank: np.ndarray):
-    """Rows (token, doc_id, shape, root): shape is set size << 32 | place in the order."""
+def _summed(table: pa.Table) -> pa.Table:
+    total = np.zeros(COUNT_BLOCK, np.uint32)
+    for x in table["sketch"]:
+        total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
+    return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "sketch": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+
+
+def shingle_counts(signed: DataFrame) -> np.ndarray:
+    """COUNTERS counts over all texts: each shingle's cell holds its frequency and that of those it shares it with.
+
+    The tasks' blocks are summed in two rounds, and what reaches the driver has the counters' size whatever is read.
+    """
+    blocks = signed.filter("block is not null").select("block", "sketch").withColumn("part", F.pmod(F.xxhash64("sketch"), F.lit(SALTS)))
+    once = blocks.groupBy("block", "part").applyInArrow(_summed, "block int, sketch binary")
+    counts = np.zeros((COUNTERS // COUNT_BLOCK, COUNT_BLOCK), np.uint32)
+    for r in once.groupBy("block").applyInArrow(_summed, "block int, sketch binary").collect():
+        counts[r["block"]] = np.frombuffer(zlib.decompress(bytes(r["sketch"])), np.uint32)
+    return counts.ravel()
+
+
+PREFIX = "token long, doc_id long, shape long, root long, sketch binary"
+
+
+def _prefixes(k: int, least: int, counts):
+    """Rows of PREFIX: shape is set size << 32 | place in the order, rare shingles first.
+
+    Rows of shingles that are far more frequent than a counter's share of all shingles carry the set's sketch.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often_from = 4 * int(counts.value.mean()) + 16
         for batch in batches:
             ids, roots = batch["doc_id"].to_numpy(), batch["root"].to_numpy()
-            token, at, shape = [], [], []
+            token, at, shape, which, sketches = [], [], [], [], []
             for i, s in enumerate(shingle_sets(batch["text"], k)):
                 n = len(s)
                 if not n:
                     continue
                 need = min(n, n - (n * least + 99) // 100 + (SHARED if n >= NEARLY_LARGE else 1))
-                if len(common):
-                    where = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    often = common[where] == s
-                    rare = s[~often]
-                    first = rare[:need]
-                    if len(first) < need:
-                        late = np.flatnonzero(often)
-                        late = late[np.argsort(rank[where[late]], kind="stable")]
-                        first = np.concatenate([first, s[late[: need - len(first)]]])
-                else:
-                    first = s[:need]
-                token.append(first)
-                at.append(np.full(len(first), i))
-                shape.append((n << 32) + np.arange(len(first), dtype=np.int64))
+                often = np.minimum(counts.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64)
+                first = np.argsort((often << np.uint64(44)) | (s >> np.uint64(20)), kind="stable")[:need]
+                known = np.where(often[first] >= often_from, len(sketches), -1)
+                if (known >= 0).any():
+                    sketches.append(parity_sketch(s))
+                token.append(s[first])
+                at.append(np.full(need, i))
+                shape.append((n << 32) + np.arange(need, dtype=np.int64))
+                which.append(known)
             if not token:
                 continue
-            at = np.concatenate(at)
+            at, which = np.concatenate(at), np.concatenate(which)
             root = pa.array(roots[at], mask=roots[at] == ids[at])  # null where a text stands alone
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(shape)), root], ["token", "doc_id", "shape", "root"])
+            sketch = pa.array(sketches, pa.binary()).take(pa.array(which, mask=which < 0))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(token).view(np.int64)), pa.array(ids[at]), pa.array(np.concatenate(shape)), root, sketch], ["token", "doc_id", "shape", "root", "sketch"])
 
     return task
 
 
+class Sketches:
+    """Lower bounds of the set differences of the rows of one long list, by their sketches."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.size = np.array([len(x) for x in sketches])
+        self.rows = {}
+        for c in np.unique(self.size).tolist():
+            at = np.flatnonzero(self.size >= c)
+            place = np.full(len(sketches), -1)
+            place[at] = np.arange(len(at))
+            folded = [np.bitwise_xor.reduce(np.frombuffer(sketches[i], np.uint8).reshape(-1, c), axis=0) for i in at]
+            self.rows[c] = place, np.stack(folded).view(np.uint64)
+
+    def distance(self, i: int, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(j), np.int64)
+        size = np.minimum(self.size[i], self.size[j])
+        for c in np.unique(size).tolist():
+            mine = size == c
+            place, bits = self.rows[c]
+            out[mine] = np.bitwise_count(bits[place[j[mine]]] ^ bits[place[i]]).sum(axis=1)
+        return out
+
+
 def _met(least: int):
     """(a, b, shared, needed): how many tokens each pair that may reach the threshold shares in this partition."""
 
@@ -148,14 +195,19 @@ def _met(least: int):
         return (100 * n[x] >= least * n[y]) & index[x] & (left >= alpha) & (root[x] != root[y])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[batch[c].to_numpy() for c in ("token", "doc_id", "shape")] + [pc.coalesce(batch["root"], batch["doc_id"]).to_numpy()] for batch in batches]
+        parts, carried = [], []
+        for batch in batches:
+            parts.append([batch[c].to_numpy() for c in ("token", "doc_id", "shape")] + [pc.coalesce(batch["root"], batch["doc_id"]).to_numpy()])
+            carried.append(batch["sketch"])
         if not parts:
             return
+        carried = pa.chunked_array(carried)
         token, doc, shape, root = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
         n, place = shape >> 32, shape & 0xFFFFFFFF
         order = np.lexsort((doc, n, token))
         token, doc, n, place, root = (x[order] for x in (token, doc, n, place, root))
+        largest_difference = lambda x, y: (n[x] + n[y]) * (100 - least) // (100 + least)
         need = -((-2 * least * n) // (100 + least))  # the common part of a set and a larger one
         index = place < n - need + np.where(n >= NEARLY_LARGE, SHARED, 1)
         begin = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
@@ -179,11 +231,16 @@ def _met(least: int):
             if len(kinds) == 1:
                 continue
             largest = kinds[count.argmax()]
+            sketches = carried.take(pa.array(order[b : b + m])).to_pylist()
+            sketches = None if any(x is None for x in sketches) else Sketches(sketches)
             for i in (np.flatnonzero(r != largest) + b).tolist():  # at least one of two different roots is not the largest
                 j = np.arange(b, b + m)
                 j = j[(r == largest) | (j > i)]
                 small, large = np.minimum(i, j), np.maximum(i, j)
                 ok = (small != large) & possible(small, large, n, place, index, root)
+                if sketches is not None and ok.any():
+                    small, large, j = small[ok], large[ok], j[ok]
+                    ok = sketches.distance(i - b, j - b) <= largest_difference(small, large)
                 if ok.any():
                     found.append((small[ok], large[ok]))
         if not found:
@@ -253,7 +310,7 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     work = Workspace(spark, "jaccard")
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = work.keep(plain.mapInArrow(_signatures(k), SIGNED), "signatures")
-    rows = signed.filter("not common").drop("common")
+    rows = signed.filter("block is null").drop("block")
     # texts of equal sets are one class, whose smallest document stands for it
     classes = rows.filter("n_shingles > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("cells").alias("cells"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     classes = work.keep(classes, "classes")
@@ -274,14 +331,9 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     inner = distances.filter(near).select("a", "b")
     regions = work.keep(components(inner, work), "regions")
 
-    total = rows.count()
-    often = signed.filter("common").groupBy("k1").agg(F.sum("n_shingles").alias("n")).filter(F.col("n") >= max(3, total // 1024))
-    often = often.orderBy(F.desc("n"), "k1").limit(COMMON).collect()  # COMMON rows at most
-    common = np.array([r["k1"] for r in often], np.int64).view(np.uint64)
-    rank = np.array([r["n"] for r in often], np.int64)
-    order = np.argsort(common)
+    counts = spark.sparkContext.broadcast(shingle_counts(signed))  # COUNTERS counters
     rooted = texts.join(regions, texts["doc_id"] == regions["id"], "left").select("doc_id", "text", F.coalesce("root", "doc_id").alias("root"))
-    prefixes = rooted.mapInArrow(_prefixes(k, least, common[order], rank[order]), "token long, doc_id long, shape long, root long")
+    prefixes = rooted.mapInArrow(_prefixes(k, least, counts), PREFIX)
     pairs = prefixes.repartition(width, "token").mapInArrow(_met(least), "a long, b long, shared long, needed long")
     pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")).filter("shared >= needed").select("a", "b")
     pairs = work.keep(pairs, "pairs")
