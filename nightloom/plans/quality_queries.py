@@ -15,16 +15,16 @@ from ._common import Queries, table
 Q = Queries()
 
 OBS_SQL = """(select o_orderkey as obs, case o_orderpriority[1] when '1' then 'L0' when '2' then '2D' when '3' then 'L1' else 'L2' end as level, case when o_orderstatus = 'F' then 'Flat' when o_orderstatus = 'O' then 'Star' else 'LFC' end as source,
-      count(l_orderkey) as n_lines, max(l_extendedprice) as peak, quantile_cont(l_extendedprice, 0.95) as p95, avg(l_discount) as dark, sum(l_quantity) as exposure, min(l_tax) as temperature, coalesce(date_diff('day', cast(o_orderdate as date), cast(min(l_shipdate) as date)), -99) as age,
-      avg(case when l_discount < 0.01 then 1.0 when l_discount is not null then 0.0 end) as negative, list_sort(list(distinct l_returnflag)) as products
+      count(l_orderkey) as n_lines, max(l_extendedprice) as peak, quantile_cont(l_extendedprice, 0.95) as p95, round(avg(l_discount), 9) as dark, sum(l_quantity) as exposure, min(l_tax) as temperature, coalesce(date_diff('day', cast(o_orderdate as date), cast(min(l_shipdate) as date)), -99) as age,
+      round(avg(case when l_discount < 0.01 then 1.0 when l_discount is not null then 0.0 end), 9) as negative, list_sort(list(distinct l_returnflag)) as products
     from orders left join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_orderpriority, o_orderstatus, o_orderdate)"""
 
 
 def measured(spark, sf_dir):
     """Orders as observations with what their lines measure, one partial aggregation."""
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("obs")).agg(
-        F.count("*").alias("n_lines"), F.max("l_extendedprice").alias("peak"), F.percentile("l_extendedprice", F.lit(0.95)).alias("p95"), F.avg("l_discount").alias("dark"), F.sum("l_quantity").alias("exposure"), F.min("l_tax").alias("temperature"),
-        F.min("l_shipdate").alias("first_ship"), F.avg(F.when(F.col("l_discount") < 0.01, 1.0).otherwise(0.0)).alias("negative"), F.sort_array(F.collect_set("l_returnflag")).alias("products"),
+        F.count("*").alias("n_lines"), F.max("l_extendedprice").alias("peak"), F.percentile("l_extendedprice", F.lit(0.95)).alias("p95"), F.round(F.avg("l_discount"), 9).alias("dark"), F.sum("l_quantity").alias("exposure"), F.min("l_tax").alias("temperature"),
+        F.min("l_shipdate").alias("first_ship"), F.round(F.avg(F.when(F.col("l_discount") < 0.01, 1.0).otherwise(0.0)), 9).alias("negative"), F.sort_array(F.collect_set("l_returnflag")).alias("products"),
     )
     first = F.substring("o_orderpriority", 1, 1)
     level = F.when(first == "1", "L0").when(first == "2", "2D").when(first == "3", "L1").otherwise("L2")
