@@ -108,3 +108,18 @@ def by_quadrant(row: Column, col: Column, half_rows: int, half_cols: int, values
     """The value of the amplifier that reads a pixel: lower left, lower right, upper left, upper right."""
     low_left, low_right, up_left, up_right = map(F.lit, values)
     return F.when(row < half_rows, F.when(col < half_cols, low_left).otherwise(low_right)).otherwise(F.when(col < half_cols, up_left).otherwise(up_right))
+
+
+def sun_altitude(ts: Column, latitude: float, longitude: float) -> Column:
+    """Altitude of the sun in degrees by the low-precision formulas of the Astronomical Almanac (about 0.01 degrees)."""
+    n = mjd(ts) - 51544.5
+    mean = F.radians(280.460 + 0.9856474 * n)
+    anomaly = F.radians(357.528 + 0.9856003 * n)
+    ecliptic = mean + F.radians(1.915 * F.sin(anomaly) + 0.020 * F.sin(2 * anomaly))
+    tilt = F.radians(23.439 - 0.0000004 * n)
+    declination = F.asin(F.sin(tilt) * F.sin(ecliptic))
+    ascension = F.atan2(F.cos(tilt) * F.sin(ecliptic), F.cos(ecliptic))
+    sidereal = F.radians(280.46061837 + 360.98564736629 * n + longitude)
+    hour = sidereal - ascension
+    lat = F.radians(F.lit(latitude))
+    return F.degrees(F.asin(F.sin(lat) * F.sin(declination) + F.cos(lat) * F.cos(declination) * F.cos(hour)))

@@ -142,3 +142,30 @@ def sliding_quadratic(df: DataFrame, at_seconds: str, value: str, width: int, sl
     s = s.withColumns({"p0": p0, "p1": p1, "p2": p2})
     residual = c["yy"] - F.col("p0") * c["y0"] - F.col("p1") * c["y1"] - F.col("p2") * c["y2"]
     return s.select("window_start", c["n"].cast("long").alias("n"), (residual / F.nullif(c["y0"] / c["n"], F.lit(0.0))).alias("quality"))
+
+
+def photon_midpoint(df: DataFrame, by: list[str], begin: str, end: str, value: str) -> DataFrame:
+    """Time at which half of a group's photons have come, linear within the exposure that holds it."""
+    rows = cumulative_with_gaps(df, by, begin, end, value).withColumn("_half", F.max("total").over(Window.partitionBy(*by)) / 2)
+    inside = rows.filter((F.col("total") >= F.col("_half")) & (F.col("total") - F.col(value) <= F.col("_half")))
+    part = (F.col("_half") - (F.col("total") - F.col(value))) / F.nullif(F.col(value), F.lit(0.0))
+    return inside.groupBy(*by).agg(F.min(F.col(begin) + part * (F.col(end) - F.col(begin))).alias("midpoint"))
+
+
+def spacing_outliers(df: DataFrame, by: list[str], order: list[str], value: str, half: int, share: float) -> DataFrame:
+    """Rows whose step to the next differs by more than a share from the median step of the neighbourhood."""
+    w = ordered(by, order)
+    rows = df.withColumn("_step", F.lead(value).over(w) - F.col(value))
+    rows = rows.withColumn("_usual", F.percentile("_step", F.lit(0.5)).over(w.rowsBetween(-half, half)))
+    return rows.filter(F.abs(F.col("_step") - F.col("_usual")) > F.lit(share) * F.abs("_usual")).drop("_usual").withColumnRenamed("_step", "step")
+
+
+def without_close_neighbours(df: DataFrame, by: list[str], value: str, window: float, rank: Column) -> DataFrame:
+    """Of two neighbours closer than a window only the one of lower rank (then lower value) stays."""
+    w = Window.partitionBy(*by).orderBy(value, rank)
+    rows = df.withColumn("_r", rank)
+    prior, later = F.struct(F.lag("_r").over(w).alias("r"), F.lag(value).over(w).alias("v")), F.struct(F.lead("_r").over(w).alias("r"), F.lead(value).over(w).alias("v"))
+    rows = rows.withColumns({"_p": prior, "_l": later})
+    beaten_by_prior = (F.col(value) - F.col("_p.v") < window) & (F.col("_p.r") <= F.col("_r"))
+    beaten_by_later = (F.col("_l.v") - F.col(value) < window) & (F.col("_l.r") < F.col("_r"))
+    return rows.filter(~F.coalesce(beaten_by_prior, F.lit(False)) & ~F.coalesce(beaten_by_later, F.lit(False))).drop("_p", "_l", "_r")

@@ -148,3 +148,20 @@ def states(df: DataFrame, c: str, by: str) -> DataFrame:
     """A number per distinct state in their order, for plots of states over time."""
     known = df.select(c).distinct().withColumn("state", F.dense_rank().over(Window.orderBy(c)))  # distinct states, a handful
     return df.join(F.broadcast(known), c).select(by, c, "state")
+
+
+def bootstrap_median(df: DataFrame, by: list[str], value: str, key: str, rounds: int) -> DataFrame:
+    """Standard deviation of the median over half samples; a row's part in a round follows from its key alone."""
+    rounds_of = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))
+    rows = df.select(*by, key, value, rounds_of.alias("_round"))
+    code = ((F.col(key) * 7919 + F.col("_round") * 104729) * 2654435761) % 4294967296
+    half = rows.filter(code < 2147483648)
+    medians = half.groupBy(*by, "_round").agg(F.median(value).alias("_m"))
+    return medians.groupBy(*by).agg(F.stddev_pop("_m").alias("uncertainty"), F.count("*").alias("rounds"))
+
+
+def line_fit(df: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
+    """Slope, intercept and root mean square residual of a straight line per group, from sums alone."""
+    s = df.groupBy(*by).agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.regr_sxx(y, x).alias("_xx"), F.regr_syy(y, x).alias("_yy"), F.count("*").alias("n"))
+    left = F.greatest(F.col("_yy") - F.col("slope") * F.col("slope") * F.col("_xx"), F.lit(0.0))
+    return s.select(*by, "slope", "intercept", F.sqrt(left / F.col("n")).alias("rms"), "n")
