@@ -69,5 +69,14 @@ ORACLE_SQL = {
         select doc_id, min(doc_id) over (partition by x) as keep_id, count(*) over (partition by x) as group_size,
                doc_id = min(doc_id) over (partition by x) as kept, sha256(x) as text_sha256
         from t""",
+    "op4_ngram_jaccard_join": """
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+        s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from w),
+        n as (select doc_id, count(*) as n from s group by 1),
+        c as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+        l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+        e as (select a, b from l union all select b, a from l),
+        r(doc_id, reached) as (select doc_id, doc_id from documents union select r.doc_id, e.b from r join e on r.reached = e.a)
+        select r.doc_id, coalesce(max(n), 0) as n_shingles, min(reached) as component_id from r left join n on n.doc_id = r.doc_id group by 1""",
     "op8_license_scan": license_scan.oracle_sql(),
 }
