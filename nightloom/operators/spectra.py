@@ -170,3 +170,63 @@ def sliding_clipped_mean(pixels: DataFrame, by: list[str], at: str, value: str,
     middle, spread = F.get("_p", F.lit(1)), (F.get("_p", F.lit(2)) - F.get("_p", F.lit(0))) / 2
     kept = F.filter("_all", lambda x: F.abs(x - middle) <= F.lit(n_sigma) * spread)
     return p.select(*by, at, (F.aggregate(kept, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(kept), F.lit(0))).alias(value))
+
+
+def repaired(pixels: DataFrame, by: list[str], at: str, value: str) -> DataFrame:
+    """NaN and null values replaced on the line between their nearest good neighbours; at the ends by the nearest one."""
+    good = F.when(finite(F.col(value)).isNotNull(), F.struct(F.col(at).alias("x"), F.col(value).alias("y")))
+    w = Window.partitionBy(*by).orderBy(at)
+    rows = pixels.withColumns({"_b": F.last(good, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first(good, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    line = F.col("_b.y") + (F.col(at) - F.col("_b.x")) / F.nullif(F.col("_a.x") - F.col("_b.x"), F.lit(0)) * (F.col("_a.y") - F.col("_b.y"))
+    out = F.when(F.col("_b").isNull(), F.col("_a.y")).when(F.col("_a").isNull() | (F.col("_a.x") == F.col("_b.x")), F.col("_b.y")).otherwise(line)
+    return rows.withColumn(value, out).drop("_b", "_a")
+
+
+def dilated(pixels: DataFrame, by: list[str], at: str, flag: str, reach: int) -> DataFrame:
+    """A flag spread to so many neighbours on either side."""
+    w = Window.partitionBy(*by).orderBy(at).rangeBetween(-reach, reach)
+    return pixels.withColumn(flag, F.bool_or(flag).over(w))
+
+
+def good_pixels(pixels: DataFrame, by: list[str], value: str, n_sigma: float) -> DataFrame:
+    """Whether each pixel is finite and within n robust sigmas (1.4826 median absolute deviations) of its group."""
+    x = pixels.withColumn("_x", finite(F.col(value)))
+    m = x.groupBy(*by).agg(F.median("_x").alias("_m"))
+    x = x.join(m, by)
+    s = x.groupBy(*by).agg(F.median(F.abs(F.col("_x") - F.col("_m"))).alias("_s"))
+    good = F.coalesce(F.abs(F.col("_x") - F.col("_m")) < F.lit(n_sigma * 1.4826) * F.col("_s"), F.lit(False))
+    return x.join(s, by).withColumn("good", good).drop("_x", "_m", "_s")
+
+
+def peak_of(correlation: DataFrame, by: list[str]) -> DataFrame:
+    """Lag of the highest correlation, to a fraction of a place by the parabola through it and its neighbours."""
+    w = Window.partitionBy(*by).orderBy("lag")
+    rows = correlation.withColumns({"_b": F.lag("correlation").over(w), "_a": F.lead("correlation").over(w)})
+    top = rows.groupBy(*by).agg(F.max_by(F.struct("lag", "_b", "_a", "correlation"), F.struct("correlation", -F.col("lag"))).alias("t"))
+    bend = F.col("t._b") - 2 * F.col("t.correlation") + F.col("t._a")
+    return top.select(*by, (F.col("t.lag") + F.coalesce((F.col("t._b") - F.col("t._a")) / (2 * F.nullif(bend, F.lit(0.0))), F.lit(0.0))).alias("shift"))
+
+
+def bisector_span(ccf: DataFrame, by: list[str], upper: tuple[float, float], lower: tuple[float, float]) -> DataFrame:
+    """Difference of the mean velocities of the points between two ranges of depth, the shallow less the deep one."""
+    ends = ccf.groupBy(*by).agg(F.min("ccf").alias("_lo"), F.max("ccf").alias("_hi"))
+    depth = (F.col("_hi") - F.col("ccf")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+    rows = ccf.join(ends, by).withColumn("_d", depth)
+    mean = lambda r: F.avg(F.when(F.col("_d").between(*r), F.col("velocity")))
+    return rows.groupBy(*by).agg((mean(upper) - mean(lower)).alias("span"))
+
+
+def velocity_precision(residuals: DataFrame, by: list[str], wave: str, residual: str, light: float) -> DataFrame:
+    """Scatter of wavelength residuals as a velocity, over the root of their number."""
+    v = F.col(residual) / F.col(wave) * F.lit(light)
+    return residuals.groupBy(*by).agg((F.stddev_pop(v) / F.sqrt(F.count(residual))).alias("precision"), F.count(residual).alias("n"))
+
+
+def pixel_drift(a: DataFrame, b: DataFrame, by: list[str], light: float) -> DataFrame:
+    """Median velocity of the drift in pixels between two solutions with the same wavelengths (by, wave, pixel)."""
+    w = Window.partitionBy(*by).orderBy("wave")
+    one = a.withColumn("_slope", (F.col("wave") - F.lag("wave").over(w)) / F.nullif(F.col("pixel") - F.lag("pixel").over(w), F.lit(0.0)))
+    both = one.join(b.select(*by, "wave", F.col("pixel").alias("_p")), [*by, "wave"])
+    alpha = (F.col("_p") - F.col("pixel")) * F.col("_slope") / F.col("wave")
+    v = (alpha * alpha + 2 * alpha) / (alpha * alpha + 2 * alpha + 2) * F.lit(light)
+    return both.groupBy(*by).agg(F.median(v).alias("drift"))
