@@ -67,6 +67,8 @@ def components(edges: DataFrame, work: Workspace, most: int = 60) -> DataFrame:
         now = new
         n, total = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, total) == mark:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+            out = now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+            out._nightloom_path = now._nightloom_path
+            return out
         mark = n, total
     raise RuntimeError(f"components did not settle in {most} rounds")

@@ -45,18 +45,19 @@ COUNT_BLOCK = 1 << 16
 SHARED = 6  # shingles that the prefixes of a pair must share where the larger set has LARGE or more
 LARGE, NEARLY_LARGE = 16, 12  # a set of LARGE can only link with sets of NEARLY_LARGE or more
 HELD = 1 << 21  # shingles that a task counts at once
+CARRIED = 1024  # shingles of a set up to which its sketch, of 512 bytes at most, travels with its frequent shingles
 SALTS = 16
 
 SIGNED = "doc_id long, n_shingles long, k1 long, k2 long, cells array<long>, sketch binary, block int"
 
 
-def parity_sketch(s: np.ndarray) -> bytes:
-    """A bit for each of 2n or more cells: whether an odd number of the n elements falls into it.
+def parity_sketch(s: np.ndarray, cells: int = 2) -> bytes:
+    """A bit for each of cells * n cells or more: whether an odd number of the n elements falls into it.
 
-    Two sets' sketches differ in at most as many bits as the sets differ in elements; a longer sketch folds onto
+    More cells rule out more pairs that only just miss the threshold.  Two sets' sketches differ in at most as many bits as the sets differ in elements; a longer sketch folds onto
     a shorter one by exclusive or of its halves.
     """
-    m = max(64, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64
+    m = max(64, 1 << (cells * len(s) - 1).bit_length()) if len(s) else 64
     odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -134,7 +135,7 @@ def _prefixes(k: int, least: int, counts):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often_from = 4 * int(counts.value.mean()) + 16
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             ids, roots = batch["doc_id"].to_numpy(), batch["root"].to_numpy()
             token, at, shape, which, sketches = [], [], [], [], []
             for i, s in enumerate(shingle_sets(batch["text"], k)):
@@ -144,9 +145,9 @@ def _prefixes(k: int, least: int, counts):
                 need = min(n, n - (n * least + 99) // 100 + (SHARED if n >= NEARLY_LARGE else 1))
                 often = np.minimum(counts.value[(s & np.uint64(COUNTERS - 1)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64)
                 first = np.argsort((often << np.uint64(44)) | (s >> np.uint64(20)), kind="stable")[:need]
-                known = np.where(often[first] >= often_from, len(sketches), -1)
+                known = np.where((often[first] >= often_from) & (n <= CARRIED), len(sketches), -1)
                 if (known >= 0).any():
-                    sketches.append(parity_sketch(s))
+                    sketches.append(parity_sketch(s, 4))
                 token.append(s[first])
                 at.append(np.full(need, i))
                 shape.append((n << 32) + np.arange(need, dtype=np.int64))
@@ -162,12 +163,12 @@ def _prefixes(k: int, least: int, counts):
 
 
 class Sketches:
-    """Lower bounds of the set differences of the rows of one long list, by their sketches."""
+    """Lower bounds of the set differences of the rows of one long list, by their sketches; 0 where one is missing."""
 
-    def __init__(self, sketches: list[bytes]):
-        self.size = np.array([len(x) for x in sketches])
+    def __init__(self, sketches: list[bytes | None]):
+        self.size = np.array([len(x) if x else 0 for x in sketches])
         self.rows = {}
-        for c in np.unique(self.size).tolist():
+        for c in np.unique(self.size[self.size > 0]).tolist():
             at = np.flatnonzero(self.size >= c)
             place = np.full(len(sketches), -1)
             place[at] = np.arange(len(at))
@@ -177,7 +178,7 @@ class Sketches:
     def distance(self, i: int, j: np.ndarray) -> np.ndarray:
         out = np.zeros(len(j), np.int64)
         size = np.minimum(self.size[i], self.size[j])
-        for c in np.unique(size).tolist():
+        for c in np.unique(size[size > 0]).tolist():
             mine = size == c
             place, bits = self.rows[c]
             out[mine] = np.bitwise_count(bits[place[j[mine]]] ^ bits[place[i]]).sum(axis=1)
@@ -231,14 +232,13 @@ def _met(least: int):
             if len(kinds) == 1:
                 continue
             largest = kinds[count.argmax()]
-            sketches = carried.take(pa.array(order[b : b + m])).to_pylist()
-            sketches = None if any(x is None for x in sketches) else Sketches(sketches)
+            sketches = Sketches(carried.take(pa.array(order[b : b + m])).to_pylist())
             for i in (np.flatnonzero(r != largest) + b).tolist():  # at least one of two different roots is not the largest
                 j = np.arange(b, b + m)
                 j = j[(r == largest) | (j > i)]
                 small, large = np.minimum(i, j), np.maximum(i, j)
                 ok = (small != large) & possible(small, large, n, place, index, root)
-                if sketches is not None and ok.any():
+                if ok.any():
                     small, large, j = small[ok], large[ok], j[ok]
                     ok = sketches.distance(i - b, j - b) <= largest_difference(small, large)
                 if ok.any():
@@ -350,4 +350,8 @@ def similarity_groups(docs: DataFrame, k: int = WORDS, least: int = LEAST) -> Da
     several = placed.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high")
     same = placed.join(several, "doc_id").select(F.col("low").alias("a"), F.col("rep").alias("b"))  # classes that a repeated doc_id holds together
     groups = components(regions.select(F.col("root").alias("a"), F.col("id").alias("b")).union(outer).union(same), work)
+    work.only(placed, groups)
+    spark.sql(f"drop table {name}")
+    work.delete(f"{work.path}/texts")
+    counts.destroy()
     return placed.join(groups, placed["rep"] == groups["id"], "left").select("doc_id", "n_shingles", F.coalesce("root", "rep", "doc_id").alias("component_id"))

@@ -23,6 +23,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_folder(spark).rstrip('/')}/nightloom/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        self.tables: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
@@ -30,9 +31,19 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(to)
         kept = self.spark.read.schema(df.schema).parquet(to)
         kept._nightloom_path = to
+        self.tables.add(to)
         return kept
 
+    def delete(self, at: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.tables.discard(at)
+
     def drop(self, kept: DataFrame) -> None:
         """Deletes a kept table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(kept._nightloom_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.delete(kept._nightloom_path)
+
+    def only(self, *needed: DataFrame) -> None:
+        """Deletes all kept tables but those that the result still reads."""
+        for at in self.tables - {df._nightloom_path for df in needed}:
+            self.delete(at)
