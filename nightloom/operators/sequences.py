@@ -169,3 +169,23 @@ def without_close_neighbours(df: DataFrame, by: list[str], value: str, window: f
     beaten_by_prior = (F.col(value) - F.col("_p.v") < window) & (F.col("_p.r") <= F.col("_r"))
     beaten_by_later = (F.col("_l.v") - F.col(value) < window) & (F.col("_l.r") < F.col("_r"))
     return rows.filter(~F.coalesce(beaten_by_prior, F.lit(False)) & ~F.coalesce(beaten_by_later, F.lit(False))).drop("_p", "_l", "_r")
+
+
+def tracked(df: DataFrame, by: list[str], step: str, value: str, start: Column, tolerance: float) -> DataFrame:
+    """A position followed from step to step: to the nearest value of each step (the smaller of two equally near) if that is within the tolerance.
+
+    What a step does depends on all steps before it; the steps of one group are folded on the JVM.  start is the
+    first position of a group, an aggregate.
+    """
+    steps = df.groupBy(*by, step).agg(F.sort_array(F.collect_list(value)).alias("_v"))
+    groups = steps.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col(step).alias("step"), F.col("_v").alias("v")))).alias("_all")).join(df.groupBy(*by).agg(start.alias("_start")), by)
+    empty = F.array().cast(f"array<struct<step: {dict(df.dtypes)[step]}, position: double, met: boolean>>")
+
+    def advance(acc, s):
+        near = F.array_min(F.transform(s["v"], lambda x: F.struct(F.abs(x - acc["position"]).alias("d"), x.cast("double").alias("x"))))
+        met = near["d"] <= tolerance
+        position = F.when(met, near["x"]).otherwise(acc["position"])
+        return F.struct(position.alias("position"), F.concat(acc["track"], F.array(F.struct(s["step"].alias("step"), position.alias("position"), met.alias("met")))).alias("track"))
+
+    folded = F.aggregate("_all", F.struct(F.col("_start").cast("double").alias("position"), empty.alias("track")), advance, lambda acc: acc["track"])
+    return groups.select(*by, F.explode(folded).alias("t")).select(*by, "t.step", "t.position", "t.met")

@@ -171,3 +171,20 @@ def levels_expected(spark, sf_dir):
     names = lambda *x: F.array_join(F.array(*[F.lit(i) for i in x]), ",")
     s = F.col("o_orderstatus")
     return table(spark, sf_dir, "orders").select("o_orderkey", F.when(s.isin("O"), names("L0", "2D", "L1", "L2")).when(s == "F", names("L0", "2D", "L1")).otherwise(names("L0", "2D")).alias("levels"))
+
+
+@Q.add(
+    "peak_track",
+    """with recursive e as (select user_id, cast(strftime(ts, '%d') as int) as night, value from events where user_id < 30), n as (select user_id, night, row_number() over (partition by user_id order by night) as k from (select distinct user_id, night from e)),
+    d as (select e.*, k from e join n using (user_id, night)), r(user_id, k, night, position, met) as (
+      select user_id, 0::bigint, 0, median(value), true from e group by 1
+      union all
+      select r.user_id, x.k, x.night, case when x.gap <= 15 then x.value else r.position end, x.gap <= 15 from r join lateral (
+        select d.k, d.night, d.value, abs(d.value - r.position) as gap from d where d.user_id = r.user_id and d.k = r.k + 1 order by gap, d.value limit 1) x on true)
+    select user_id, night, round(position, 6) as position, met from r where k > 0""",
+)
+def peak_track(spark, sf_dir):
+    """A line's position followed from night to night."""
+    rows = table(spark, sf_dir, "events").filter("user_id < 30").select("user_id", F.dayofmonth("ts").alias("night"), "value")
+    out = W.tracked(rows, USER, "night", "value", F.median("value"), 15.0)
+    return out.select("user_id", F.col("step").alias("night"), F.round("position", 6).alias("position"), "met")
