@@ -36,13 +36,21 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[root[moved]])], ["u", "v"])
 
 
+SALTS = 8
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges u > v: every neighbour of u is hung on the smallest of them."""
+    """One star step on edges u > v: every neighbour of u is hung on the smallest of them.
+
+    The smallest is a partial aggregate; it goes back to the edges in SALTS copies, so that the edges of a vertex
+    with very many neighbours are dealt to as many tasks.
+    """
     both = edges.select("u", "v")
     if large:
         both = both.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-    hung = both.join(low, "u")
+    dealt = both.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    hung = dealt.join(low.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["u", "salt"])
     if large:
         out = hung.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
