@@ -10,6 +10,9 @@ TRUE_TOKENS = ["true", "t", "yes", "y", "1", "1.0", "on", "pass"]
 FALSE_TOKENS = ["false", "f", "no", "n", "0", "0.0", "off", "fail"]
 #: Planck constant (J s), speed of light (m/s), Boltzmann constant (J/K).
 PLANCK, LIGHT, BOLTZMANN = 6.62607015e-34, 2.99792458e8, 1.380649e-23
+#: How an observation id begins, and its pattern.
+ID_PREFIX = "KP."
+ID_PATTERN = r"^KP\.\d{8}\.\d{5}\.\d{2}$"
 
 
 def seconds(ts: Column) -> Column:
@@ -27,13 +30,13 @@ def datecode(ts: Column) -> Column:
 
 
 def observation_id(ts: Column, nth: Column) -> Column:
-    """KP.<yyyymmdd>.<seconds of the day, five digits>.<two digits>."""
+    """The prefix, <yyyymmdd>.<seconds of the day, five digits>.<two digits>."""
     of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    return F.concat(F.lit("KP."), datecode(ts), F.lit("."), F.lpad(of_day.cast("string"), 5, "0"), F.lit("."), F.lpad((nth % 100).cast("string"), 2, "0"))
+    return F.concat(F.lit(ID_PREFIX), datecode(ts), F.lit("."), F.lpad(of_day.cast("string"), 5, "0"), F.lit("."), F.lpad((nth % 100).cast("string"), 2, "0"))
 
 
 def is_observation_id(c: Column) -> Column:
-    return c.rlike(r"^KP\.\d{8}\.\d{5}\.\d{2}$")
+    return c.rlike(ID_PATTERN)
 
 
 def datecode_of(c: Column) -> Column:
