@@ -18,8 +18,9 @@ from nightloom.llm.workspace import Workspace
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))  # whatever the other columns are called
-    return toxicity.score(rows, model, ("row",)).filter("predicted = 0").select("row.*")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")  # whatever they are called
+    kept = toxicity.score(docs.select("doc_id", "text", others), model, ("text", "row")).filter("predicted = 0")
+    return kept.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 from .workspace import Workspace
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_forest() of all batches together."""
+    parts = list(batches)
+    if parts:
+        yield from _forest(pa.Table.from_batches(parts).combine_chunks().to_batches())
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replaces the edges of one batch by (vertex, smallest vertex it reaches within the batch)."""
     for batch in batches:
@@ -37,6 +44,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 SALTS = 8
+SMALL = 400_000  # edges, 6 MB, up to which a graph is contracted by one task
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -58,25 +66,33 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u > v").distinct()
 
 
-def components(edges: DataFrame, work: Workspace, most: int = 60) -> DataFrame:
+def _labels(stars: DataFrame) -> DataFrame:
+    out = stars.select(F.col("u").alias("id"), F.col("v").alias("root")).union(stars.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
+    out._nightloom_path = stars._nightloom_path
+    return out
+
+
+def components(edges: DataFrame, work: Workspace, most: int = 60, small: int = SMALL) -> DataFrame:
     """(id, root) for each vertex of edges (a long, b long); root is the smallest id that it is connected with.
 
-    Rows with a null end and loops are left out.  Each batch of edges is first contracted where it lies; then
-    star steps run until nothing changes, a number of rounds that grows with the logarithm of the longest path.
+    Rows with a null end and loops are left out.  Each batch of edges is first contracted where it lies.  If at
+    most small edges are left, one task contracts them; else star steps run until nothing changes, a number of rounds that grows with the logarithm of the longest path.
     Every round is written to the shared folder.
     """
     a, b = edges.columns[:2]
     flat = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
     flat = flat.mapInArrow(_forest, "u long, v long").distinct()
     now, mark = work.keep(flat, "edges"), None
+    if now.count() <= small:
+        new = work.keep(now.repartition(1).mapInArrow(_whole, "u long, v long"), "edges")
+        work.drop(now)
+        return _labels(new)
     for _ in range(most):
         new = work.keep(_star(_star(now, True), False), "edges")
         work.drop(now)
         now = new
         n, total = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (n, total) == mark:
-            out = now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct())
-            out._nightloom_path = now._nightloom_path
-            return out
+            return _labels(now)
         mark = n, total
     raise RuntimeError(f"components did not settle in {most} rounds")

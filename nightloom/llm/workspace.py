@@ -16,11 +16,22 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
 
 
+BATCH_ROWS = 2000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Long texts go to Python in batches of at most BATCH_ROWS rows, where the session has no smaller bound."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 class Workspace:
     """One operator run's tables: keep() writes a DataFrame and returns it as read from there."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        bound_batches(spark)
         self.path = f"{shared_folder(spark).rstrip('/')}/nightloom/{name}-{uuid.uuid4().hex}"
         self.count = 0
         self.tables: set[str] = set()
