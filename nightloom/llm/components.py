@@ -44,7 +44,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 SALTS = 8
-SMALL = 400_000  # edges, 6 MB, up to which a graph is contracted by one task
+SMALL = 4_000_000  # edges, 64 MB, up to which a graph is contracted by one task
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -75,13 +75,13 @@ def _labels(stars: DataFrame) -> DataFrame:
 def components(edges: DataFrame, work: Workspace, most: int = 60, small: int = SMALL) -> DataFrame:
     """(id, root) for each vertex of edges (a long, b long); root is the smallest id that it is connected with.
 
-    Rows with a null end and loops are left out.  Each batch of edges is first contracted where it lies.  If at
+    Rows with a null end and loops are left out.  Each partition's edges are first contracted where they lie.  If at
     most small edges are left, one task contracts them; else star steps run until nothing changes, a number of rounds that grows with the logarithm of the longest path.
     Every round is written to the shared folder.
     """
     a, b = edges.columns[:2]
     flat = edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u <> v")
-    flat = flat.mapInArrow(_forest, "u long, v long").distinct()
+    flat = flat.mapInArrow(_whole, "u long, v long").distinct()
     now, mark = work.keep(flat, "edges"), None
     if now.count() <= small:
         new = work.keep(now.repartition(1).mapInArrow(_whole, "u long, v long"), "edges")
