@@ -13,6 +13,7 @@ are separate pages; extra columns are not used; an empty table gives an empty re
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 import zlib
@@ -28,6 +29,7 @@ LEAST = 0.3  # importance from which a node stays
 PAGES = 10  # occurrences from which content counts
 BROADCAST_BYTES = 8 << 20
 SALTS = 64
+PATH = 400  # characters from which a path is known by its beginning and a hash of all of it
 
 #: Elements whose contents are never text.
 SILENT = "script style noscript template svg canvas object iframe math head select textarea button audio video datalist".split()
@@ -60,12 +62,17 @@ _ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in SILENT}
 
 
 class Open:
-    """An open element: its tag, its step of the path, and what it says about its contents."""
+    """An open element: its tag, its path, what it says about its contents, and whether it is or stands in the article."""
 
-    __slots__ = ("kind", "nesting", "path", "tag")
+    __slots__ = ("inside", "kind", "nesting", "path", "tag")
 
-    def __init__(self, tag: str, path: str, kind: float, nesting: bool):
-        self.tag, self.path, self.kind, self.nesting = tag, path, kind, nesting
+    def __init__(self, tag: str, path: str, kind: float, nesting: bool, inside: bool):
+        self.tag, self.path, self.kind, self.nesting, self.inside = tag, path, kind, nesting, inside
+
+
+def short(value: str, most: int) -> str:
+    """The value, or what it begins with and a hash of all of it, so that long ones that differ stay apart."""
+    return value if len(value) <= most else f"{value[:most]}~{hashlib.blake2b(value.encode('utf-8', 'surrogatepass'), digest_size=8).hexdigest()}"
 
 
 def described(tag: str, attributes: str) -> tuple[str, float | None, bool]:
@@ -78,7 +85,7 @@ def described(tag: str, attributes: str) -> tuple[str, float | None, bool]:
         value = next((v for v in values if v), "").lower()
         name = name.lower()
         if name in ("class", "id", "role"):
-            style += ("." if name == "class" else "#" if name == "id" else "@") + value[:80]
+            style += ("." if name == "class" else "#" if name == "id" else "@") + short(value, 80)
             parts.update(_PART.findall(value))
         elif name == "style":
             if "display:none" in value.replace(" ", ""):
@@ -96,8 +103,8 @@ def described(tag: str, attributes: str) -> tuple[str, float | None, bool]:
 
 def blocks(page: str) -> list[tuple[str, float, str]]:
     """(path, presentation importance, text) of each block of a page, in page order."""
-    out: list[tuple[str, float, str]] = []
-    stack = [Open("body", "body", 0.5, False)]
+    out: list[tuple[str, float, str, bool]] = []
+    stack = [Open("body", "body", 0.5, False, False)]
     pending: list[str] = []
     at, end = 0, len(page)
     has_main = False
@@ -110,7 +117,7 @@ def blocks(page: str) -> list[tuple[str, float, str]]:
                 text = entities.unescape(text)
             text = " ".join(text.split())
             if text:
-                out.append((stack[-1].path, stack[-1].kind, text))
+                out.append((stack[-1].path, stack[-1].kind, text, stack[-1].inside))
 
     while at < end:
         m = _TOKEN.search(page, at)
@@ -159,11 +166,10 @@ def blocks(page: str) -> list[tuple[str, float, str]]:
             kind = 0.0
         elif kind is None:
             kind = top.kind
-        stack.append(Open(tag, f"{top.path}/{style}" if len(stack) < 24 else top.path, kind, nesting or top.nesting))
+        stack.append(Open(tag, short(f"{top.path}/{style}", PATH), kind, nesting or top.nesting, tag in _MAIN or top.inside))
     finish()
-    if has_main:  # what stands beside the article is not its text
-        out = [(p, k if "/article" in p or "/main" in p else 0.0, t) for p, k, t in out]
-    return out
+    # what stands beside the article is not its text
+    return [(p, k if inside or not has_main else 0.0, t) for p, k, t, inside in out]
 
 
 PARSED = "page_id long, url string, host string, blocks array<struct<path: string, kind: double, content: long, text: string>>"
