@@ -1,22 +1,24 @@
 """Benchmark decontamination by embedded edit distance.
 
-Texts are normalised (A-Z lower-cased, runs of white space one space).  Windows start at word pairs that also
-occur in an item, so that the window of a copied passage starts where the item's own window starts, and they are
-as long as the item allows, in powers of two.  The CGK random walk reads a window with a shared random rule that
-repeats or advances at each step; strings at a small edit distance give sequences at a small Hamming distance.
-Sampled positions of those sequences are keys of hash tables; there are as many tables as the target recall asks
-for.  What meets an item in any table is verified: the item's edit distance to its best place in the text.
+Texts are normalised (A-Z lower-cased, runs of white space one space).  Windows of a text and of an item face each
+other where they have a gram in common, wherever in the item it stands, and where further grams of the item are on
+about the same diagonal.  Windows run forwards and backwards from there, in powers of two up to the item's length.
+The CGK random walk reads a window with a shared random rule that repeats or advances at each step; strings at a
+small edit distance give sequences at a small Hamming distance.  Sampled positions of those sequences are compared,
+in as many tables as the target recall asks for; positions that the common gram fills anyway are not sampled.  What
+meets an item in any table of any window is verified: the item's edit distance to its best place in the text.
 
 The items are a set of stated queries, searched in blocks of bounded size; every text is read whole.
 
-Defined results: null and empty texts match nothing; items of less than 8 characters are not searched; items of
-equal text are each reported; rows that repeat a doc_id are searched each; extra columns are kept where rows are
-kept; an empty table gives an empty result.
+Defined results: null and empty texts match nothing; items of fewer than TINY bytes are found where they stand
+exactly, as whole words; items without words are not searched; items of equal text are each reported; rows that
+repeat a doc_id are searched each; extra columns are kept where rows are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,25 +26,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import LOWER, WHITE, edit_search, mix, slices, words
+from .kernels import LOWER, WHITE, edit_search, slices
 from .workspace import bound_batches
 
 LEAST = 0.8  # edit similarity, by the item's length
 RECALL = 0.95  # of a window whose embedding differs in SPREAD of its places
 SPREAD = 0.25
-BITS = {8: 6, 16: 8, 32: 13, 64: 9, 128: 8, 256: 8}  # places read for a key; short windows share more by chance
+BITS = {8: 3, 16: 7, 32: 8, 64: 8, 128: 8, 256: 8}  # places of an embedding that a table reads; fewer of short windows
 WALKS = 4
-ANCHORS = 24  # word pairs of an item where windows start
-SIZES = (8, 16, 32, 64, 128, 256)
-LONG = 32  # items of twice this length have no shorter windows
-BLOCK_BYTES = 16 << 20
+SIZES = tuple(BITS)
+TINY = 8  # bytes
+SHORT = 64  # bytes of an item up to which its grams are short
+GRAMS = {True: 5, False: 8}  # bytes of a gram, of short and of other items
+MET = 16  # bytes of an item for each gram that is to be found on about one diagonal
+BLOCK_BYTES = 8 << 20
+PER_BYTE = 32  # cells of the table of absent grams for each gram
 GRAM = 4
 TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - SPREAD) ** BITS[128]) / WALKS) * WALKS
+PAIRS = 5_000  # windows that are read at once
+HELD = 2_000_000  # common grams that are looked at at once, where they are not all of one text
 
 _random = np.random.default_rng(20240229)
 _STEP = _random.integers(0, 2, (WALKS, 2 * SIZES[-1], 256)).astype(np.int64)  # of each walk, step and byte: stay or advance
-#: For each size and table the steps at which its walk is read.
-_READ = {c: [np.sort(_random.choice(2 * c, BITS[c], replace=False)) for _ in range(TABLES)] for c in SIZES}
+_MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _places(size: int, gram: int) -> list[np.ndarray]:
+    """For each table the steps at which the walk over a window of this size is read, those beyond its gram."""
+    steps = np.arange(min(2 * gram, 2 * size - 2 * BITS[size]), 2 * size)
+    return [np.sort(_random.choice(steps, BITS[size], replace=False)) for _ in range(TABLES)]
+
+
+_READ = {(c, q): _places(c, q) for c in SIZES for q in GRAMS.values()}
 
 
 def squeezed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -55,127 +70,176 @@ def squeezed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return plain[keep], count[offsets]
 
 
-def word_pairs(h: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """A hash of each word and the next of its text; the last word stands alone."""
-    after = np.zeros(len(h), np.uint64)
-    after[:-1] = h[1:]
-    ends = at[1:][np.diff(at) > 0] - 1
-    after[ends] = 0
-    return mix(h * np.uint64(0x9E3779B97F4A7C15) + after)
-
-
-def keys(data: np.ndarray, starts: np.ndarray, sizes: list[int]) -> dict[int, np.ndarray]:
-    """For each window size the tables' keys of the windows that begin at starts; data ends in zeros."""
-    out = {c: np.zeros((TABLES, len(starts)), np.uint64) for c in sizes}
-    wanted: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for c in sizes:
-        for t in range(TABLES):
-            for s in _READ[c][t].tolist():
-                wanted.setdefault((t % WALKS, s), []).append((c, t))
+def gram_codes(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the size bytes, at most 8, that begin at each byte."""
+    if len(data) < size:
+        return np.zeros(0, np.uint64)
+    code = np.zeros(len(data) - size + 1, np.uint64)
+    for i in range(size):
+        code |= data[i : len(data) - size + 1 + i].astype(np.uint64) << np.uint64(8 * i)
+    code *= _MULTIPLY
+    return code ^ (code >> np.uint64(29))
+
+
+def alike(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, size: int, gram: int, back: bool) -> np.ndarray:
+    """Whether the embeddings of the windows of this size at a[x] and b[y] agree in all places of some table.
+
+    Backwards, windows end at x and y.  A walk that reaches the end of its window stays there.
+    """
+    met = np.zeros(len(x), bool)
+    reach = np.arange(size + 1) * (-1 if back else 1)
+    one = a[np.clip(x[:, None] + reach, 0, len(a) - 1)].ravel()  # the windows themselves, which stay in the cache
+    two = b[np.clip(y[:, None] + reach, 0, len(b) - 1)].ravel()
+    first = np.arange(len(x)) * (size + 1)
+    end = first + size
     for walk in range(WALKS):
-        place = starts.copy()
-        for s in range(2 * max(sizes)):
-            seen = data[place]
-            for c, t in wanted.get((walk, s), ()):
-                row = out[c][t]
-                out[c][t] = (row ^ seen) * np.uint64(0x100000001B3) + np.uint64(s)
-            place = place + _STEP[walk, s][seen]
-    for c in sizes:
-        out[c] = mix(out[c] + (np.arange(TABLES, dtype=np.uint64)[:, None] * np.uint64(512) + np.uint64(c)) * np.uint64(0x9E3779B97F4A7C15))
-    return out
+        tables = [t for i, t in enumerate(_READ[size, gram]) if i % WALKS == walk]
+        last = int(max(t[-1] for t in tables))
+        same = np.zeros((last + 1, len(x)), bool)
+        p, q = first.copy(), first.copy()
+        for s in range(last + 1):
+            u, v = one[p], two[q]
+            same[s] = u == v
+            p, q = np.minimum(p + _STEP[walk, s][u], end), np.minimum(q + _STEP[walk, s][v], end)
+        for t in tables:
+            met |= same[t].all(axis=0)
+    return met
+
+
+class Grams:
+    """Where the grams of the items stand: (item, place) for each, sorted by their codes."""
+
+    def __init__(self, items: list[tuple[int, np.ndarray]], size: int):
+        self.size = size
+        codes = [gram_codes(x, size) for _, x in items]
+        code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
+        order = np.argsort(code, kind="stable")
+        self.code = code[order]
+        self.item = np.repeat([i for i, _ in items], [len(c) for c in codes]).astype(np.int32)[order] if codes else np.zeros(0, np.int32)
+        self.place = np.concatenate([np.arange(len(c)) for c in codes]).astype(np.int32)[order] if codes else np.zeros(0, np.int32)
+        bits = max(16, (PER_BYTE * len(code)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)  # most grams of a text are told to be absent by one look
+        self.maybe[(self.code >> self.shift).astype(np.int64)] = True
+
+    def hits(self, plain: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Byte, item and place in the item of every gram that texts have in common with an item, for runs of texts with about HELD of them."""
+        code = gram_codes(plain, self.size)
+        met = np.flatnonzero(self.maybe[(code >> self.shift).astype(np.int64)])
+        code = code[met]
+        left = np.searchsorted(self.code, code, "left")
+        count = np.searchsorted(self.code, code, "right") - left
+        total = np.concatenate(([0], np.cumsum(count)))
+        first = np.searchsorted(met, at)  # of each text
+        i = 0
+        while i < len(at) - 1:
+            j = max(i + 1, int(np.searchsorted(total[first], total[first[i]] + HELD, "right")) - 1)
+            some = slice(first[i], first[j])
+            n = count[some]
+            where = np.repeat(left[some], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            yield np.repeat(met[some], n), self.item[where].astype(np.int64), self.place[where].astype(np.int64)
+            i = j
 
 
 class Items:
-    """Normalised items with their anchors and hash tables."""
+    """Normalised items with their grams."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.ids, self.texts, self.grams = [], [], []
-        anchors, starts, sizes, owners, places, data = [], [], [], [], [], []
-        base = 0
+        self.ids, self.texts, self.grams, self.tiny = [], [], [], {}
+        data, begin = [], [0]
         for item_id, text in items:
             raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
             plain, _ = squeezed(raw, np.array([0, len(raw)]))
             plain = np.frombuffer(plain.tobytes().strip(), np.uint8)
-            if len(plain) < SIZES[0]:
+            text = plain.tobytes().decode("utf-8", "replace")
+            if len(plain) < TINY:
+                if len(plain):
+                    self.tiny.setdefault(text, []).append(item_id)
                 continue
-            h, begin, end, at = words(plain, np.array([0, len(plain)]))
-            pair = word_pairs(h, at)
-            last = len(h) - 1 if len(h) > 1 else 1
-            span = np.array([end[min(i + 1, len(h) - 1)] - begin[i] for i in range(last)])
-            shortest = LONG if len(plain) >= 2 * LONG else SIZES[0]
-            fits = np.flatnonzero(len(plain) - begin[:last] >= shortest)
-            for i in fits[np.argsort(-span[fits], kind="stable")][:ANCHORS].tolist():
-                anchors.append(pair[i])
-                for c in SIZES:  # the longest window that fits and shorter ones, which fewer edits reach
-                    if shortest <= c <= len(plain) - begin[i]:
-                        starts.append(base + begin[i])
-                        places.append(int(begin[i]))
-                        sizes.append(c)
-                        owners.append(len(self.ids))
             self.ids.append(item_id)
-            text = plain.tobytes().decode("utf-8", "replace")
             self.texts.append(text)
             self.grams.append([text[i : i + GRAM] for i in range(len(text) - GRAM + 1)])
             data.append(plain)
-            base += len(plain)
-        self.anchors = np.unique(np.array(anchors, np.uint64))
-        self.sizes = sorted(set(sizes))
-        self.owner, self.place = np.array(owners, np.int64), np.array(places, np.int64)
-        key, window = [], []
-        if owners:
-            flat = np.concatenate([*data, np.zeros(2 * SIZES[-1] + 2, np.uint8)])
-            found = keys(flat, np.array(starts, np.int64), self.sizes)
-            size = np.array(sizes)
-            for c in self.sizes:
-                mine = np.flatnonzero(size == c)
-                key.append(found[c][:, mine].ravel())
-                window.append(np.tile(mine, TABLES))
-        key = np.concatenate(key) if key else np.zeros(0, np.uint64)
-        self.maybe = np.zeros(max(1 << 10, 1 << (8 * len(key)).bit_length()), bool)  # most keys are told to be absent by one look
-        self.maybe[(key & np.uint64(len(self.maybe) - 1)).astype(np.int64)] = True
-        order = np.argsort(key, kind="stable")
-        self.key, self.window = key[order], (np.concatenate(window)[order] if window else np.zeros(0, np.int64))
+            begin.append(begin[-1] + len(plain))
+        self.data, self.begin = np.concatenate([*data, np.zeros(1, np.uint8)]), np.array(begin)
+        self.sizes = np.diff(self.begin)
+        self.kinds = {short: Grams([(i, x) for i, x in enumerate(data) if (len(x) < SHORT) == short], q) for short, q in GRAMS.items()}
+        self.word = re.compile("(?<![^ ])(?:" + "|".join(re.escape(t) for t in sorted(self.tiny, key=len, reverse=True)) + ")(?![^ ])") if self.tiny else None
+
+    def starts(self, plain: np.ndarray, at: np.ndarray, short: bool, least: float) -> np.ndarray:
+        """Rows (text, item, byte where the item would begin) of what meets an item in a table."""
+        found = [self.met(plain, at, GRAMS[short], least, *hits) for hits in self.kinds[short].hits(plain, at)]
+        return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), np.int64)
+
+    def met(self, plain: np.ndarray, at: np.ndarray, gram: int, least: float, pos: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """starts() for the grams that stand at these bytes, of these items."""
+        text = np.searchsorted(at, pos, "right") - 1
+        inside = pos + gram <= at[np.minimum(text + 1, len(at) - 1)]
+        pos, item, place, text = (x[inside] for x in (pos, item, place, text))
+        # grams of one item on about one diagonal of one text
+        slack = (self.sizes[item] * (1 - least)).astype(np.int64) + 4
+        width = len(plain) + 2 * int(self.sizes.max(initial=0)) + 16
+        key = (text * len(self.ids) + item) * width + pos - place + int(self.sizes.max(initial=0)) + 8
+        order = np.lexsort((pos, key))
+        key, pos, item, place, text, slack = (x[order] for x in (key, pos, item, place, text, slack))
+        enough = np.searchsorted(key, key + slack, "right") - np.searchsorted(key, key - slack, "left") >= np.maximum(self.sizes[item] // MET, 1)
+        key, pos, item, place, text = (x[enough] for x in (key, pos, item, place, text))
+        # of a run of grams, windows go forwards from its first one and backwards from its last
+        follows = np.zeros(len(pos) + 1, bool)
+        follows[1:-1] = (key[1:] == key[:-1]) & (pos[1:] - pos[:-1] <= gram)
+        met = np.zeros(len(pos), bool)
+        fits = np.zeros(len(pos), bool)
+        for size in SIZES:
+            if size <= gram:
+                continue
+            for back in (False, True):
+                room = (place + gram >= size) if back else (place + size <= self.sizes[item])
+                fits |= room
+                room = np.flatnonzero(room & ~met & ~(follows[1:] if back else follows[:-1]))
+                for i in range(0, len(room), PAIRS):
+                    some = room[i : i + PAIRS]
+                    x, y = pos[some], self.begin[item[some]] + place[some]
+                    if back:
+                        x, y = x + gram - 1, y + gram - 1
+                    met[some] = alike(plain, x, self.data, y, size, gram, back)
+        met |= ~fits  # no window fits into the item beside its gram
+        return np.stack([text[met], item[met], pos[met] - place[met]], 1)
 
     def search(self, texts: pa.Array, least: float) -> Iterator[list[tuple[int, float, int]]]:
         """Per text its matches (item_id, similarity, first character of the normalised text)."""
         for _, data, offsets in slices(texts):
             plain, at = squeezed(data, offsets)
-            h, begin, _, first = words(plain, at)
-            hits = np.zeros(0, np.int64)
-            if len(h) and len(self.anchors):
-                pair = word_pairs(h, first)
-                where = np.minimum(np.searchsorted(self.anchors, pair), len(self.anchors) - 1)
-                hits = begin[np.flatnonzero(self.anchors[where] == pair)]
+            found = [self.starts(plain, at, short, least) for short, grams in self.kinds.items() if len(grams.code)]
             candidates: dict[int, list[tuple[int, int]]] = {}
-            found: list[np.ndarray] = []
-            padded = np.concatenate([plain, np.zeros(2 * SIZES[-1] + 2, np.uint8)])
-            for a in range(0, len(hits), 20_000):
-                some = hits[a : a + 20_000]
-                for key in keys(padded, some, self.sizes).values():
-                    met = np.flatnonzero(self.maybe[(key.ravel() & np.uint64(len(self.maybe) - 1)).astype(np.int64)])
-                    if len(met):
-                        left = np.searchsorted(self.key, key.ravel()[met], "left")
-                        size = np.searchsorted(self.key, key.ravel()[met], "right") - left
-                        nth = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                        w = self.window[np.repeat(left, size) + nth]
-                        p = np.repeat(some[met % key.shape[1]], size)
-                        found.append(np.stack([np.searchsorted(at, p, "right") - 1, self.owner[w], p - self.place[w]], 1))
-            for doc, item, start in np.unique(np.concatenate(found), axis=0).tolist() if found else ():
+            for doc, item, start in np.concatenate(found).tolist() if found else ():
                 candidates.setdefault(doc, []).append((item, start))
             for doc in range(len(offsets) - 1):
-                yield self.verified(plain, at, doc, candidates.get(doc, ()), least)
+                matches = self.verified(plain, at, doc, candidates.get(doc, ()), least)
+                yield sorted(matches + self.exact(plain, at, doc)) if self.tiny else matches
+
+    def exact(self, plain: np.ndarray, at: np.ndarray, doc: int) -> list[tuple[int, float, int]]:
+        """The tiny items that stand in the text as whole words."""
+        first: dict[str, int] = {}
+        text = plain[int(at[doc]) : int(at[doc + 1])].tobytes().decode("utf-8", "replace")
+        for m in self.word.finditer(text):
+            first.setdefault(m.group(), m.start())
+        return [(i, 1.0, p) for t, p in first.items() for i in self.tiny[t]]
 
     def verified(self, plain: np.ndarray, at: np.ndarray, doc: int, candidates: list[tuple[int, int]] | tuple, least: float) -> list[tuple[int, float, int]]:
         best: dict[int, tuple[float, int]] = {}
-        tried: tuple[int, int] = (-1, 0)
+        places: list[tuple[int, int, int]] = []  # item, first and last start; starts nearer than the slack share a place
         for item, start in candidates:
-            if best.get(item, (0.0, 0))[0] == 1.0 or (tried[0] == item and start - tried[1] <= 4):
-                continue  # the window tried before reaches as far
-            tried = item, start
+            if places and places[-1][0] == item and start - places[-1][1] <= len(self.texts[item]) * (1 - least):
+                places[-1] = item, places[-1][1], start
+            else:
+                places.append((item, start, start))
+        for item, low, high in places:
             text = self.texts[item]
+            if best.get(item, (0.0, 0))[0] == 1.0:
+                continue
             slack = int(len(text) * (1 - least)) + 8
-            a = max(int(at[doc]), start - slack)
-            b = min(int(at[doc + 1]), start + len(text.encode("utf-8", "replace")) + slack)
+            a = max(int(at[doc]), low - slack)
+            b = min(int(at[doc + 1]), high + int(self.sizes[item]) + slack)
             window = plain[a:b].tobytes().decode("utf-8", "ignore")
             grams = {window[i : i + GRAM] for i in range(len(window) - GRAM + 1)}
             if sum(g in grams for g in self.grams[item]) < len(text) - GRAM + 1 - GRAM * int(len(text) * (1 - least) + 1e-9):
@@ -189,7 +253,7 @@ class Items:
 
 
 def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about block_bytes, however many there are."""
+    """The items in blocks of about block_bytes, however many there are; their tables take some 50 times as much."""
     bound_batches(benchmark.sparkSession)
     items = benchmark.filter("text is not null").select("item_id", "text")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -206,11 +270,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, least: float = LEAST)
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for block in item_blocks(benchmark):
-        items = Items(block)
+        items = docs.sparkSession.sparkContext.broadcast(Items(block))
 
         def task(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(d, *m) for d, found in zip(batch["doc_id"].to_pylist(), items.search(batch["text"], least), strict=True) for m in found]
+                rows = [(d, *m) for d, found in zip(batch["doc_id"].to_pylist(), items.value.search(batch["text"], least), strict=True) for m in found]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64()))], ["doc_id", "item_id", "similarity", "start"])
 
         part = plain.mapInArrow(task, MATCH)
@@ -222,11 +286,11 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST)
     """The rows of docs that hold no item, with all their columns."""
     out = docs
     for block in item_blocks(benchmark):
-        items = Items(block)
+        items = docs.sparkSession.sparkContext.broadcast(Items(block))
 
         def task(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield batch.filter(pa.array([not found for found in items.search(batch["text"], least)], pa.bool_()))
+                yield batch.filter(pa.array([not found for found in items.value.search(batch["text"], least)], pa.bool_()))
 
         out = out.mapInArrow(task, docs.schema)
     return out

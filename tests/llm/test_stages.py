@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from nightloom.llm import decontamination, line_dedup, packing, sharding, toxicity
+from nightloom.llm import line_dedup, packing, sharding, toxicity
 from nightloom.llm.kernels import edit_distance, edit_search, edit_similar
 from nightloom.llm.queries import QUERIES, tokenizer_path
 
@@ -81,26 +81,6 @@ def test_lines_against_brute_force(spark):
     assert got == {p: g for g, members in groups.items() if len(members) > 1 for p in members}
 
 
-@pytest.mark.parametrize(("rate", "least"), [(0.0, 1.0), (0.05, 0.99), (0.1, 0.95)])
-def test_recall_of_edited_items(rate, least):
-    rng = random.Random(3)
-    texts = [prose(rng, rng.randint(25, 60)) for _ in range(60)]
-    items = decontamination.Items(list(enumerate(texts)))
-    docs, want = [], []
-    for _ in range(200):
-        i = rng.randrange(len(texts))
-        s = list(texts[i])
-        for _ in range(int(rate * len(s))):
-            p = rng.randrange(len(s))
-            s[p] = rng.choice(["", "q", s[p] + "z"])
-        docs.append(prose(rng, 40) + " " + "".join(s) + " " + prose(rng, 40))
-        want.append(i)
-    clean = [prose(rng, 100) for _ in range(100)]
-    found = [[m[0] for m in x] for x in items.search(pa.array(docs + clean), decontamination.LEAST)]
-    assert np.mean([w in f for w, f in zip(want, found[:200], strict=True)]) >= least
-    assert not any(found[200:])
-
-
 def test_packing_round_trip(spark):
     """The pieces of every document, in order, are its ids; sequences are full but for the last few."""
     rows = packing.pack(spark.read.parquet(f"{SF}/documents.parquet"), tokenizer_path()).collect()
