@@ -23,8 +23,8 @@ from .workspace import Workspace
 
 PRIMES = np.array([2147483647, 2147483629, 2147483587], np.uint64)
 BASES = np.array([1000003019, 1442695041, 1779033703], np.uint64)
-CHUNK = 1 << 16  # characters of a chunk
-HUGE = 1 << 16  # characters from which a text is hashed chunk by chunk
+CHUNK = 1 << 16  # bytes of a chunk, or up to three less where a character would be cut
+HUGE = 1 << 16  # bytes from which a text is hashed chunk by chunk
 WHITE = r"[\x20\x09-\x0D]+"
 
 
@@ -83,22 +83,46 @@ def _hash_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_sha256", "chunk", "n_bytes", "h", "b"])
 
 
-def chunks(text: str, size: int = CHUNK):
-    """Column expression: the text's chunks in order; an empty text has one."""
-    c = F.col(text)
-    return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(c) - 1, F.lit(0)) / size).cast("int")), lambda i: F.substring(c, i * size + 1, F.lit(size)))
+def cut(text: bytes, size: int) -> Iterator[bytes]:
+    """The chunks of a UTF-8 text in order, in one pass; no character is cut, and an empty text has one chunk."""
+    at = 0
+    while len(text) - at > size:
+        end = at + size
+        while text[end] & 0xC0 == 0x80:
+            end -= 1
+        yield text[at:end]
+        at = end
+    yield text[at:]
+
+
+def chunks(rows: DataFrame, keep: list[str], size: int = CHUNK, huge: int = HUGE) -> DataFrame:
+    """The columns keep, chunk and part for each chunk of the rows' text; texts below huge bytes stay in the JVM as one chunk."""
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                parts = list(cut(batch["text"][i].as_py().encode("utf-8", "surrogatepass"), size))
+                for at in range(0, len(parts), 64):  # a few MB at once, however long the text is
+                    some = [p.decode("utf-8", "surrogatepass") for p in parts[at : at + 64]]
+                    same = pa.array(np.full(len(some), i))
+                    arrays = [*[batch[c].take(same) for c in keep], pa.array(np.arange(at, at + len(some), dtype=np.int32)), pa.array(some, pa.string())]
+                    yield pa.RecordBatch.from_arrays(arrays, [*keep, "chunk", "part"])
+
+    length = F.octet_length("text")
+    whole = rows.filter(length < huge).select(*keep, F.lit(0).alias("chunk"), F.col("text").alias("part"))
+    return whole.unionByName(rows.filter(length >= huge).select(*keep, "text").mapInArrow(task, f"{kinds}, chunk int, part string"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_sha256, n_bytes, fp array<long>) for each row of docs (doc_id, text)."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ").alias("text"))
     plain = plain.withColumn("text_sha256", F.sha2("text", 256))
-    size = F.length("text")
+    size = F.octet_length("text")
     short = plain.filter(size < HUGE).select("doc_id", "text_sha256", F.lit(0).alias("chunk"), F.col("text").alias("part"))
     done = short.mapInArrow(_hash_chunks, PART).select("doc_id", "text_sha256", "n_bytes", F.col("h").alias("fp"))
     # parts of huge texts are dealt to all tasks, so that one text does not hold one task
-    parts = plain.filter(size >= HUGE).withColumn("row", F.monotonically_increasing_id())  # numbered before the rows become parts
-    parts = parts.select("doc_id", "text_sha256", "row", F.posexplode(chunks("text")).alias("chunk", "part"))
+    parts = chunks(plain.filter(size >= HUGE).withColumn("row", F.monotonically_increasing_id()), ["doc_id", "text_sha256", "row"])
     parts = parts.withColumn("text_sha256", F.concat("text_sha256", F.lit(":"), "row")).drop("row").repartition("text_sha256", "chunk")
     folded = parts.mapInArrow(_hash_chunks, PART).groupBy("doc_id", "text_sha256").agg(F.sort_array(F.collect_list(F.struct("chunk", "n_bytes", "h", "b"))).alias("all"))
     prime = F.array(*[F.lit(int(p)) for p in PRIMES])
@@ -123,7 +147,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ").alias("text"))
     texts = texts.join(members.withColumnRenamed("doc_id", "m_id"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.sha2("text", 256) == F.col("text_sha256")))
     # chunk by chunk, the smallest and largest of a group must be the same bytes; partial results meet, not texts
-    seen = texts.select("key", F.posexplode(chunks("text")).alias("chunk", "part")).groupBy("key", "chunk").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    seen = chunks(texts.select("key", "text"), ["key"]).groupBy("key", "chunk").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     clash = work.keep(seen.filter("low <> high").select("key").distinct(), "clashes")
     result = found.select("*", key.alias("key")).join(groups.drop("bytes", "records"), "key")
     if not clash.isEmpty():

@@ -42,7 +42,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).withColumn("held_out", toxicity.fold() == 0).select("doc_id", "held_out", "score", "predicted")
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out()).select("doc_id", "held_out", "score", "predicted", "raw_score")
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -240,9 +240,15 @@ class Model:
 
 
 def fold(doc_id: str = "doc_id"):
+    """crc32 of the id's text mod 5, null without an id."""
     return F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % 5
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Whether the row's label is never learned from by its fold; a row without an id has no label and is in no fold."""
+    return F.coalesce(fold(doc_id) == 0, F.lit(False))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Learns from documents whose fold is not 0; rows is the most labelled rows that each part uses."""
     spark = docs.sparkSession
@@ -266,23 +272,25 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     model.trees = trees.fit(ready.filter("part = 1"))
     rest = ready.filter("part = 2")
     if all((2, t) in sizes for t in (0, 1)):
-        scored = model.trees.transform(rest).select("label", vector_to_array("probability")[1].alias("raw"))
-        model.calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(scored)
+        scored = model.trees.transform(rest).select("label", vector_to_array("probability")[1].alias("raw_score"))
+        model.calibration = IsotonicRegression(featuresCol="raw_score", labelCol="label").fit(scored)
     return model
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns keep, score and predicted for each row."""
+    """doc_id, the columns keep, score, predicted and raw_score for each row.
+
+    score is the calibrated value; raw_score is what the trees say, which orders rows within a step of the calibration.
+    """
     rows = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     columns = ["doc_id", *keep]
     if model.trees is None:
-        return rows.select(*columns, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return rows.select(*columns, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(0.0).alias("raw_score"))
     ready = with_features(rows, model.lexicon, columns).withColumn("vector", array_to_vector("features"))
-    scored = model.trees.transform(ready).select(*columns, vector_to_array("probability")[1].alias("raw"))
-    value = F.col("raw")
+    scored = model.trees.transform(ready).select(*columns, vector_to_array("probability")[1].alias("raw_score"))
+    value = F.col("raw_score")
     if model.calibration is not None:
         scored = model.calibration.setPredictionCol("calibrated").transform(scored)
-        # the steps of the calibration keep the order of the trees' scores within them
-        value = F.col("calibrated") * 0.998 + F.col("raw") * 0.002
+        value = F.col("calibrated")
     value = F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0))
-    return scored.select(*columns, value.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return scored.select(*columns, value.alias("score"), (value >= 0.5).cast("int").alias("predicted"), "raw_score")

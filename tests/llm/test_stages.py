@@ -133,6 +133,28 @@ def test_shards_are_even_and_maps_are_versioned(spark, tmp_path):
     assert max(load) / (sum(load) / 25) < 1.05
 
 
+def test_a_map_is_used_again(spark, tmp_path):
+    path, used = str(tmp_path / "map"), []
+    make = lambda n, more="": spark.range(n).selectExpr("id as doc_id", f"repeat('x', cast(id % 700 as int){more}) as text")
+    for docs, shards in ((make(300), 4), (make(300), 4), (make(8000), 4), (make(8000), 5), (make(8000), 3)):
+        out = sharding.shard_documents(docs, shards, map_path=path).collect()
+        assert len(out) == docs.count() and {r.shard for r in out} == set(range(shards))
+        sizes = [sum(r.size for r in out if r.shard == s) for s in range(shards)]
+        assert shards * max(sizes) / sum(sizes) < 1.1
+        for s in range(shards):
+            assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+        used.append((out[0].map_version, {r.virtual_slot: r.shard for r in out}))
+    assert [v for v, _ in used] == [1, 1, 2, 3, 4]
+    grown = [(a, b) for s, a in used[2][1].items() if (b := used[3][1][s]) != a]
+    assert grown and {b for _, b in grown} == {4}  # a new shard takes slots, no other gets any
+
+
+def test_a_hot_row_and_a_hot_text_are_spread(spark):
+    docs = spark.range(6000).selectExpr("if(id < 2000, 7, id) as doc_id", "if(id < 4000, 'same text', concat('text ', id)) as text")
+    out = sharding.shard_documents(docs, 6).groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).toPandas()
+    assert out["sum(size)"].max() / out["sum(size)"].min() < 1.05 and (out["max(slot)"] + 1 == out["count(1)"]).all()
+
+
 def test_held_out_toxicity(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
