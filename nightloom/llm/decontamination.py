@@ -40,7 +40,7 @@ SHORT = 64  # bytes of an item up to which its grams are short
 GRAMS = {True: 5, False: 8}  # bytes of a gram, of short and of other items
 MET = 16  # bytes of an item for each gram that is to be found on about one diagonal
 BLOCK_BYTES = 8 << 20
-PER_BYTE = 32  # cells of the table of absent grams for each gram
+PER_GRAM = 8  # cells of the table in which grams are looked up
 GRAM = 4
 TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - SPREAD) ** BITS[128]) / WALKS) * WALKS
 PAIRS = 5_000  # windows that are read at once
@@ -84,25 +84,32 @@ def gram_codes(data: np.ndarray, size: int) -> np.ndarray:
 def alike(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, size: int, gram: int, back: bool) -> np.ndarray:
     """Whether the embeddings of the windows of this size at a[x] and b[y] agree in all places of some table.
 
-    Backwards, windows end at x and y.  A walk that reaches the end of its window stays there.
+    Backwards, windows end at x and y.  A walk of 2 * size steps advances by size on average.
     """
     met = np.zeros(len(x), bool)
-    reach = np.arange(size + 1) * (-1 if back else 1)
-    one = a[np.clip(x[:, None] + reach, 0, len(a) - 1)].ravel()  # the windows themselves, which stay in the cache
-    two = b[np.clip(y[:, None] + reach, 0, len(b) - 1)].ravel()
-    first = np.arange(len(x)) * (size + 1)
-    end = first + size
+    reach = np.arange(2 * size) * (-1 if back else 1)
+    one = a.take(x[:, None] + reach, mode="clip").ravel()  # what a walk can read at all, which stays in the cache
+    two = b.take(y[:, None] + reach, mode="clip").ravel()
+    first = np.arange(len(x)) * (2 * size)
     for walk in range(WALKS):
-        tables = [t for i, t in enumerate(_READ[size, gram]) if i % WALKS == walk]
-        last = int(max(t[-1] for t in tables))
-        same = np.zeros((last + 1, len(x)), bool)
-        p, q = first.copy(), first.copy()
-        for s in range(last + 1):
-            u, v = one[p], two[q]
-            same[s] = u == v
-            p, q = np.minimum(p + _STEP[walk, s][u], end), np.minimum(q + _STEP[walk, s][v], end)
-        for t in tables:
-            met |= same[t].all(axis=0)
+        tables = _READ[size, gram][walk::WALKS]
+        wanted: dict[int, list[int]] = {}
+        for i, t in enumerate(tables):
+            for s in t.tolist():
+                wanted.setdefault(s, []).append(i)
+        alive, p, q = np.arange(len(x)), first.copy(), first.copy()
+        ok = np.ones((len(tables), len(x)), bool)  # tables whose places are all equal so far
+        for s in range(max(wanted) + 1):
+            u, v, step = one.take(p), two.take(q), _STEP[walk, s]
+            if s in wanted:
+                ok[wanted[s]] &= u == v
+            p += step.take(u)
+            q += step.take(v)
+            if s % 16 == 15 and not (left := ok.any(axis=0)).all():
+                alive, p, q, ok = alive[left], p[left], q[left], ok[:, left]
+                if not len(alive):
+                    break
+        met[alive[ok.any(axis=0)]] = True
     return met
 
 
@@ -114,21 +121,30 @@ class Grams:
         codes = [gram_codes(x, size) for _, x in items]
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
-        self.code = code[order]
+        self.code, self.begin = np.unique(code[order], return_index=True)
+        self.begin = np.append(self.begin, len(code))
         self.item = np.repeat([i for i, _ in items], [len(c) for c in codes]).astype(np.int32)[order] if codes else np.zeros(0, np.int32)
         self.place = np.concatenate([np.arange(len(c)) for c in codes]).astype(np.int32)[order] if codes else np.zeros(0, np.int32)
-        bits = max(16, (PER_BYTE * len(code)).bit_length())
+        # the first bits of a code say where those codes begin that have them, or -1; most grams of a text are told to be absent by one look
+        bits = max(16, (PER_GRAM * len(code)).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.maybe = np.zeros(1 << bits, bool)  # most grams of a text are told to be absent by one look
-        self.maybe[(self.code >> self.shift).astype(np.int64)] = True
+        cell = (self.code >> self.shift).astype(np.int64)
+        self.first = np.full(1 << bits, -1, np.int32)
+        self.first[cell[::-1]] = np.arange(len(cell), dtype=np.int32)[::-1]
+        self.longest = int(np.bincount(cell).max(initial=0))  # codes of one cell
 
     def hits(self, plain: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Byte, item and place in the item of every gram that texts have in common with an item, for runs of texts with about HELD of them."""
         code = gram_codes(plain, self.size)
-        met = np.flatnonzero(self.maybe[(code >> self.shift).astype(np.int64)])
-        code = code[met]
-        left = np.searchsorted(self.code, code, "left")
-        count = np.searchsorted(self.code, code, "right") - left
+        which = self.first.take((code >> self.shift).astype(np.int64))
+        met = np.flatnonzero(which >= 0)
+        which, code = which.take(met), code.take(met)
+        for _ in range(self.longest - 1):
+            which += (self.code.take(which) < code) & (which < len(self.code) - 1)
+        equal = self.code.take(which) == code if len(met) else np.zeros(0, bool)
+        met, which = met[equal], which[equal]
+        left = self.begin.take(which)
+        count = self.begin.take(which + 1) - left
         total = np.concatenate(([0], np.cumsum(count)))
         first = np.searchsorted(met, at)  # of each text
         i = 0

@@ -75,7 +75,7 @@ def test_tables_are_bounded():
     rng = random.Random(4)
     texts = [prose(rng, 40) for _ in range(300)]
     items = decontamination.Items(list(enumerate(texts)))
-    size = sum(x.nbytes for g in items.kinds.values() for x in (g.code, g.item, g.place, g.maybe))
+    size = sum(x.nbytes for g in items.kinds.values() for x in (g.code, g.begin, g.item, g.place, g.first))
     assert size < 100 * sum(map(len, texts)) + (1 << 18)
 
 
