@@ -2,7 +2,8 @@
 
 Documents are tokenised and routed by length to context-size tiers.  Each tier packs its own windows; the gaps
 of long windows are filled with whole documents of shorter tiers before a document is cut, and a cut fills its
-window exactly.  Windows of one length form step groups of equal token counts.
+window exactly.  Sequences of one length are numbered over all tasks, and step groups are runs of them with equal
+token counts; only the last group of a length is shorter.
 
 A task packs the documents it reads.  What stays open at its end, less than the sum of the windows, travels on
 as token ids; the tails of many tasks are packed together, and the last of them are cut at powers of two.
@@ -23,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .workspace import Workspace
@@ -32,16 +33,20 @@ WINDOWS = (512, 1024, 2048, 4096)
 END_ID = 2
 STEP_TOKENS = 16 * 4096
 POOL = 64  # windows' worth of documents that wait in a tier
+BROADCAST_ROWS = 200_000  # counts of 24 bytes each
 TAILS = 64  # tasks whose tails are packed together
 CACHED = 1_200_000  # words that a worker remembers, about 200 bytes each
+#: Words by which a tokenizer shows how it treats white space, capitals and closing marks.
+PROBES = "the House of 1234 unbelievably naïve straße I'm x-ray A.B. 3.14 e-mail@example.org HELLO wörld ärger éclair ñandú 東京 12,5 (see) #tag __init__ don't".split()
 _WORD = re.compile(r"[^ \t\n\r\f\v]+")
 
 
 class WordTokenizer:
-    """Token ids of whole texts for a tokenizer that never joins across white space.
+    """Token ids of whole texts.
 
-    Each distinct word is encoded once per worker and its ids are kept; texts are then joined from them.  New
-    words are encoded many at a time with a special token between them, at whose id the result is cut.
+    If the tokenizer never joins across white space, which is asked of it by PROBES, each distinct word is encoded once per worker and its ids are kept; texts are then joined from them.  New
+    words are encoded many at a time with a special token between them, at whose id the result is cut.  Texts are
+    encoded as they are otherwise.
     """
 
     def __init__(self, path: str, between: str = "<|startoftext|>"):
@@ -55,8 +60,30 @@ class WordTokenizer:
         self.between, self.between_id = between, self.marked.token_to_id(between)
         self.known: dict[str, bytes] = {}
 
+        self.by_word, self.by_mark = self.splits(), self.lowers()
+
+    def whole(self, text: str) -> list[int]:
+        return self.plain.encode(text, add_special_tokens=False).ids
+
+    def splits(self) -> bool:
+        """Whether the ids of probes are those of their words, and the special token only stands between."""
+        if self.between_id is None:
+            return False
+        joined = lambda w: [i for x in w for i in self.whole(x)]
+        marked = self.marked.encode(self.between.join(PROBES), add_special_tokens=False).ids
+        cut = [i for i in marked if i != self.between_id] == joined(PROBES) and marked.count(self.between_id) == len(PROBES) - 1
+        return cut and all(self.whole(space.join(PROBES)) == joined(PROBES) for space in (" ", "  ", "\n", " \t\r\n"))
+
+    def lowers(self) -> bool:
+        """Whether ASCII capitals and a closing mark change nothing but add the mark's own ids."""
+        low = all(self.whole(w) == self.whole(w.lower()) for p in PROBES for w in (p.upper(), p.capitalize()) if w.isascii())
+        return low and all(self.whole(w + m) == self.whole(w) + self.whole(m) for w in PROBES if w[-1].isalnum() for m in ".,")
+
     def learn(self, words: list[str]) -> None:
-        """Adds the words; one that only adds a closing mark or ASCII capitals to another is taken from that."""
+        """Adds the words; one that only adds a closing mark or ASCII capitals to another is taken from that, if the tokenizer allows it."""
+        if not self.by_mark:
+            self.encode_new(words)
+            return
         known, base = self.known, {}
         for w in words:
             if w[-1] in ".," and w[-2:-1].lower().isalnum():
@@ -84,6 +111,8 @@ class WordTokenizer:
                 self.known.update(zip(run, [raw[i:j] for i, j in zip([0] + [c + 4 for c in cut], [*cut, len(raw)], strict=True)], strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_word:
+            return [np.array(e.ids, np.uint32) for e in self.plain.encode_batch(texts, add_special_tokens=False)]
         found = [_WORD.findall(t) for t in texts]
         new = list(set().union(*found).difference(self.known)) if found else []
         if len(self.known) + len(new) > CACHED:
@@ -117,8 +146,8 @@ class Piece:
 class Packer:
     """Packs the pieces of one task.  Closed sequences come out of take() as rows."""
 
-    def __init__(self, base: int, windows: tuple[int, ...] = WINDOWS, step_tokens: int = STEP_TOKENS):
-        self.windows, self.base, self.step_tokens = tuple(sorted(windows)), base, step_tokens
+    def __init__(self, base: int, windows: tuple[int, ...] = WINDOWS):
+        self.windows, self.base = tuple(sorted(windows)), base
         self.pools: dict[int, list] = {w: [] for w in self.windows}
         self.weight = dict.fromkeys(self.windows, 0)
         self.open: dict[int, list[Piece]] = {w: [] for w in self.windows}
@@ -130,10 +159,9 @@ class Packer:
     def close(self, pieces: list[Piece], window: int) -> None:
         nth = self.per_window.get(window, 0)
         self.per_window[window] = nth + 1
-        step = (self.base << 30) | (window.bit_length() << 24) | (nth // max(1, self.step_tokens // window))
         offset = 0
         for p in pieces:
-            self.rows.append((p.doc_id, p.start, len(p.ids), p.ids, p.total, (self.base << 30) | self.closed, offset, window, step))
+            self.rows.append((p.doc_id, p.start, len(p.ids), p.ids, p.total, (self.base << 30) | self.closed, offset, window, nth))
             offset += len(p.ids)
         self.closed += 1
 
@@ -221,8 +249,8 @@ class Packer:
         return out
 
 
-NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "window", "step_group"]
-PIECES = "doc_id long, start long, length long, ids_crc32 long, ids binary, doc_tokens long, sequence_id long, offset long, window int, step_group long"
+NAMES = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "window", "nth"]
+PIECES = "doc_id long, start long, length long, ids_crc32 long, ids binary, doc_tokens long, sequence_id long, offset long, window int, nth long"
 
 
 def _batch(rows: list[tuple], ids: bool) -> pa.RecordBatch:
@@ -233,7 +261,7 @@ def _batch(rows: list[tuple], ids: bool) -> pa.RecordBatch:
             pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw if ids else [None] * len(raw), pa.binary()),
             pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.int64()), pa.array(cols[6], pa.int64()), pa.array(cols[7], pa.int32()), pa.array(cols[8], pa.int64()),
         ],
-        ["doc_id", "start", "length", "ids_crc32", "ids", "doc_tokens", "sequence_id", "offset", "window", "step_group"],
+        ["doc_id", "start", "length", "ids_crc32", "ids", "doc_tokens", "sequence_id", "offset", "window", "nth"],
     )
 
 
@@ -246,7 +274,7 @@ def pack(docs: DataFrame, tokenizer: str, windows: tuple[int, ...] = WINDOWS, en
     windows = tuple(sorted(windows))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(TaskContext.get().partitionId(), windows, step_tokens)
+        packer = Packer(TaskContext.get().partitionId(), windows)
         words = word_tokenizer(tokenizer)
         for batch in batches:
             doc_ids = batch["doc_id"].to_pylist()
@@ -264,12 +292,25 @@ def pack(docs: DataFrame, tokenizer: str, windows: tuple[int, ...] = WINDOWS, en
     def tails(key, table):
         pieces = [((r["doc_id"] is None, r["doc_id"] or 0, r["start"]), Piece(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4"), r["doc_tokens"])) for r in table.to_pylist()]
         pieces.sort(key=lambda x: x[0])
-        packer = Packer((1 << 30) | key[0].as_py(), windows, step_tokens)
+        packer = Packer((1 << 30) | key[0].as_py(), windows)
         packer.cut_up([p for _, p in pieces], [1 << k for k in range(windows[-1].bit_length() - 1, -1, -1)])
         return pa.Table.from_batches([_batch(packer.take(), ids)])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(task, PIECES)
-    rows = Workspace(docs.sparkSession, "packing").keep(rows, "pieces")
-    whole = rows.filter("sequence_id is not null")
-    ends = rows.filter("sequence_id is null").groupBy("window").applyInArrow(tails, PIECES)
-    return whole.unionByName(ends)
+    work = Workspace(docs.sparkSession, "packing")
+    rows = work.keep(rows, "pieces")
+    ends = work.keep(rows.filter("sequence_id is null").groupBy("window").applyInArrow(tails, PIECES), "tails")
+    return step_groups(rows.filter("sequence_id is not null").unionByName(ends), work, step_tokens)
+
+
+def step_groups(pieces: DataFrame, work: Workspace, step_tokens: int = STEP_TOKENS) -> DataFrame:
+    """The pieces with step_group in place of nth, which numbers the sequences of one task and window only."""
+    task = F.shiftright("sequence_id", 30)
+    counts = work.keep(pieces.groupBy(task.alias("task"), "window").agg((F.max("nth") + 1).alias("n")), "counts")  # a row for each task and window
+    before = Window.partitionBy("window").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("task", "window", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    side = F.broadcast(begins) if counts.count() <= BROADCAST_ROWS else begins
+    step = F.floor((F.col("begin") + F.col("nth")) / F.greatest(F.lit(1), F.floor(F.lit(step_tokens) / F.col("window"))))
+    placed = pieces.withColumn("task", task).join(side, ["task", "window"])
+    group = F.col("window").cast("long") * F.lit(1 << 40) + step
+    return placed.select(*[c for c in pieces.columns if c != "nth"], group.alias("step_group"))

@@ -104,8 +104,35 @@ def test_packing_round_trip(spark):
     assert all(n & (n - 1) == 0 and n <= 4096 for n in full.values())  # no padding at all
     steps = {}
     for r in rows:
-        steps.setdefault((r.window, r.step_group), set()).add(r.sequence_id)
-    assert all(len(s) <= 16 * 4096 // w for (w, _), s in steps.items())
+        steps.setdefault(r.window, {}).setdefault(r.step_group, set()).add(r.sequence_id)
+    for w, groups in steps.items():  # all groups of a window but its last have the same number of sequences
+        sizes = [len(groups[g]) for g in sorted(groups)]
+        assert set(sizes[:-1]) <= {16 * 4096 // w} and sizes[-1] <= 16 * 4096 // w
+
+
+def test_step_groups_are_balanced(spark):
+    docs = spark.range(0, 1500, numPartitions=7).selectExpr("id as doc_id", "repeat('word ', cast(40 + id * 7919 % 1500 as int)) as text")
+    rows = packing.pack(docs, tokenizer_path(), ids=False, step_tokens=8 * 4096).groupBy("window", "step_group").agg({"length": "sum"}).orderBy("window", "step_group").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.window, []).append(r[2])
+    assert all(set(v[:-1]) <= {8 * 4096} for v in by.values()) and sum(len(v) > 1 for v in by.values()) >= 2
+
+
+def test_other_tokenizers(spark):
+    import public_tokenizers
+    from pathlib import Path
+
+    rng = random.Random(11)
+    texts = ["Hello World.  THE end,\n\n of Naïve stories", "", " x\ty ", *[prose(rng, 30).title() for _ in range(20)]]
+    for path in sorted(Path(public_tokenizers.__file__).parent.glob("*.json")):
+        try:
+            plain = Tokenizer.from_file(str(path))
+        except Exception:
+            continue  # a vocabulary in another format
+        plain.encode_special_tokens = True
+        words = packing.WordTokenizer(str(path))
+        assert [x.tolist() for x in words.encode(texts)] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)], path
 
 
 def test_word_tokenizer_is_exact():
