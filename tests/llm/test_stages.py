@@ -4,7 +4,6 @@ import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -41,11 +40,11 @@ def test_edit_distances():
 
 
 def test_lines_against_brute_force(spark):
-    """Every pair of lines within the Hamming bound and the edit similarity is in one group, others are not joined."""
+    """Lines that are equal or differ by one word are in one group, and groups are connected by pairs within the edit similarity."""
     rng = random.Random(2)
     lines = []
     for _ in range(40):
-        base = prose(rng, rng.randint(6, 60)).split()
+        base = prose(rng, rng.randint(5, 60)).split()
         for _ in range(rng.randint(1, 4)):
             copy = list(base)
             if rng.random() < 0.6:
@@ -54,31 +53,34 @@ def test_lines_against_brute_force(spark):
     rng.shuffle(lines)
     docs = [(i, "\n".join(lines[i * 3 : i * 3 + 3])) for i in range((len(lines) + 2) // 3)]
     got = {(r.doc_id, r.line): (r.keep_doc_id, r.keep_line) for r in line_dedup.repeated_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    places = [(d, k, line) for d, t in docs for k, line in enumerate(t.split("\n"))]
-    hashed = {}
-    for batch in line_dedup._hashed([pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in docs], "text": [t for _, t in docs]})]):
-        for d, k, s, n in zip(*[batch[c].to_pylist() for c in ("doc_id", "line", "simhash", "n")], strict=True):
-            hashed[d, k] = s & (2**64 - 1), n
-    root = {p[:2]: p[:2] for p in places}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    plain = {p[:2]: line_dedup.normalised(p[2]) for p in places}
-    for i, (d, k, _) in enumerate(places):
-        for e, m, _ in places[i + 1 :]:
-            a, b = (d, k), (e, m)
-            same = plain[a] == plain[b]
-            near = (hashed[a][0] ^ hashed[b][0]).bit_count() <= line_dedup.DIFFERENT and edit_similar(plain[a], plain[b], line_dedup.LEAST) > 0
-            if same or near:
-                x, y = sorted((find(a), find(b)))
-                root[y] = x
-    groups = {}
-    for p in root:
-        groups.setdefault(find(p), []).append(p)
-    assert got == {p: g for g, members in groups.items() if len(members) > 1 for p in members}
+    places = [((d, k), line_dedup.normalised(line)) for d, t in docs for k, line in enumerate(t.split("\n"))]
+
+    def groups(linked):
+        root = {p: p for p, _ in places}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for i, (a, x) in enumerate(places):
+            for b, y in places[i + 1 :]:
+                if linked(x, y):
+                    low, high = sorted((find(a), find(b)))
+                    root[high] = low
+        return {p: find(p) for p in root}
+
+    similar = lambda x, y: edit_similar(x, y, line_dedup.LEAST) > 0
+    one_word = lambda x, y: len(x.split()) == len(y.split()) and sum(u != v for u, v in zip(x.split(), y.split(), strict=True)) <= 1
+    sure, possible = groups(lambda x, y: x == y or (one_word(x, y) and similar(x, y))), groups(similar)
+    found = {p: got.get(p, p) for p, _ in places}
+    assert any(p != q for p, q in sure.items())
+    for p, q in sure.items():
+        assert found[p] == found[q]
+    for p, q in found.items():
+        assert possible[p] == possible[q]
+    for p in got:  # the first of each group stays
+        assert got[p] == min(q for q in found if found[q] == found[p])
 
 
 def test_packing_round_trip(spark):
