@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Tokens that loosely typed sources use for true, false and missing.
-TRUE_TOKENS = ["true", "t", "yes", "y", "1", "1.0", "on", "pass"]
-FALSE_TOKENS = ["false", "f", "no", "n", "0", "0.0", "off", "fail"]
+TRUE_TOKENS = ["1", "true", "t", "yes", "y", "open"]
+FALSE_TOKENS = ["0", "false", "f", "no", "n", "closed"]
 #: Planck constant (J s), speed of light (m/s), Boltzmann constant (J/K).
 PLANCK, LIGHT, BOLTZMANN = 6.62607015e-34, 2.99792458e8, 1.380649e-23
 #: How an observation id begins, and its pattern.

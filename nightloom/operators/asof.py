@@ -7,14 +7,25 @@ and the last (first) value of each bucket is carried over the empty ones, so one
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import seconds
 
 DAY = 86400
 
 
+def _clock(schema: T.StructType, path: str) -> Column:
+    """The time of a column or of a struct's field: seconds of a timestamp, numbers as they are."""
+    kind = schema
+    for part in path.split("."):
+        kind = kind[part].dataType
+    return F.col(path).cast("double") if isinstance(kind, T.NumericType) else seconds(F.col(path))
+
+
 def _side(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, back: bool, strict: bool, bucket: int, out: str) -> DataFrame:
     """left with out: the struct value of the last right row before (first after) each left row.
 
@@ -25,7 +36,7 @@ def _side(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str,
     tie = inner if not strict else -inner  # where right rows of the same time stand relative to left rows
     rows = left.withColumn("_left", F.lit(True)).withColumn("_rank", F.lit(0)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType))
     other = right.select(*by, at, F.col(value).alias("_value"), F.lit(False).alias("_left"), F.lit(tie).alias("_rank"))
-    rows = rows.unionByName(other, allowMissingColumns=True).withColumn("_bucket", F.floor(seconds(F.col(at)) / bucket))
+    rows = rows.unionByName(other, allowMissingColumns=True).withColumn("_bucket", F.floor(_clock(left.schema, at) / bucket))
     key = [*by, "_bucket"]
     order = [F.col(at).asc(), F.col("_rank").asc(), F.col("_value").asc_nulls_first()]
     ends = rows.filter("not _left").groupBy(*key)
@@ -58,51 +69,88 @@ def asof_after(left: DataFrame, right: DataFrame, by: list[str], at: str, value:
 def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, value_time: str, out: str = "nearest", tolerance: float | None = None, bucket: int = 30 * DAY) -> DataFrame:
     """The right row nearest in time on either side; of two equally near the earlier, null beyond tolerance seconds.
 
-    value_time is the field of the struct that repeats its time.
+    value_time is the field of the struct that repeats its time.  at may be a number; bucket and tolerance have its unit.
     """
     both = asof_after(asof_before(left, right, by, at, value, "_b", False, bucket), right, by, at, value, "_a", True, bucket)
-    gap_b = seconds(F.col(at)) - seconds(F.col(f"_b.{value_time}"))
-    gap_a = seconds(F.col(f"_a.{value_time}")) - seconds(F.col(at))
+    t = _clock(left.schema, at)
+    gap_b, gap_a = t - _clock(both.schema, f"_b.{value_time}"), _clock(both.schema, f"_a.{value_time}") - t
     near = F.when(F.col("_a").isNull() | (gap_b <= gap_a), F.col("_b")).otherwise(F.col("_a"))
-    both = both.withColumn(out, near)
     if tolerance is not None:
-        gap = F.abs(seconds(F.col(f"{out}.{value_time}")) - seconds(F.col(at)))
-        both = both.withColumn(out, F.when(gap <= tolerance, F.col(out)))
+        near = F.when(F.coalesce(F.least(gap_b, gap_a), gap_b, gap_a) <= tolerance, near)
+    both = both.withColumn(out, near)
     return both.drop("_a", "_b")
 
 
-def nearest_request(requests: DataFrame, candidates: DataFrame, on: list[str], distance: Column, signed: Column, tie: Column, window: Column, keep: list[str]) -> DataFrame:
-    """The best candidate for each request under further predicates, which a sorted sequence cannot carry.
+VALIDITY_ROWS = 1_000_000  # rows of a validity list, which is read whole on the driver
+NESTED_ROWS = 256  # steps of a validity list up to which rows are held against each of them
 
-    on are equal columns, among them a time bucket that both sides share, so that the join is an equi-join; window
-    is the exact predicate.  The best has the smallest distance, then the largest signed, then the smallest tie;
-    its columns keep come out as a struct best.
-    """
-    pairs = requests.join(candidates, on).filter(window)
-    rank = F.struct(distance.alias("d"), (-signed).alias("s"), tie.alias("t"))
-    request = [c for c in requests.columns if c not in on]
-    return pairs.groupBy(*request).agg(F.min_by(F.struct(*keep), rank).alias("best"))
 
+def validity_steps(rows: list[tuple], lower: str, upper: str) -> list[tuple]:
+    """(from, to, at, after) for each end of intervals (start, stop, order, value): what is valid at that end, and from it until the next.
 
-def time_buckets(df: DataFrame, at: str, days: int, spread: bool) -> DataFrame:
-    """Adds bucket, of days days each; with spread a row goes to its own bucket and both neighbours."""
-    own = F.floor(seconds(F.col(at)) / (days * DAY))
-    return df.withColumn("bucket", F.explode(F.array(own - 1, own, own + 1)) if spread else own)
+    Of overlapping intervals the one with the largest order is valid.
+    """
+    rows = [r for r in rows if r[0] is not None and r[1] is not None]
+    ends = sorted({r[0] for r in rows} | {r[1] for r in rows})
+    begins, stops = {}, {}
+    for i, (start, stop, _, _) in enumerate(rows):
+        begins.setdefault(start, []).append(i)
+        stops.setdefault(stop, []).append(i)
+    heap: list[tuple] = []  # intervals that have begun; those that are over go when they come to the top
+    out = []
+
+    def best(over) -> tuple | None:
+        while heap and over(rows[heap[0][1]]):
+            heapq.heappop(heap)
+        return rows[heap[0][1]] if heap else None
+
+    for i, t in enumerate(ends):
+        begun = [(Descending(rows[k][2]), k) for k in begins.get(t, ())]
+        if lower == ">=":
+            for x in begun:
+                heapq.heappush(heap, x)
+        at = best(lambda r, t=t: r[1] < t or (r[1] == t and upper == "<"))
+        if lower == ">":
+            for x in begun:
+                heapq.heappush(heap, x)
+        after = best(lambda r, t=t: r[1] <= t)
+        out.append((t, ends[i + 1] if i + 1 < len(ends) else None, None if at is None else at[3], None if after is None else after[3]))
+    return out
+
+
+class Descending:
+    """An order that heaps turn around."""
+
+    __slots__ = ("value",)
+
+    def __init__(self, value):
+        self.value = value
+
+    def __lt__(self, other: Descending) -> bool:
+        return self.value > other.value
 
 
 def within_interval(df: DataFrame, intervals: DataFrame, at: str, start: str, stop: str, value: str, out: str, default=None, lower: str = ">=", upper: str = "<", order: str = "row") -> DataFrame:
-    """The value of the last interval (by order) that holds each row's time.
+    """The rows of df with the value of the last interval (by order) that holds each row's time.
 
-    intervals is a dimension of a few rows (a validity list kept by hand); its size is checked before it is
-    broadcast.
+    intervals is a dimension kept by hand, at most VALIDITY_ROWS rows; the driver makes disjoint steps of it.  A
+    row lies in one step at most, so rows are neither multiplied nor gathered: short lists are broadcast and rows
+    held against their steps, longer ones are met in time order.
     """
-    n = intervals.count()
-    side = F.broadcast(intervals) if n <= 100_000 else intervals
-    lo = {">=": F.col(at) >= F.col(start), ">": F.col(at) > F.col(start)}[lower]
-    hi = {"<": F.col(at) < F.col(stop), "<=": F.col(at) <= F.col(stop)}[upper]
-    key = [c for c in df.columns]
-    found = df.join(side, lo & hi, "left").groupBy(*key).agg(F.max_by(value, order).alias(out))
-    return found if default is None else found.withColumn(out, F.coalesce(out, F.lit(default)))
+    rows = intervals.select(start, stop, order, value).limit(VALIDITY_ROWS + 1).collect()
+    if len(rows) > VALIDITY_ROWS:
+        raise ValueError(f"a validity list of more than {VALIDITY_ROWS} rows")
+    steps = validity_steps([tuple(r) for r in rows], lower, upper)
+    time, kind = intervals.schema[start].dataType, intervals.schema[value].dataType
+    schema = T.StructType([T.StructField(c, k) for c, k in (("_from", time), ("_to", time), ("_at", kind), ("_after", kind))])
+    table = df.sparkSession.createDataFrame(steps, schema)
+    if len(steps) <= NESTED_ROWS:
+        found = df.join(F.broadcast(table), (F.col(at) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(at) < F.col("_to"))), "left")
+    else:
+        step = table.select(F.col("_from").alias(at), F.struct("_from", "_at", "_after").alias("_value"))
+        found = asof_before(df, step, [], at, "_value", "_step", False).select(*df.columns, "_step._from", "_step._at", "_step._after")
+    held = F.when(F.col(at) == F.col("_from"), F.col("_at")).otherwise(F.col("_after"))
+    return found.select(*df.columns, (held if default is None else F.coalesce(held, F.lit(default))).alias(out))
 
 
 def outside_windows(df: DataFrame, windows: DataFrame, at: str, start: str, stop: str) -> DataFrame:

@@ -96,10 +96,15 @@ def neighbour_outliers(value: str, w: WindowSpec, half: int, factor: float) -> C
 def greedy_bins(df: DataFrame, by: list[str], at: str, value: str, error: str, width: float) -> DataFrame:
     """Inverse-variance means over bins that begin at the first row not in a bin yet and are width wide, half-open.
 
-    Where a bin begins depends on all bins before it, which no frame expresses: the bin starts are found by a fold
-    over a group's times, on the JVM; only the times of one group are held, and the means are a plain grouping.
+    Where a bin begins depends on all bins before it, which no frame expresses.  But after a gap of a width a new bin
+    begins whatever came before; so a group is first cut into islands, runs of stretches of one width that hold rows,
+    and the bin starts of each island are found by a fold over its times, on the JVM.  The means are a plain grouping.
     """
-    t = df.filter(F.col(error) > 0)
+    stretch = F.floor(F.col(at).cast("double") / F.lit(width))
+    held = df.filter(F.col(error) > 0).withColumn("_stretch", stretch)
+    over = Window.partitionBy(*by).orderBy("_stretch")
+    runs = held.select(*by, "_stretch").distinct().withColumn("_island", F.col("_stretch") - F.row_number().over(over))  # a row for each stretch
+    t = held.join(runs, [*by, "_stretch"]).drop("_stretch")
     start = F.struct(F.lit(None).cast("double").alias("open"), F.array().cast("array<double>").alias("starts"))
     fold = F.aggregate(
         F.array_sort(F.collect_list(F.col(at).cast("double"))),
@@ -107,9 +112,11 @@ def greedy_bins(df: DataFrame, by: list[str], at: str, value: str, error: str, w
         lambda acc, x: F.when(acc["open"].isNull() | (x >= acc["open"] + F.lit(width)), F.struct(x.alias("open"), F.concat(acc["starts"], F.array(x)).alias("starts"))).otherwise(acc),
         lambda acc: acc["starts"],
     )
-    bins = t.groupBy(*by).agg(fold.alias("starts")).select(*by, F.posexplode("starts").alias("bin", "bin_start"))
-    nearest = t.withColumn("_t", F.col(at).cast("double")).unionByName(bins.select(*by, F.col("bin_start").alias("_t"), "bin", "bin_start"), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(F.col("_t"), F.col("bin").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = [*by, "_island"]
+    bins = t.groupBy(*inside).agg(fold.alias("starts")).select(*inside, F.explode("starts").alias("bin_start"))
+    bins = bins.withColumn("bin", (F.row_number().over(Window.partitionBy(*by).orderBy("bin_start")) - 1).cast("int"))  # a row for each bin
+    nearest = t.withColumn("_t", F.col(at).cast("double")).unionByName(bins.select(*inside, F.col("bin_start").alias("_t"), "bin", "bin_start"), allowMissingColumns=True)
+    w = Window.partitionBy(*inside).orderBy(F.col("_t"), F.col("bin").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     placed = nearest.withColumn("_bin", F.last("bin", ignorenulls=True).over(w)).filter(F.col("bin").isNull())
     weight = F.lit(1.0) / F.pow(F.col(error), 2)
     total = F.sum(weight)

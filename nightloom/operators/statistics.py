@@ -57,13 +57,25 @@ def weighted_two_pass(df: DataFrame, by: list[str], value: str, weight: str) ->
     return df.join(mean, by).groupBy(*by, "mean").agg(F.sqrt(F.sum(w * F.pow(x - F.col("mean"), 2)) / total).alias("std"))
 
 
-def weighted_clip(df: DataFrame, by: list[str], value: str, weight: str, rounds: int, n_sigma: float = 3.0) -> DataFrame:
-    """Weighted mean after so many rounds of dropping values beyond n sigma of the weighted mean; zero values and weights never count."""
-    left = df.filter((F.col(value) != 0) & (F.col(weight) != 0)).select(*by, value, weight)
+def weighted_clip(df: DataFrame, by: list[str], value: str, weight: str, rounds: int = 7, n_sigma: float = 3.0) -> DataFrame:
+    """Weighted mean after so many rounds of dropping values beyond n sigma of the weighted mean; zero values and weights never count.
+
+    All rounds clip to intervals, so what is left of a group is an interval of its values: a round is one partial
+    aggregation and hands a row for each group to the next.  Values are taken from the group's first mean, which
+    keeps the sums of squares exact.
+    """
+    w, x = F.col(weight), F.col(value)
+    rows = df.filter((x != 0) & (w != 0)).select(*by, value, weight)
+    center = rows.groupBy(*by).agg((F.sum(w * x) / F.sum(w)).alias("_center"))
+    rows = rows.join(center, by).withColumn("_x", x - F.col("_center"))
+    inside = rows.withColumns({"_lo": F.lit(float("-inf")), "_hi": F.lit(float("inf"))})
     for _ in range(rounds):
-        s = weighted_two_pass(left, by, value, weight)
-        left = left.join(s, by).filter(F.abs(F.col(value) - F.col("mean")) <= F.lit(n_sigma) * F.col("std")).select(*by, value, weight)
-    return left.groupBy(*by).agg(weighted(value, weight)[0].alias("mean"), F.count("*").alias("n"))
+        total = F.sum(w)
+        s = inside.groupBy(*by).agg((F.sum(w * F.col("_x")) / total).alias("_m"), (F.sum(w * F.col("_x") * F.col("_x")) / total).alias("_q"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+        spread = F.lit(n_sigma) * F.sqrt(F.greatest(F.col("_q") - F.col("_m") * F.col("_m"), F.lit(0.0)))
+        s = s.select(*by, F.greatest("_lo", F.col("_m") - spread).alias("_lo"), F.least("_hi", F.col("_m") + spread).alias("_hi"))
+        inside = rows.join(s, by).filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+    return inside.groupBy(*by).agg(weighted(value, weight)[0].alias("mean"), F.count("*").alias("n"))
 
 
 def weighted_error(sigma: str, weight: str) -> Column:

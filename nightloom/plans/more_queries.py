@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import selection
+from ..operators import asof, selection
 from ..operators import sequences as W
 from ..operators import statistics as A
 from ._common import Queries, table
@@ -85,14 +85,14 @@ def drift_candidates(spark, sf_dir):
 
 @Q.add(
     "clear_interval_stats",
-    """with x as (select o.event_id, o.ts as a, o.ts + to_seconds(7200) as b from events o where o.event_type = 'signup' and o.user_id < 30)
+    """with x as (select o.event_id, o.ts as a, o.ts + to_seconds(7200) as b from events o where o.event_type = 'signup')
     select x.event_id, bool_and(e.value < 90) as clear, round(avg(e.value), 7) as mean, round(stddev_pop(e.value), 6) as std, count(*) as n from x join events e on e.ts >= x.a and e.ts < x.b group by 1""",
 )
 def clear_interval_stats(spark, sf_dir):
     """Sky samples within each exposure: both sides share hours, so that the range join is an equi-join on them."""
     events = table(spark, sf_dir, "events")
     hour = lambda c: F.floor(S.seconds(c) / 3600)
-    exposures = events.filter("event_type = 'signup' and user_id < 30").select("event_id", F.col("ts").alias("a"), F.timestamp_add("SECOND", F.lit(7200), "ts").alias("b"))
+    exposures = events.filter("event_type = 'signup'").select("event_id", F.col("ts").alias("a"), F.timestamp_add("SECOND", F.lit(7200), "ts").alias("b"))
     exposures = exposures.withColumn("h", F.explode(F.sequence(hour(F.col("a")), hour(F.col("b")))))
     samples = events.select("ts", "value", hour(F.col("ts")).alias("h"))
     met = exposures.join(samples, "h").filter("ts >= a and ts < b")
@@ -101,18 +101,18 @@ def clear_interval_stats(spark, sf_dir):
 
 @Q.add(
     "nearest_mean_mjd",
-    """with m as (select l_suppkey as id, l_returnflag as kind, (min(40587 + epoch_us(l_shipdate) / 86400e6) + max(40587 + epoch_us(l_shipdate) / 86400e6)) / 2 as mid from lineitem where l_linenumber = 7 group by 1, 2),
-    o as (select o_orderkey as obs, 40587 + epoch_us(o_orderdate) / 86400e6 as t from orders where o_orderkey % 50 = 0),
+    """with m as (select l_suppkey as id, l_returnflag as kind, (min(40587 + epoch_us(l_shipdate) / 86400e6) + max(40587 + epoch_us(l_shipdate) / 86400e6)) / 2 as mid from lineitem group by 1, 2),
+    o as (select o_orderkey as obs, 40587 + epoch_us(o_orderdate) / 86400e6 as t from orders),
     k as (select obs, kind, id, row_number() over (partition by obs, kind order by abs(mid - t), mid, id) as k from o join m on abs(mid - t) <= 365) select obs, kind, id from k where k = 1""",
 )
 def nearest_mean_mjd(spark, sf_dir):
     """Nearest master by the middle of the time it was made from, within a year."""
     m = S.mjd(F.col("l_shipdate"))
-    masters = table(spark, sf_dir, "lineitem").filter("l_linenumber = 7").groupBy(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("kind")).agg(((F.min(m) + F.max(m)) / 2).alias("mid"))
-    masters = masters.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("mid") - 365) / 365), F.floor((F.col("mid") + 365) / 365))))
-    obs = table(spark, sf_dir, "orders").filter("o_orderkey % 50 = 0").select(F.col("o_orderkey").alias("obs"), S.mjd(F.col("o_orderdate")).alias("t")).withColumn("bucket", F.floor(F.col("t") / 365))
-    gap = F.abs(F.col("mid") - F.col("t"))
-    return obs.join(masters, "bucket").filter(gap <= 365).groupBy("obs", "kind").agg(F.min_by("id", F.struct(gap, "mid", "id")).alias("id"))
+    masters = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("kind")).agg(((F.min(m) + F.max(m)) / 2).alias("mid"))
+    masters = masters.groupBy("kind", "mid").agg(F.min("id").alias("id")).select("kind", F.col("mid").alias("t"), F.struct("mid", "id").alias("v"))
+    obs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("obs"), S.mjd(F.col("o_orderdate")).alias("t"), F.explode(F.array(*[F.lit(k) for k in "ANR"])).alias("kind"))
+    near = asof.asof_nearest(obs, masters, ["kind"], "t", "v", "mid", "near", 365, 365)
+    return near.filter("near is not null").select("obs", "kind", "near.id")
 
 
 @Q.add("rv_per_order", "with f as (select vec_id, label, unnest(embedding)::double as rv, unnest(range(64)) as ord from embeddings) select label, cast(ord as int) as ord, round(avg(rv), 6) as rv, round(stddev_samp(rv), 6) as scatter from f group by 1, 2")
@@ -175,7 +175,7 @@ def levels_expected(spark, sf_dir):
 
 @Q.add(
     "peak_track",
-    """with recursive e as (select user_id, cast(strftime(ts, '%d') as int) as night, value from events where user_id < 30), n as (select user_id, night, row_number() over (partition by user_id order by night) as k from (select distinct user_id, night from e)),
+    """with recursive e as (select user_id, cast(strftime(ts, '%d') as int) as night, value from events), n as (select user_id, night, row_number() over (partition by user_id order by night) as k from (select distinct user_id, night from e)),
     d as (select e.*, k from e join n using (user_id, night)), r(user_id, k, night, position, met) as (
       select user_id, 0::bigint, 0, median(value), true from e group by 1
       union all
@@ -185,6 +185,6 @@ def levels_expected(spark, sf_dir):
 )
 def peak_track(spark, sf_dir):
     """A line's position followed from night to night."""
-    rows = table(spark, sf_dir, "events").filter("user_id < 30").select("user_id", F.dayofmonth("ts").alias("night"), "value")
+    rows = table(spark, sf_dir, "events").select("user_id", F.dayofmonth("ts").alias("night"), "value")
     out = W.tracked(rows, USER, "night", "value", F.median("value"), 15.0)
     return out.select("user_id", F.col("step").alias("night"), F.round("position", 6).alias("position"), "met")

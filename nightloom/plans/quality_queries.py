@@ -71,11 +71,11 @@ def qc_report(spark, sf_dir):
     """select l_orderkey as obs, round(quantile_cont(l_extendedprice, 0.99), 4) as FLUX99, round(quantile_cont(l_extendedprice, 0.9), 4) as FLUX90, round(quantile_cont(l_extendedprice, 0.5), 4) as FLUX50, round(quantile_cont(l_extendedprice, 0.1), 4) as FLUX10,
       round(sum(l_extendedprice) filter (where l_linenumber = 1) / nullif(sum(l_extendedprice) filter (where l_linenumber = 2), 0), 6) as RATIO12, round(stddev_pop(l_quantity), 6) as RNOISE,
       round(0.7979 * stddev_pop(l_quantity) / nullif(avg(abs(l_quantity - m)), 0), 5) as NONGAUSS, count(*) filter (where l_tax = 0) as NNAN
-    from lineitem join (select l_orderkey as k, avg(l_quantity) as m from lineitem group by 1) on k = l_orderkey where l_orderkey % 5 = 0 group by 1""",
+    from lineitem join (select l_orderkey as k, avg(l_quantity) as m from lineitem group by 1) on k = l_orderkey group by 1""",
 )
 def diag_matrix(spark, sf_dir):
     """Flux percentiles, ratios, read noise and its shape, and missing values of each observation."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_orderkey % 5 = 0").select(F.col("l_orderkey").alias("obs"), "l_linenumber", "l_extendedprice", "l_quantity", "l_tax")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("obs"), "l_linenumber", "l_extendedprice", "l_quantity", "l_tax")
     mean = lines.groupBy("obs").agg(F.avg("l_quantity").alias("m"))
     price = F.col("l_extendedprice")
     p = F.percentile(price, F.array(*[F.lit(x) for x in (0.99, 0.9, 0.5, 0.1)]))
@@ -130,14 +130,14 @@ def telemetry_pivot(spark, sf_dir):
 
 @Q.add(
     "rv_unpivot",
-    """with l as (select l_orderkey as obs, l_linenumber as r, max(l_quantity) as rv, max(case when l_discount > 0.005 then l_tax end) as err from lineitem where l_linenumber <= 3 group by 1, 2),
-    u as (select obs, 'rv' || lpad(cast(r as varchar), 2, '0') as name, rv as value from l union all select obs, 'err' || lpad(cast(r as varchar), 2, '0'), err from l), w as (select obs, count(value) = 6 as whole from u group by 1)
+    """with l as (select l_orderkey as obs, l_linenumber as r, max(l_quantity) as rv, max(case when l_discount > 0.005 then l_tax end) as err from lineitem group by 1, 2),
+    u as (select obs, 'rv' || lpad(cast(r as varchar), 2, '0') as name, rv as value from l union all select obs, 'err' || lpad(cast(r as varchar), 2, '0'), err from l), w as (select obs, count(value) = 14 as whole from u group by 1)
     select u.obs, name, case when whole then value end as value from u join w on u.obs = w.obs""",
 )
 def rv_unpivot(spark, sf_dir):
     """A table of rows per observation as named values; an incomplete observation has none."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_linenumber <= 3").groupBy(F.col("l_orderkey").alias("obs"), F.col("l_linenumber").alias("r")).agg(F.max("l_quantity").alias("rv"), F.max(F.when(F.col("l_discount") > 0.005, F.col("l_tax"))).alias("err"))
-    return O.numbered(lines, "obs", "r", ["rv", "err"], 3)
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("obs"), F.col("l_linenumber").alias("r")).agg(F.max("l_quantity").alias("rv"), F.max(F.when(F.col("l_discount") > 0.005, F.col("l_tax"))).alias("err"))
+    return O.numbered(lines, "obs", "r", ["rv", "err"], 7)
 
 
 @Q.add("json_props", "select event_id, cast(json_extract_string(props, '$.k') as varchar) as k, len(json_keys(props)) as n_keys from events")

@@ -107,12 +107,12 @@ def error_log_counts(spark, sf_dir):
 
 @Q.add(
     "norm_bool",
-    """with t as (select event_id, list_value(' Yes', 'FALSE', '1', 'off', 'maybe', null, 'T ', '0.0')[event_id % 8 + 1] as raw from events)
-    select event_id, case when lower(trim(raw)) in ('true', 't', 'yes', 'y', '1', '1.0', 'on', 'pass') then true
-      when lower(trim(raw)) in ('false', 'f', 'no', 'n', '0', '0.0', 'off', 'fail') then false end as flag from t""",
+    """with t as (select event_id, list_value(' Yes', 'FALSE', '1', 'off', 'maybe', null, 'T ', '0.0', 'Open', 'CLOSED', 'on', 'pass', '0', 'n')[event_id % 14 + 1] as raw from events)
+    select event_id, case when lower(trim(raw)) in ('1', 'true', 't', 'yes', 'y', 'open') then true when lower(trim(raw)) in ('0', 'false', 'f', 'no', 'n', 'closed') then false end as flag from t""",
 )
 def norm_bool(spark, sf_dir):
-    raw = F.get(F.array(*[F.lit(x) for x in (" Yes", "FALSE", "1", "off", "maybe", None, "T ", "0.0")]), (F.col("event_id") % 8).cast("int"))
+    words = (" Yes", "FALSE", "1", "off", "maybe", None, "T ", "0.0", "Open", "CLOSED", "on", "pass", "0", "n")
+    raw = F.get(F.array(*[F.lit(x) for x in words]), (F.col("event_id") % len(words)).cast("int"))
     return table(spark, sf_dir, "events").select("event_id", S.loose_boolean(raw).alias("flag"))
 
 
@@ -249,11 +249,11 @@ def stale_files(spark, sf_dir):
 
 @Q.add(
     "difference_pairs",
-    """with n as (select event_type, event_id, value, lead(event_id) over w as next_event_id, lead(value) over w as next_value from events where user_id < 20 window w as (partition by event_type order by ts, event_id))
+    """with n as (select event_type, event_id, value, lead(event_id) over w as next_event_id, lead(value) over w as next_value from events window w as (partition by event_type order by ts, event_id))
     select event_type, event_id, next_event_id, round((value - next_value) / sqrt(2.0), 6) as noise from n where next_event_id is not null""",
 )
 def difference_pairs(spark, sf_dir):
     """Each frame with the next of its type; their difference over the root of two is the noise of one."""
-    events = table(spark, sf_dir, "events").filter("user_id < 20").select("event_type", "event_id", "value", "ts")
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", "value", "ts")
     pairs = registry.next_in_type(events, ["event_type"], ["ts", "event_id"], ["event_id", "value"])
     return pairs.select("event_type", "event_id", "next_event_id", F.round((F.col("value") - F.col("next_value")) / F.sqrt(F.lit(2.0)), 6).alias("noise"))

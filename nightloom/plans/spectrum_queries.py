@@ -196,12 +196,12 @@ def wls_between(spark, sf_dir):
 
 @Q.add(
     "linear_interp_grid",
-    """with s as (select user_id, epoch_us(ts) / 1e6 as x, value as y from events where user_id < 20), g as (select user_id, t as x from (select distinct user_id from s) u, (select 1704067200.0 + 50000.0 * range as t from range(50)) t),
+    """with s as (select user_id, epoch_us(ts) / 1e6 as x, value as y from events), g as (select user_id, t as x from (select distinct user_id from s) u, (select 1704067200.0 + 50000.0 * range as t from range(50)) t),
     b as (select g.user_id, g.x, max(s.x) filter (where s.x <= g.x) as xb, min(s.x) filter (where s.x >= g.x) as xa from g join s on s.user_id = g.user_id group by 1, 2)
     select b.user_id, b.x, round(case when xa = xb then sb.y else sb.y + (b.x - xb) / (xa - xb) * (sa.y - sb.y) end, 6) as y from b left join s sb on sb.user_id = b.user_id and sb.x = xb left join s sa on sa.user_id = b.user_id and sa.x = xa""",
 )
 def linear_interp_grid(spark, sf_dir):
-    samples = table(spark, sf_dir, "events").filter("user_id < 20").select("user_id", S.seconds(F.col("ts")).alias("x"), F.col("value").alias("y"))
+    samples = table(spark, sf_dir, "events").select("user_id", S.seconds(F.col("ts")).alias("x"), F.col("value").alias("y"))
     grid = samples.select("user_id").distinct().crossJoin(F.broadcast(spark.range(50).select((F.lit(1704067200.0) + 50000.0 * F.col("id")).alias("x"))))  # the grid is a parameter
     return X.interpolated(samples, grid, ["user_id"], "x", "y").withColumn("y", F.round("y", 6))
 
@@ -270,9 +270,9 @@ def variance_quadrant(spark, sf_dir):
     return pixels(spark, sf_dir).select("row", "col", S.by_quadrant(F.col("row"), F.col("col"), 20, 30, [4.0, 4.41, 3.61, 5.29]).alias("variance"))
 
 
-@Q.add("comb_lines", "select p_partkey, n, round(299792458e10 / (1e9 * p_size + n * 2e10), 4) as wave from part, range(25000, 25010) t(n) where p_partkey <= 50")
+@Q.add("comb_lines", "select p_partkey, n, round(299792458e10 / (1e9 * p_size + n * 2e10), 4) as wave from part, range(25000, 25010) t(n)")
 def comb_lines(spark, sf_dir):
-    lines = table(spark, sf_dir, "part").filter("p_partkey <= 50").select("p_partkey", F.posexplode(S.comb_lines(F.col("p_size") * 1e9, F.lit(2e10), 25000, 25009)).alias("n", "wave"))
+    lines = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(S.comb_lines(F.col("p_size") * 1e9, F.lit(2e10), 25000, 25009)).alias("n", "wave"))
     return lines.select("p_partkey", (F.col("n") + 25000).cast("long").alias("n"), F.round("wave", 4).alias("wave"))
 
 

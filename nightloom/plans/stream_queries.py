@@ -33,11 +33,11 @@ def stream_dedup(spark, sf_dir):
     return ingest.into_table(kept.select("user_id", "event_type", "ts"), f"{at}/out", f"{at}/checkpoint").groupBy("user_id").agg(F.count("*").alias("n"))
 
 
-@Q.add("stream_microbatch_counts", "select user_id, max(event_id) as event_id, arg_max(value, event_id) as value from events where user_id < 100 group by 1")
+@Q.add("stream_microbatch_counts", "select user_id, max(event_id) as event_id, arg_max(value, event_id) as value from events group by 1")
 def stream_microbatch_counts(spark, sf_dir):
     """Micro-batches register the newest event of each user."""
     at = scratch(spark, "batches")
-    stream = events(spark, sf_dir).filter("user_id < 100").select("user_id", "event_id", "value")
+    stream = events(spark, sf_dir).select("user_id", "event_id", "value")
     ingest.run_batches(stream, ingest.register_batch(f"{at}/out", "user_id", "event_id"), f"{at}/checkpoint").awaitTermination()
     return ingest.registered(spark, f"{at}/out", "user_id", "event_id").select("user_id", "event_id", "value")
 

@@ -12,37 +12,40 @@ Q = Queries()
 
 #: Calibrations made from lineitem: one per (type, day, content), with the smallest order as its id.
 CALIBRATIONS = """(select l_returnflag as caltype, cast(l_shipdate as date) as startdate, (l_linenumber & 7) as contentbits, min(l_orderkey) as cid
-    from lineitem where l_quantity > 45 group by 1, 2, 3)"""
-OBSERVATIONS = "(select o_orderkey as obs, cast(o_orderdate as date) as obsdate from orders where o_orderkey % 20 = 0)"
+    from lineitem group by 1, 2, 3)"""
+OBSERVATIONS = "(select o_orderkey as obs, cast(o_orderdate as date) as obsdate from orders)"
 
 
 def calibrations(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").filter("l_quantity > 45")
+    lines = table(spark, sf_dir, "lineitem")
     return lines.groupBy(F.col("l_returnflag").alias("caltype"), F.to_date("l_shipdate").alias("startdate"), F.expr("l_linenumber & 7").alias("contentbits")).agg(F.min("l_orderkey").alias("cid"))
 
 
 def observations(spark, sf_dir):
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0").select(F.col("o_orderkey").alias("obs"), F.to_date("o_orderdate").alias("obsdate"))
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("obs"), F.to_date("o_orderdate").alias("obsdate"))
+
+
+#: The types that are asked for.
+TYPES = ["A", "N", "R"]
 
 
 def _nearest(spark, sf_dir, days, mask=None):
-    obs = asof.time_buckets(observations(spark, sf_dir).withColumn("at", F.col("obsdate").cast("timestamp_ntz")), "at", days, False)
+    """One request per observation and type.  The mask only says which calibrations are candidates, so a sequence carries it."""
+    requests = observations(spark, sf_dir).withColumn("caltype", F.explode(F.array(*[F.lit(t) for t in TYPES]))).withColumn("at", F.col("obsdate").cast("timestamp_ntz"))
     cal = calibrations(spark, sf_dir)
     if mask:
         cal = cal.filter(F.col("contentbits").bitwiseAND(mask) == mask)
-    cal = asof.time_buckets(cal.withColumn("t", F.col("startdate").cast("timestamp_ntz")), "t", days, True).drop("t")
-    types = obs.select("obs", "obsdate", "bucket")
-    gap = F.datediff("obsdate", "startdate")
-    pairs = types.join(cal, "bucket").filter(F.abs(gap) <= days)
-    best = pairs.groupBy("obs", "obsdate", "caltype").agg(F.min_by(F.struct("startdate", "cid"), F.struct(F.abs(gap), -gap, "cid")).alias("best"))
+    cal = cal.groupBy("caltype", "startdate").agg(F.min("cid").alias("cid")).withColumn("at", F.col("startdate").cast("timestamp_ntz"))  # of one day the smallest id
+    cal = cal.select("caltype", "at", F.struct("at", "startdate", "cid").alias("v"))
+    best = asof.asof_nearest(requests, cal, ["caltype"], "at", "v", "at", "best", days * asof.DAY, 365 * asof.DAY).filter("best is not null")
     return best.select("obs", "caltype", F.col("best.startdate").alias("startdate"), F.col("best.cid").alias("cid"))
 
 
 NEAREST_SQL = f"""
     select obs, caltype, startdate, cid from (
       select o.obs, c.caltype, c.startdate, c.cid,
-             row_number() over (partition by o.obs, c.caltype order by abs(date_diff('day', c.startdate, o.obsdate)), -date_diff('day', c.startdate, o.obsdate), c.cid) as k
-      from {OBSERVATIONS} o join {CALIBRATIONS} c on abs(date_diff('day', c.startdate, o.obsdate)) <= {{days}} {{more}})
+             row_number() over (partition by o.obs, c.caltype order by abs(date_diff('day', c.startdate, o.obsdate)), c.startdate, c.cid) as k
+      from {OBSERVATIONS} o join (select caltype, startdate, min(cid) as cid from {CALIBRATIONS} c where true {{more}} group by 1, 2) c on c.startdate between o.obsdate - {{days}} and o.obsdate + {{days}})
     where k = 1"""
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +70,38 @@ def test_greedy_bins_of_unequal_steps(spark):
     rows = spark.createDataFrame([(1, float(t), float(t), 1.0) for t in (0, 4, 9, 10, 19, 20, 35)], "k int, t double, v double, e double")
     got = [(r.bin, r.n) for r in sequences.greedy_bins(rows, ["k"], "t", "v", "e", 10.0).orderBy("bin").collect()]
     assert got == [(0, 3), (1, 2), (2, 1), (3, 1)]
+
+
+def test_intervals_keep_every_row(spark):
+    """Rows that are alike stay apart, and a long list gives what a short one gives."""
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(100), rng.randrange(100), f"p{i}") for i in range(60)]
+    intervals = spark.createDataFrame(rows, "row int, start int, stop int, path string")
+    times = [rng.randrange(-5, 105) for _ in range(300)] + [7, 7, 7]
+    df = spark.createDataFrame([(t,) for t in times], "t int")
+    for lower, upper in ((">=", "<"), (">", "<"), (">=", "<=")):
+        want = []
+        for t in times:
+            held = [r for r in rows if (t > r[1] or (t == r[1] and lower == ">=")) and (t < r[2] or (t == r[2] and upper == "<="))]
+            want.append((t, max(held)[3] if held else None))
+        for nested in (asof.NESTED_ROWS, -1):
+            asof.NESTED_ROWS, before = nested, asof.NESTED_ROWS
+            got = [(r.t, r.path) for r in asof.within_interval(df, intervals, "t", "start", "stop", "path", "path", lower=lower, upper=upper).collect()]
+            asof.NESTED_ROWS = before
+            assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_greedy_bins_against_a_loop(spark):
+    rng = random.Random(4)
+    rows = [(g, rng.uniform(0, 50) if rng.random() < 0.5 else float(rng.randrange(50)), rng.uniform(0, 9), rng.choice([0.0, 1.0, 2.0])) for g in range(4) for _ in range(40 * g + 1)]
+    got = {(r.g, r.bin): (r.n, round(r.mean, 9)) for r in sequences.greedy_bins(spark.createDataFrame(rows, "g int, t double, x double, e double"), ["g"], "t", "x", "e", 1.5).collect()}
+    want = {}
+    for g in range(4):
+        bins, open_ = [], None
+        for _, t, x, e in sorted(r for r in rows if r[0] == g and r[3] > 0):
+            if open_ is None or t >= open_ + 1.5:
+                open_ = t
+                bins.append([])
+            bins[-1].append((x, e))
+        want |= {(g, i): (len(b), round(sum(x / e**2 for x, e in b) / sum(1 / e**2 for _, e in b), 9)) for i, b in enumerate(bins)}
+    assert got == want
