@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,38 @@ def upsert(stored: DataFrame, incoming: DataFrame, key: list[str], order: str) -
     return both.select(*key, *[F.coalesce(F.col(f"_in.{c}"), F.col(c)).alias(c) if c in incoming.columns else F.col(c) for c in values])
 
 
+def replaced(stored: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
+    """Incoming rows take the place of stored rows of the same key as a whole, nulls included; done says new, updated or kept.
+
+    incoming has one row per key and the columns of stored.
+    """
+    rows = F.struct(*stored.columns)
+    both = stored.select(*key, rows.alias("_old")).join(incoming.select(*key, rows.alias("_new")), key, "full_outer")
+    done = F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "kept").otherwise("updated")
+    return both.select(F.coalesce("_new", "_old").alias("_row"), done.alias("done")).select("_row.*", "done")
+
+
+def replace_date(stored: DataFrame, incoming: DataFrame, date: str, day: Column) -> DataFrame:
+    """The stored rows of all other days, and the incoming ones, which are that day's."""
+    return stored.filter(~F.col(date).eqNullSafe(day)).unionByName(incoming)
+
+
+def backfilled(stored: DataFrame, found: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """Stored rows whose empty columns take what was found for their key; what is there stays."""
+    both = stored.join(found.select(*key, *[F.col(c).alias(f"_f_{c}") for c in columns]), key, "left")
+    return both.select(*[F.coalesce(c, f"_f_{c}").alias(c) if c in columns else F.col(c) for c in stored.columns])
+
+
+def newest_version(spark: SparkSession, path: str, schema, last: int) -> DataFrame:
+    """The registry at path as of its newest version up to last; empty where there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], schema)
+    known = spark.read.schema(schema).option("basePath", path).parquet(f"{path}/version=*").select("*", F.regexp_extract("_metadata.file_path", r"version=(\d+)", 1).cast("int").alias("_version"))
+    newest = known.filter(F.col("_version") <= last).agg(F.max("_version")).first()[0]
+    return spark.createDataFrame([], schema) if newest is None else spark.read.schema(schema).parquet(f"{path}/version={newest}")
+
+
 def delete_by(tables: dict[str, DataFrame], base: str, key: str, doomed: Column) -> tuple[dict[str, DataFrame], DataFrame]:
     """The tables without the rows of doomed base rows, and (table, n_deleted) for each."""
     gone = tables[base].filter(doomed).select(key).distinct()

@@ -94,3 +94,20 @@ def classified(rules: list[tuple[str, Column]], fallback: Column | None = None)
 def present(names_by_size: dict[str, str]) -> Column:
     """The names of those products whose size column is above 0."""
     return F.array_compact(F.array(*[F.when(F.coalesce(F.col(c), F.lit(0)) > 0, F.lit(n)) for n, c in names_by_size.items()]))
+
+
+def good_darks(wanted: dict[str, str], exposure: str, least: float) -> Column:
+    """Header match and an exposure of at least so long."""
+    return header_equal(wanted) & F.coalesce(F.col(exposure).try_cast("double") >= least, F.lit(False))
+
+
+def good_biases(wanted: dict[str, str], shutters: list[str], elapsed: str, most: float) -> Column:
+    """Header match, every shutter closed, and an elapsed time of at most so long."""
+    closed = reduce(lambda a, b: a & b, [F.coalesce(F.contains(F.col(c).cast("string"), F.lit("closed")), F.lit(False)) for c in shutters], F.lit(True))
+    return header_equal(wanted) & closed & F.coalesce(F.col(elapsed).try_cast("double") <= most, F.lit(False))
+
+
+def good_arclamps(df: DataFrame, wanted: dict[str, str], lamp: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that match the header, and the distinct lamps among them."""
+    rows = df.filter(header_equal(wanted))
+    return rows, rows.select(F.trim(F.col(lamp)).alias("lamp")).distinct()

@@ -16,7 +16,7 @@ Q = Queries()
 #: Column of the header -> how it follows from an event.
 HEADER = {
     "level": "case event_id % 4 when 0 then 'L0' when 1 then '2D' when 2 then 'L1' else 'L2' end",
-    "source": "case event_type when 'click' then 'Star' when 'view' then 'Flat' when 'error' then 'LFC' when 'signup' then 'Etalon' else 'Dark' end",
+    "source": "case event_type when 'click' then 'Star' when 'view' then 'Flat' when 'error' then 'LFC' when 'signup' then 'Etalon' else case when user_id % 2 = 0 then 'Dark' else 'Bias' end end",
     "exptime": "value",
     "elapsed": "case when user_id % 10 = 0 then 6.3 else value + 0.05 end",
     "elevation": "user_id % 90",
@@ -42,6 +42,7 @@ HEADER = {
     "age_trace": "user_id % 15 - 7",
     "age_lamp": "user_id % 16 - 8",
     "mean_flux": "value / 6.0",
+    "mean_flux_red": "value / 5.0",
     "flux_p98": "value * 60.0",
     "snr_low": "value * 8.0",
     "snr_high": "value * 30.0",
@@ -70,12 +71,13 @@ ALL, CAL = ["all"], ["Flat", "LFC", "Etalon", "Star"]
 CHECKS = [
     ("NOTJUNK", ALL, ALL, "not junk"),
     ("MONOTWLS", ["L1"], ALL, "monotonic"),
-    ("TIMCHKL0", ["L0"], ALL, "date_gap <= 1.0"),
-    ("TIMCHKL2", ["L2"], ALL, "date_gap <= 2.0"),
+    ("TIMCHKL0", ["L0"], ALL, "date_gap <= 0.1"),
+    ("TIMCHKL2", ["L2"], ALL, "date_gap <= 0.1"),
     ("EMSAT", ["L0"], ALL, "em_saturated < 1.5 * em_columns / 100"),
     ("EMNEG", ["L0"], ALL, "em_negative_run < 20"),
     ("LFC2DFOK", ["2D"], ["LFC"], "flux_p98 >= 4000"),
-    ("LOWDARK", ["2D"], ["Dark"], "mean_flux <= 11"),
+    ("LOWBIAS", ["2D"], ["Bias"], "mean_flux <= 10 and mean_flux_red <= 10"),
+    ("LOWDARK", ["2D"], ["Dark"], "mean_flux <= 11 and mean_flux_red <= 13"),
     ("DATAPRL1", ["L1"], ALL, "orders_green = 35 and orders_red = 32"),
     ("CAHKPRL1", ["L1"], ALL, "hk_rows > 0"),
     ("DATAPRL2", ["L2"], ALL, "orders_green + orders_red = 67"),
@@ -94,7 +96,9 @@ CHECKS = [
     ("LFCLINES", ["L1"], ["LFC"], "comb_first <= 2 and comb_last >= 34"),
     ("LFCLINEP", ["L1"], ["LFC"], "comb_last >= 34"),
     ("ETALINES", ["L1"], ["Etalon"], "comb_first <= 3 and comb_last >= 33"),
-    ("WILDWLS", ["L1"], ALL, "wls_std < 5"),
+    ("WILDWSCI", ["L1"], ALL, "wls_std < 5"),
+    ("WILDWSKY", ["L1"], ALL, "wls_std + 1 < 5"),
+    ("WILDWCAL", ["L1"], ALL, "wls_std - 1 < 5"),
     ("NTPGOOD", ["L0"], ALL, "ntp_ms < 100"),
     ("GUIDGOOD", ["L0"], ["Star"], "guide_rms <= 50 and guide_bias <= 50"),
     ("TARGPLAU", ["L0"], ["Star"], "gaia = '123'"),

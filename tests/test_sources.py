@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from nightloom.functions import scalars as S
-from nightloom.operators import asof, sequences, statistics
+from nightloom.operators import asof, ingest, registry, sequences, statistics
 from nightloom.sources import observations as O
+from nightloom.streaming import ingest as streams
 
 
 def one(spark, column):
@@ -105,3 +106,26 @@ def test_greedy_bins_against_a_loop(spark):
             bins[-1].append((x, e))
         want |= {(g, i): (len(b), round(sum(x / e**2 for x, e in b) / sum(1 / e**2 for _, e in b), 9)) for i, b in enumerate(bins)}
     assert got == want
+
+
+def test_ingest_batches(spark, tmp_path):
+    """A stream of listings keeps a registry; a batch that is repeated changes nothing, and nulls replace values."""
+    schema = "obs long, read_l0 timestamp_ntz, total double"
+    way = ingest.Ingest("obs", ["l0"], ["read_l0"], lambda rows: rows.select("obs", F.col("l0").alias("read_l0"), "total"))
+    listing = lambda *rows: spark.createDataFrame(rows, "obs long, l0 string, total double").withColumn("l0", F.col("l0").cast("timestamp_ntz"))
+    each = way.batches(spark, str(tmp_path / "registry"), schema)
+    batches = [listing((1, "2024-01-01", 1.0), (2, "2024-01-01", 2.0)), listing((1, "2024-01-02", None), (2, "2024-01-01", 9.0), (3, "2024-01-01", 3.0))]
+    for number, batch in enumerate(batches):
+        each(batch, number)
+    each(batches[1], 1)
+    got = {r.obs: r.total for r in registry.newest_version(spark, str(tmp_path / "registry"), schema, 99).collect()}
+    assert got == {1: None, 2: 2.0, 3: 3.0}
+
+
+def test_ingest_stream(spark, tmp_path):
+    schema = "obs long, read_l0 timestamp_ntz, total double"
+    spark.createDataFrame([(i, "2024-01-01", float(i)) for i in range(20)], "obs long, l0 string, total double").withColumn("l0", F.col("l0").cast("timestamp_ntz")).repartition(3).write.parquet(str(tmp_path / "in"))
+    way = ingest.Ingest("obs", ["l0"], ["read_l0"], lambda rows: rows.select("obs", F.col("l0").alias("read_l0"), "total"))
+    stream = streams.file_stream(spark, str(tmp_path / "in"), "obs long, l0 timestamp_ntz, total double", per_batch=1)
+    streams.run_batches(stream, way.batches(spark, str(tmp_path / "registry"), schema), str(tmp_path / "checkpoint")).awaitTermination()
+    assert registry.newest_version(spark, str(tmp_path / "registry"), schema, 99).count() == 20
