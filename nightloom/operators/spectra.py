@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .statistics import finite
+from .sizes import broadcast_small
+
+#: Lines shifted to velocities, of some 50 bytes, up to which they are broadcast.
+SHIFTED_ROWS = 500_000
 
 
 def less_row_median(pixels: DataFrame, by: list[str], value: str, overscan: Column) -> DataFrame:
@@ -72,7 +76,7 @@ def in_trace(pixels: DataFrame, traces: DataFrame, row: str, col: str, coefficie
     """
     c = F.col(col).cast("double")
     mid = F.aggregate(F.reverse(F.col(coefficients)), F.lit(0.0), lambda acc, k: acc * c + k)
-    joined = pixels.join(F.broadcast(traces), (c >= F.col("x1")) & (c <= F.col("x2")))  # traces of one detector: tens of rows
+    joined = pixels.join(broadcast_small(traces), (c >= F.col("x1")) & (c <= F.col("x2")))
     return joined.filter((F.col(row) >= F.ceil(mid - F.col(below))) & (F.col(row) <= F.floor(mid + F.col(above)) - 1))
 
 
@@ -87,15 +91,16 @@ def tiled_background(pixels: DataFrame, row: str, col: str, value: str, height:
 def correlated(pixels: DataFrame, lines: DataFrame, velocities: DataFrame, by: list[str], light: float) -> DataFrame:
     """Cross-correlation with a line mask: per velocity the sum of flux * weight * overlap of line and pixel.
 
-    lines and velocities are parameters of the method, a few thousand rows each at most; their product is spread
-    over wavelength cells that the pixels share, so that the join is an equi-join.  Where two lines cover a pixel
+    The product of lines and velocities, parameters of the method, is spread over wavelength cells that the pixels
+    share, so that the join is an equi-join; it is broadcast only where their counts say that it is small.  Where two lines cover a pixel
     the later one counts.
     """
     cell = 16.0
-    shifted = lines.crossJoin(F.broadcast(velocities)).withColumns({"_lo": F.col("start") * (1 + F.col("velocity") / light), "_hi": F.col("stop") * (1 + F.col("velocity") / light)})
+    small = lines.limit(SHIFTED_ROWS).count() * velocities.limit(SHIFTED_ROWS).count() <= SHIFTED_ROWS
+    shifted = lines.crossJoin(broadcast_small(velocities)).withColumns({"_lo": F.col("start") * (1 + F.col("velocity") / light), "_hi": F.col("stop") * (1 + F.col("velocity") / light)})
     shifted = shifted.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("_lo") / cell), F.floor(F.col("_hi") / cell))))
     cells = pixels.withColumn("_cell", F.explode(F.sequence(F.floor(F.col("lo") / cell), F.floor(F.col("hi") / cell))))
-    met = cells.join(F.broadcast(shifted), "_cell").filter((F.col("_lo") < F.col("hi")) & (F.col("_hi") > F.col("lo")))
+    met = cells.join(F.broadcast(shifted) if small else shifted, "_cell").filter((F.col("_lo") < F.col("hi")) & (F.col("_hi") > F.col("lo")))
     overlap = (F.least("_hi", "hi") - F.greatest("_lo", "lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     one = met.groupBy(*by, "velocity", "pixel", "flux").agg(F.max_by(F.col("weight") * overlap, "line").alias("_w"))
     return one.groupBy(*by, "velocity").agg(F.sum(F.col("flux") * F.col("_w")).alias("ccf"))
@@ -116,7 +121,7 @@ def reweighted(ccf: DataFrame, ratios: DataFrame, by: list[str], on: str) -> Dat
     top = ccf.groupBy(*by, on).agg(F.max("ccf").alias("_top"))
     whole = top.groupBy(*by).agg(F.max("_top").alias("_all"))
     scale = F.col("_all") * F.col("ratio") / F.nullif(F.col("_top"), F.lit(0.0))
-    return ccf.join(top, [*by, on]).join(whole, by).join(F.broadcast(ratios), on).withColumn("ccf", F.col("ccf") * scale).drop("_top", "_all", "ratio")
+    return ccf.join(top, [*by, on]).join(whole, by).join(broadcast_small(ratios), on).withColumn("ccf", F.col("ccf") * scale).drop("_top", "_all", "ratio")
 
 
 def centre_of(ccf: DataFrame, by: list[str], depth: float) -> DataFrame:
@@ -162,14 +167,14 @@ def interpolated(samples: DataFrame, grid: DataFrame, by: list[str], at: str, va
 def sliding_clipped_mean(pixels: DataFrame, by: list[str], at: str, value: str, half: int, n_sigma: float) -> DataFrame:
     """Mean of the values within half places that lie within n sigma of their median, sigma from p16 and p84.
 
-    The bounds depend on the centre, so every value is sent to the centres it serves: 2 * half + 1 rows for each.
+    Both the percentiles and the values are taken over one window frame of each row of places, which is sorted once.
     """
-    sent = pixels.select(*by, F.explode(F.sequence(F.col(at) - half, F.col(at) + half)).alias(at), finite(F.col(value)).alias("_x"))
-    sent = sent.join(pixels.select(*by, at), [*by, at], "left_semi")
-    p = sent.groupBy(*by, at).agg(F.percentile("_x", F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).alias("_p"), F.collect_list("_x").alias("_all"))  # 2 * half + 1 values
+    frame = Window.partitionBy(*by).orderBy(at).rangeBetween(-half, half)
+    x = finite(F.col(value))
+    p = pixels.select(*by, at, F.percentile(x, F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).over(frame).alias("_p"), F.collect_list(x).over(frame).alias("_all"))  # 2 * half + 1 values
     middle, spread = F.get("_p", F.lit(1)), (F.get("_p", F.lit(2)) - F.get("_p", F.lit(0))) / 2
-    kept = F.filter("_all", lambda x: F.abs(x - middle) <= F.lit(n_sigma) * spread)
-    return p.select(*by, at, (F.aggregate(kept, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(kept), F.lit(0))).alias(value))
+    kept = F.filter("_all", lambda v: F.abs(v - middle) <= F.lit(n_sigma) * spread)
+    return p.select(*by, at, (F.aggregate(kept, F.lit(0.0), lambda total, v: total + v) / F.nullif(F.size(kept), F.lit(0))).alias(value))
 
 
 def repaired(pixels: DataFrame, by: list[str], at: str, value: str) -> DataFrame:

@@ -156,10 +156,16 @@ def centred(df: DataFrame, by: list[str], value: str, how: str) -> DataFrame:
     return df.join(m, by).withColumn("centred", out).drop("_m")
 
 
+MOST_STATES = 1000  # that a plot could tell apart
+
+
 def states(df: DataFrame, c: str, by: str) -> DataFrame:
     """A number per distinct state in their order, for plots of states over time."""
-    known = df.select(c).distinct().withColumn("state", F.dense_rank().over(Window.orderBy(c)))  # distinct states, a handful
-    return df.join(F.broadcast(known), c).select(by, c, "state")
+    known = [r[0] for r in df.select(c).distinct().orderBy(c).limit(MOST_STATES + 1).collect()]
+    if len(known) > MOST_STATES:
+        raise ValueError(f"more than {MOST_STATES} states in {c}")
+    place = F.array_position(F.array(*[F.lit(x) for x in known]), F.col(c)) if known else F.lit(None)
+    return df.select(by, c, place.cast("int").alias("state")).filter("state is not null")
 
 
 def bootstrap_median(df: DataFrame, by: list[str], value: str, key: str, rounds: int) -> DataFrame:
