@@ -1,39 +1,31 @@
 """Licence scan: text units against licence templates by Dice's coefficient over word bigrams.
 
-A unit is a line of a document, or the run of a document's lines when it is short enough to be a licence.  Units
-are normalised (lower case, letters and digits only) and compared as sets of word bigrams:
+Texts are cut into pieces at line breaks and at the ends of sentences.  Units are pieces, runs of neighbouring pieces
+that look like a licence (a notice that is wrapped, or the body of a licence inside a longer text), once across blank
+lines and once within paragraphs, and whole documents that are short enough.  A piece looks like a licence if half of its bigrams
+stand in some template.  Units are normalised (lower case, letters and digits only) and compared as sets of bigrams:
 Dice = 2 * common / (unit's + template's).  Dice >= t bounds the sizes, so that a unit of n bigrams can only match
-templates of n * t / (2 - t) to n * (2 - t) / t bigrams: templates are looked up by size, and a unit that no
-template's size fits is never cut into bigrams.
+templates of n * t / (2 - t) to n * (2 - t) / t bigrams: templates are looked up by size.  It also takes
+t / 2 * (1 + t / (2 - t)) of the unit's bigrams to be the template's, so a unit with fewer known ones is never scored.
 
-Everything is DataFrame expressions.  Defined results: null and empty texts have no unit; a unit of one word has
-that word as its only gram; equal scores go to the first licence by name; rows that repeat a doc_id are scanned
+Everything is DataFrame expressions.  Defined results: null and empty texts have no unit; pieces of one word are no
+units and end no run; equal scores go to the first licence by name; rows that repeat a doc_id are scanned
 each; extra columns are not used; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAST = 0.75
+LIKE = 0.5  # share of a piece's bigrams from which it looks like a licence
 
-#: Licence -> notices by which a text declares it.
-TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'],
-    "BSD-2-Clause": ["Released under the BSD 2-Clause License."],
-    "BSD-3-Clause": ["Released under the BSD 3-Clause License.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC0-1.0": ["Released under CC0 1.0 Universal.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
-    "MIT": ["Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-}
+#: Licence -> notices by which a text declares it, and its body where that is short.
+TEMPLATES: dict[str, list[str]] = json.loads((Path(__file__).parent / "licences.json").read_text())
 
 
 def normalised(text: Column) -> Column:
@@ -53,31 +45,63 @@ def once(column: Column) -> Column:
     return F.explode(F.array(column))
 
 
-def templates_by_size(docs: DataFrame, templates: dict[str, list[str]], least: float) -> tuple[DataFrame, int]:
-    """(n, [(license_id, grams, n_grams)]) for every unit size n that a template fits, and the largest such n.
-
-    As many rows as the longest template has admissible sizes, whatever is scanned.
-    """
+def template_grams(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
+    """(license_id, grams, n_grams) of each template."""
     named = docs.sparkSession.createDataFrame([(k, t) for k, v in sorted(templates.items()) for t in v], "license_id string, template string")
-    named = named.select("license_id", bigrams(F.split(normalised(F.col("template")), " ")).alias("grams")).withColumn("n_grams", F.size("grams"))
+    return named.select("license_id", bigrams(F.split(normalised(F.col("template")), " ")).alias("grams")).withColumn("n_grams", F.size("grams"))
+
+
+def templates_by_size(named: DataFrame, least: float) -> DataFrame:
+    """(n, [(license_id, grams, n_grams)]) for every unit size n that a template fits: as many rows as templates have admissible sizes."""
     low, high = F.ceil(F.col("n_grams") * least / (2 - least)).cast("int"), F.floor(F.col("n_grams") * (2 - least) / least).cast("int")
     sized = named.withColumn("n", F.explode(F.sequence(low, high)))
-    most = sized.agg(F.max("n")).first()[0] or 0
-    return sized.groupBy("n").agg(F.sort_array(F.collect_list(F.struct("license_id", "grams", "n_grams"))).alias("fitting")), most
+    return sized.groupBy("n").agg(F.sort_array(F.collect_list(F.struct("license_id", "grams", "n_grams"))).alias("fitting"))
+
+
+def known_share(grams: Column, known: list[str]) -> Column:
+    return F.size(F.filter(grams, lambda g: g.isin(known))) / F.size(grams)
+
+
+SENTENCE = "\x01"  # stands between the sentences of a line
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, nth, at, line, unit) for each piece of two words or more: its number among those, among all pieces, and its line."""
+    marked = F.regexp_replace("text", r"([.!?;])[\x20\t]+", "$1" + SENTENCE)
+    cut = F.flatten(F.transform(F.split(marked, "\n"), lambda whole, line: F.transform(F.split(whole, SENTENCE), lambda unit: F.struct(line.alias("line"), unit.alias("unit")))))
+    worded = F.filter(F.transform(cut, lambda p, at: F.struct(at.alias("at"), p["line"].alias("line"), p["unit"].alias("unit"))), lambda p: p["unit"].rlike(r"[\p{L}\p{N}][^\p{L}\p{N}]+[\p{L}\p{N}]"))
+    rows = docs.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.posexplode(worded).alias("nth", "p"))
+    return rows.select("doc_id", "text_key", "nth", "p.at", "p.line", "p.unit")
 
 
 def licence_matches(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """(doc_id, line, license_id, dice, unit) for each unit that matches; line -1 is a whole short document."""
-    fitting, most = templates_by_size(docs, templates, least)
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    units = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(lines).alias("line", "unit"))
-    whole = docs.filter(F.instr("text", "\n") > 0).select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(-1).alias("line"), F.col("text").alias("unit"))
-    units = units.unionByName(whole)
-    # each distinct word but the first brings a bigram of its own, so the words alone bound the size from below
-    units = units.withColumn("words", once(F.split(normalised(F.col("unit")), " ")))
-    units = units.filter((F.element_at("words", 1) != "") & (F.size(F.array_distinct("words")) <= most + 1))
-    units = units.withColumn("grams", once(bigrams(F.col("words")))).drop("words").withColumn("n", F.size("grams"))
-    near = units.join(F.broadcast(fitting), "n")  # a row per admissible size of the templates
+    """(doc_id, line, license_id, dice, unit) for each unit that matches, and the line where it begins; -1 is a whole short document."""
+    named = template_grams(docs, templates)
+    known = sorted({g for r in named.select("grams").collect() for g in r["grams"]})  # the templates' bigrams
+    most = max((r[0] for r in templates_by_size(named, least).select("n").collect()), default=0)
+    need = least / 2 * (1 + least / (2 - least)) - 1e-9
+
+    def with_grams(units: DataFrame, bounded: bool) -> DataFrame:
+        """Units with their bigrams; bounded: each distinct word but the first brings a bigram of its own, so words bound the size from below."""
+        units = units.withColumn("words", once(F.split(normalised(F.col("unit")), " ")))
+        units = units.filter(F.size(F.array_distinct("words")) <= most + 1) if bounded else units
+        units = units.withColumn("grams", once(bigrams(F.col("words")))).drop("words").withColumn("n", F.size("grams"))
+        return units.withColumn("share", once(known_share(F.col("grams"), known)))
+
+    like = with_grams(pieces(docs), False).filter(F.col("share") >= LIKE)
+    placed = like.select("doc_id", "text_key", "nth", "at", "line", "unit").distinct()
+    over = Window.partitionBy("doc_id", "text_key").orderBy("at")
+    runs = None
+    for place in ("nth", "at"):  # without and with the blank pieces, which end a run
+        run = placed.withColumn("run", F.col(place) - F.row_number().over(over)).groupBy("doc_id", "text_key", "run")
+        one = run.agg(F.sort_array(F.collect_list(F.struct("at", "line", "unit"))).alias("all")).filter(F.size("all") > 1)  # pieces of one document
+        one = one.select("doc_id", "text_key", F.col("all")[0]["line"].alias("line"), F.array_join(F.transform("all", lambda x: x["unit"]), " ").alias("unit"))
+        runs = one if runs is None else runs.unionByName(one)
+    whole = docs.filter(F.instr("text", "\n") > 0).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.lit(-1).alias("line"), F.col("text").alias("unit"))
+    more = with_grams(runs.unionByName(whole), True)
+    columns = ["doc_id", "line", "unit", "grams", "n", "share"]
+    units = like.select(*columns).unionByName(more.select(*columns)).filter(F.col("share") >= need)
+    near = units.join(F.broadcast(templates_by_size(named, least)), "n")  # a row per admissible size of the templates
     score = F.transform("fitting", lambda t: F.struct((F.lit(2.0) * F.size(F.array_intersect(F.col("grams"), t["grams"])) / (F.col("n") + t["n_grams"])).alias("dice"), t["license_id"].alias("license_id")))
     best = F.aggregate("scores", F.struct(F.lit(-1.0).alias("dice"), F.lit("").alias("license_id")), lambda a, x: F.when((x["dice"] > a["dice"]), x).otherwise(a))
     scored = near.withColumn("scores", once(score)).withColumn("best", once(best))
@@ -91,16 +115,27 @@ def oracle_sql(templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST
     grams = "list_distinct(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end)"
     return f"""
         with t as (select license_id, {grams} as g from (select license_id, string_split({plain.format("t")}, ' ') as w from (values {rows}) v(license_id, t))),
-        u as (select doc_id, unnest(string_split(text, chr(10))) as unit, unnest(range(len(string_split(text, chr(10))))) as line from documents where text is not null
-              union all select doc_id, text, -1 from documents where contains(text, chr(10))),
-        g as (select doc_id, line, {grams} as g from (select doc_id, line, string_split({plain.format("unit")}, ' ') as w from u) where w[1] <> ''),
-        s as (select doc_id, line, license_id, 2.0 * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) as dice from g, t
-              where len(g.g) between len(t.g) * {least / (2 - least)} and len(t.g) * {(2 - least) / least}),
-        b as (select *, row_number() over (partition by doc_id, line order by dice desc, license_id) as k from s)
-        select doc_id, license_id, max(dice) as dice, count(*) as n_units, min(line) as first_line
-        from b where k = 1 and dice >= {least} group by doc_id, license_id"""
+        k as (select list(distinct gram) as known from (select unnest(g) as gram from t)),
+        d as (select distinct doc_id, text from documents where text is not null),
+        l as (select doc_id, text, unnest(string_split(regexp_replace(text, '([.!?;])[\\x20\\t]+', '\\1' || chr(1), 'g'), chr(10))) as whole, unnest(range(len(string_split(text, chr(10))))) as line from d),
+        c as (select doc_id, text, line, unnest(string_split(whole, chr(1))) as unit, unnest(range(len(string_split(whole, chr(1))))) as k from l),
+        n as (select *, row_number() over (partition by doc_id, text order by line, k) as pos from c),
+        p as (select *, row_number() over (partition by doc_id, text order by pos) as nth from n where regexp_matches(unit, '[\\p{{L}}\\p{{N}}][^\\p{{L}}\\p{{N}}]+[\\p{{L}}\\p{{N}}]')),
+        q as (select doc_id, text, line, unit, pos, nth, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from p)),
+        e as (select * from q, k where len(list_intersect(g, known)) >= {LIKE} * len(g)),
+        o as (select *, row_number() over (partition by doc_id, text order by pos) as r from e),
+        u as (select doc_id, line, unit from o
+              union all select doc_id, arg_min(line, pos), string_agg(unit, ' ' order by pos) from o group by doc_id, text, nth - r having count(*) > 1
+              union all select doc_id, arg_min(line, pos), string_agg(unit, ' ' order by pos) from o group by doc_id, text, pos - r having count(*) > 1
+              union all select doc_id, -1, text from d where contains(text, chr(10))),
+        x as (select row_number() over () as id, doc_id, line, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from u) where w[1] <> ''),
+        s as (select id, doc_id, line, license_id, 2.0 * len(list_intersect(x.g, t.g)) / (len(x.g) + len(t.g)) as dice from x, t
+              where len(x.g) between len(t.g) * {least / (2 - least)} and len(t.g) * {(2 - least) / least}),
+        b as (select *, row_number() over (partition by id order by dice desc, license_id) as best from s)
+        select doc_id, license_id, max(dice) as dice, count(distinct line) as n_units, min(line) as first_line
+        from b where best = 1 and dice >= {least} group by doc_id, license_id"""
 
 
 def scan_documents(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
-    """(doc_id, license_id, dice, n_units, first_line): the licences that each document declares."""
-    return licence_matches(docs, templates, least).groupBy("doc_id", "license_id").agg(F.max("dice").alias("dice"), F.count("*").alias("n_units"), F.min("line").alias("first_line"))
+    """(doc_id, license_id, dice, n_units, first_line): the licences that each document declares, and in how many lines their units begin."""
+    return licence_matches(docs, templates, least).groupBy("doc_id", "license_id").agg(F.max("dice").alias("dice"), F.count_distinct("line").alias("n_units"), F.min("line").alias("first_line"))
