@@ -3,7 +3,7 @@
 Texts are cut into pieces at line breaks and at the ends of sentences.  Units are pieces, runs of neighbouring pieces
 that look like a licence (a notice that is wrapped, or the body of a licence inside a longer text), once across blank
 lines and once within paragraphs, and whole documents that are short enough.  A piece looks like a licence if half of its bigrams
-stand in some template.  Units are normalised (lower case, letters and digits only) and compared as sets of bigrams:
+and half of its words stand in some template; other units need the words.  Units are normalised (lower case, letters and digits only) and compared as sets of bigrams:
 Dice = 2 * common / (unit's + template's).  Dice >= t bounds the sizes, so that a unit of n bigrams can only match
 templates of n * t / (2 - t) to n * (2 - t) / t bigrams: templates are looked up by size.  It also takes
 t / 2 * (1 + t / (2 - t)) of the unit's bigrams to be the template's, so a unit with fewer known ones is never scored.
@@ -21,8 +21,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .workspace import Workspace
+
 LEAST = 0.75
-LIKE = 0.5  # share of a piece's bigrams from which it looks like a licence
+LIKE = 0.5  # share of a unit's words, and of a piece's bigrams, that the templates have where it looks like a licence
 
 #: Licence -> notices by which a text declares it, and its body where that is short.
 TEMPLATES: dict[str, list[str]] = json.loads((Path(__file__).parent / "licences.json").read_text())
@@ -33,6 +35,11 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
+def words_of(text: Column) -> Column:
+    """The words of normalised(text), in one pass."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
+
+
 def bigrams(words: Column) -> Column:
     """The set of word bigrams of an array of words; a single word is its own gram."""
     n = F.size(words)
@@ -48,7 +55,7 @@ def once(column: Column) -> Column:
 def template_grams(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
     """(license_id, grams, n_grams) of each template."""
     named = docs.sparkSession.createDataFrame([(k, t) for k, v in sorted(templates.items()) for t in v], "license_id string, template string")
-    return named.select("license_id", bigrams(F.split(normalised(F.col("template")), " ")).alias("grams")).withColumn("n_grams", F.size("grams"))
+    return named.select("license_id", bigrams(words_of(F.col("template"))).alias("grams")).withColumn("n_grams", F.size("grams"))
 
 
 def templates_by_size(named: DataFrame, least: float) -> DataFrame:
@@ -81,14 +88,21 @@ def licence_matches(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES
     most = max((r[0] for r in templates_by_size(named, least).select("n").collect()), default=0)
     need = least / 2 * (1 + least / (2 - least)) - 1e-9
 
+    known_words = sorted({w for g in known for w in g.split(" ")})
+
     def with_grams(units: DataFrame, bounded: bool) -> DataFrame:
-        """Units with their bigrams; bounded: each distinct word but the first brings a bigram of its own, so words bound the size from below."""
-        units = units.withColumn("words", once(F.split(normalised(F.col("unit")), " ")))
+        """Units with their bigrams, those of which LIKE of the words are known at all.
+
+        bounded: each distinct word but the first brings a bigram of its own, so words bound the size from below.
+        """
+        units = units.withColumn("words", once(words_of(F.col("unit"))))
         units = units.filter(F.size(F.array_distinct("words")) <= most + 1) if bounded else units
+        units = units.filter((F.size("words") > 0) & (known_share(F.col("words"), known_words) >= LIKE))
         units = units.withColumn("grams", once(bigrams(F.col("words")))).drop("words").withColumn("n", F.size("grams"))
         return units.withColumn("share", once(known_share(F.col("grams"), known)))
 
-    like = with_grams(pieces(docs), False).filter(F.col("share") >= LIKE)
+    work = Workspace(docs.sparkSession, "licences")
+    like = work.keep(with_grams(pieces(docs), False).filter(F.col("share") >= LIKE), "like")  # read for units and for runs
     placed = like.select("doc_id", "text_key", "nth", "at", "line", "unit").distinct()
     over = Window.partitionBy("doc_id", "text_key").orderBy("at")
     runs = None
@@ -115,20 +129,20 @@ def oracle_sql(templates: dict[str, list[str]] = TEMPLATES, least: float = LEAST
     grams = "list_distinct(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end)"
     return f"""
         with t as (select license_id, {grams} as g from (select license_id, string_split({plain.format("t")}, ' ') as w from (values {rows}) v(license_id, t))),
-        k as (select list(distinct gram) as known from (select unnest(g) as gram from t)),
+        k as (select list(distinct gram) as known, list_distinct(flatten(list(string_split(gram, ' ')))) as known_words from (select unnest(g) as gram from t)),
         d as (select distinct doc_id, text from documents where text is not null),
         l as (select doc_id, text, unnest(string_split(regexp_replace(text, '([.!?;])[\\x20\\t]+', '\\1' || chr(1), 'g'), chr(10))) as whole, unnest(range(len(string_split(text, chr(10))))) as line from d),
         c as (select doc_id, text, line, unnest(string_split(whole, chr(1))) as unit, unnest(range(len(string_split(whole, chr(1))))) as k from l),
         n as (select *, row_number() over (partition by doc_id, text order by line, k) as pos from c),
         p as (select *, row_number() over (partition by doc_id, text order by pos) as nth from n where regexp_matches(unit, '[\\p{{L}}\\p{{N}}][^\\p{{L}}\\p{{N}}]+[\\p{{L}}\\p{{N}}]')),
-        q as (select doc_id, text, line, unit, pos, nth, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from p)),
-        e as (select * from q, k where len(list_intersect(g, known)) >= {LIKE} * len(g)),
+        q as (select doc_id, text, line, unit, pos, nth, w, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from p)),
+        e as (select * from q, k where len(list_intersect(g, known)) >= {LIKE} * len(g) and len(list_filter(w, lambda i: list_contains(known_words, i))) >= {LIKE} * len(w)),
         o as (select *, row_number() over (partition by doc_id, text order by pos) as r from e),
         u as (select doc_id, line, unit from o
               union all select doc_id, arg_min(line, pos), string_agg(unit, ' ' order by pos) from o group by doc_id, text, nth - r having count(*) > 1
               union all select doc_id, arg_min(line, pos), string_agg(unit, ' ' order by pos) from o group by doc_id, text, pos - r having count(*) > 1
               union all select doc_id, -1, text from d where contains(text, chr(10))),
-        x as (select row_number() over () as id, doc_id, line, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from u) where w[1] <> ''),
+        x as (select row_number() over () as id, doc_id, line, {grams} as g from (select *, string_split({plain.format("unit")}, ' ') as w from u), k where w[1] <> '' and len(list_filter(w, lambda i: list_contains(known_words, i))) >= {LIKE} * len(w)),
         s as (select id, doc_id, line, license_id, 2.0 * len(list_intersect(x.g, t.g)) / (len(x.g) + len(t.g)) as dice from x, t
               where len(x.g) between len(t.g) * {least / (2 - least)} and len(t.g) * {(2 - least) / least}),
         b as (select *, row_number() over (partition by id order by dice desc, license_id) as best from s)
