@@ -43,8 +43,8 @@ BLOCK_BYTES = 8 << 20
 PER_GRAM = 8  # cells of the table in which grams are looked up
 GRAM = 4
 TABLES = math.ceil(math.log(1 - RECALL) / math.log(1 - (1 - SPREAD) ** BITS[128]) / WALKS) * WALKS
-PAIRS = 5_000  # windows that are read at once
-HELD = 2_000_000  # common grams that are looked at at once, where they are not all of one text
+PAIRS = 2_000  # windows that are read at once
+HELD = 400_000  # common grams that are looked at at once, where they are not all of one text
 
 _random = np.random.default_rng(20240229)
 _STEP = _random.integers(0, 2, (WALKS, 2 * SIZES[-1], 256)).astype(np.int64)  # of each walk, step and byte: stay or advance
