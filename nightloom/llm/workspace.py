@@ -12,15 +12,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset, one inside the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    """The folder of spark.checkpoint.dir; on one machine, where that is unset, one inside the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
 
 
 BATCH_ROWS = 2000
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Long texts go to Python in batches of at most BATCH_ROWS rows, where the session has no smaller bound."""
+    """Long texts go to Python in batches of at most BATCH_ROWS rows, where the session has no smaller bound; Spark bounds their bytes itself."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, BATCH_ROWS)
