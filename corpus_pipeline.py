@@ -3,6 +3,12 @@ documents with benchmark items go, and the rest is packed into training sequence
 
 Each stage takes all rows that the stage before it kept and returns the columns of documents; the last returns the
 pieces of the packed sequences.
+
+Defined results: null and empty texts are not toxic, have no lines, are no one's copies and hold no item; they stay,
+and the last stage gives them the closing id only.  Rows without doc_id are scored, searched and packed like others,
+lose no lines and are no one's copies.  Of rows that repeat doc_id and text one stays after the third stage; rows that
+repeat a doc_id with other texts are one document.  Extra columns are kept up to the last stage, whatever they are
+called.  Empty tables give an empty result; without labels or benchmark nothing is rejected by them.
 """
 
 from __future__ import annotations
@@ -29,10 +35,16 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copy_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies; documents without words or id are no one's copies."""
+    """The first document of each group of near copies, once; documents without words or id are no one's copies."""
     groups = jaccard_join.similarity_groups(docs)
     copies = groups.filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    twice = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    # only rows of repeated ids are compared with each other
+    again = kept.join(twice, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
 
 
 def benchmark_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
