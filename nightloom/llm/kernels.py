@@ -1,6 +1,6 @@
 """NumPy helpers that run inside tasks: word hashes, shingle sets and exact edit distance.
 
-Every helper takes the texts of one Arrow batch and looks at them in slices of a few MB, so that the
+Every helper takes the texts of one Arrow batch and looks at them in slices of half a MB, so that the
 temporary arrays stay small whatever the batch holds.  A single text is never cut.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint64)
