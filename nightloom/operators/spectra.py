@@ -18,6 +18,36 @@ def less_row_median(pixels: DataFrame, by: list[str], value: str, overscan: Colu
     return pixels.filter(~overscan).join(level, by, "left").withColumn(value, F.col(value) - F.col("_o")).drop("_o")
 
 
+def less_clipped_mean(pixels: DataFrame, by: list[str], value: str, overscan: Column, n_sigma: float) -> DataFrame:
+    """Pixels outside the overscan less the mean of their amplifier's overscan, of the values within n sigma of its median; sigma is half of p84 - p16."""
+    strip = pixels.filter(overscan).select(*by, finite(F.col(value)).alias("_v"))
+    p = strip.groupBy(*by).agg(F.percentile("_v", F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).alias("_p"))
+    near = F.abs(F.col("_v") - F.col("_p")[1]) <= F.lit(n_sigma) * (F.col("_p")[2] - F.col("_p")[0]) / 2
+    level = strip.join(p, by).filter(near).groupBy(*by).agg(F.avg("_v").alias("_o"))
+    return pixels.filter(~overscan).join(level, by, "left").withColumn(value, F.col(value) - F.col("_o")).drop("_o")
+
+
+#: How a channel of each orientation key is read out: whether its rows, and its columns, are turned around.
+ORIENTATIONS = {1: (False, True), 2: (True, True), 3: (True, False), 4: (False, False)}
+
+
+def turned(pixels: DataFrame, row: str, col: str, key: str, rows: int, cols: int) -> DataFrame:
+    """Pixels of channels of rows x cols with the places that their orientation key says; the same step turns them back."""
+    upside = F.col(key).isin([k for k, (r, _) in ORIENTATIONS.items() if r])
+    mirrored = F.col(key).isin([k for k, (_, c) in ORIENTATIONS.items() if c])
+    return pixels.withColumns({row: F.when(upside, rows - 1 - F.col(row)).otherwise(F.col(row)), col: F.when(mirrored, cols - 1 - F.col(col)).otherwise(F.col(col))})
+
+
+def assembled(pixels: DataFrame, row: str, col: str, channel_row: str, channel_col: str, rows: int, cols: int) -> DataFrame:
+    """Pixels of channels as pixels of the full frame; channels are numbered from 1 down and to the right."""
+    return pixels.withColumns({row: F.col(row) + (F.col(channel_row) - 1) * rows, col: F.col(col) + (F.col(channel_col) - 1) * cols})
+
+
+def ccf_skew(ccf: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Skewness of a correlation function's values, third moment over the second's power of 3/2; a scaled function has the same."""
+    return ccf.groupBy(*by).agg(F.skewness(value).alias("skew"))
+
+
 def less_line_fit(pixels: DataFrame, row: str, value: str, overscan: Column) -> DataFrame:
     """Pixels outside the overscan less the straight line through the overscan means of the rows."""
     means = pixels.filter(overscan).groupBy(row).agg(F.avg(value).alias("_m"))

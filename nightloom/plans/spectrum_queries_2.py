@@ -139,3 +139,32 @@ def weighted_stack(spark, sf_dir):
     """Orders combined to one velocity: the weighted mean and its error."""
     mean, _ = A.weighted("l_extendedprice", "l_quantity")
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.round(mean, 4).alias("mean"), F.round(A.weighted_error("l_tax", "l_quantity"), 10).alias("error"))
+
+
+@Q.add(
+    "overscan_clipped_mean",
+    f"""with p as (select row // 20 as amp, * from {PIXELS}), q as (select amp, quantile_cont(data, 0.16) as a, quantile_cont(data, 0.5) as m, quantile_cont(data, 0.84) as b from p where col >= 52 group by 1),
+    o as (select p.amp, avg(data) as o from p join q on p.amp = q.amp where col >= 52 and abs(data - m) <= 1.2 * (b - a) / 2 group by 1) select row, col, round(data - o, 3) as data from p left join o on p.amp = o.amp where col < 52""",
+)
+def overscan_clipped_mean(spark, sf_dir):
+    """One level for the whole strip of an amplifier."""
+    rows = pixels(spark, sf_dir).select("row", "col", "data", F.floor(F.col("row") / 20).alias("amp"))
+    return X.less_clipped_mean(rows, ["amp"], "data", F.col("col") >= 52, 1.2).select("row", "col", F.round("data", 3).alias("data"))
+
+
+@Q.add(
+    "full_frame",
+    f"""with p as (select row % 20 as r, col % 30 as c, row // 20 as cr, col // 30 as cc, data from {PIXELS})
+    select cast(case when cr = 1 and cc = 0 or cr = 0 and cc = 1 then 19 - r else r end + 20 * cr as bigint) as row, cast(case when cr = 0 then 29 - c else c end + 30 * cc as bigint) as col, round(data, 4) as data from p""",
+)
+def full_frame(spark, sf_dir):
+    """Four channels, of orientation keys 1 to 4, turned as they are read and put together."""
+    rows = pixels(spark, sf_dir).select((F.col("row") % 20).cast("long").alias("row"), (F.col("col") % 30).cast("long").alias("col"), (F.floor(F.col("row") / 20) + 1).alias("cr"), (F.floor(F.col("col") / 30) + 1).alias("cc"), "data")
+    rows = X.turned(rows.withColumn("key", F.col("cr") * 2 + F.col("cc") - 2), "row", "col", "key", 20, 30)
+    return X.assembled(rows, "row", "col", "cr", "cc", 20, 30).select("row", "col", F.round("data", 4).alias("data"))
+
+
+@Q.add("ccf_skew", "with f as (select label, unnest(embedding)::double as x from embeddings), m as (select label, avg(x) as m from f group by 1) select f.label, round(avg(power(x - m, 3)) / power(avg(power(x - m, 2)), 1.5), 6) as skew from f join m on f.label = m.label group by 1")
+def ccf_skew(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("x")).withColumn("x", F.col("x").cast("double"))
+    return X.ccf_skew(rows, ["label"], "x").select("label", F.round("skew", 6).alias("skew"))

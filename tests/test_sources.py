@@ -7,6 +7,7 @@ from nightloom.functions import scalars as S
 from nightloom.operators import asof, ingest, registry, sequences, statistics
 from nightloom.sources import observations as O
 from nightloom.streaming import ingest as streams
+from nightloom.streaming import tracking
 
 
 def one(spark, column):
@@ -129,3 +130,15 @@ def test_ingest_stream(spark, tmp_path):
     stream = streams.file_stream(spark, str(tmp_path / "in"), "obs long, l0 timestamp_ntz, total double", per_batch=1)
     streams.run_batches(stream, way.batches(spark, str(tmp_path / "registry"), schema), str(tmp_path / "checkpoint")).awaitTermination()
     assert registry.newest_version(spark, str(tmp_path / "registry"), schema, 99).count() == 20
+
+
+def test_tracked_stream_is_the_batch_fold(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(k, n, float(rng.randrange(60)), 30.0) for n in range(6) for k in range(4) for _ in range(3)]
+    schema = "k int, night int, x double, first double"
+    for n in range(6):  # one file a night, in order
+        spark.createDataFrame([r for r in rows if r[1] == n], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = streams.file_stream(spark, str(tmp_path / "in"), schema, newest_first=False, per_batch=1)
+    out = streams.into_table(tracking.tracked(stream, "k", "night", "x", "first", 9.0), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    batch = sequences.tracked(spark.createDataFrame(rows, schema), ["k"], "night", "x", F.first("first"), 9.0)
+    assert sorted(map(tuple, out.collect())) == sorted((r.k, r.step, r.position, r.met) for r in batch.collect())
