@@ -80,9 +80,10 @@ def shingle_sets(texts: pa.Array, k: int = 5) -> Iterator[np.ndarray]:
     """
     for _, data, offsets in slices(texts):
         hashed, _, _, at = words(data, offsets)
-        run = np.zeros(max(0, len(hashed) - k + 1), np.uint64)
+        runs = max(0, len(hashed) - k + 1)
+        run = np.zeros(runs, np.uint64)
         for i in range(k):
-            run = mix(run + hashed[i : len(hashed) - k + 1 + i] * _ODD + np.uint64(i + 1))
+            run = mix(run + hashed[i : runs + i] * _ODD + np.uint64(i + 1))
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if b - a >= k:
                 s = np.sort(run[a : b - k + 1])

@@ -74,3 +74,11 @@ def test_sketches_bound_the_difference():
     for a in range(40):
         for b, far in zip(range(40), many.distance(a, np.arange(40)), strict=True):
             assert far == sketch_distance(bits[a], bits[b]) <= len(np.setxor1d(sets[a], sets[b]))
+
+
+def test_sets_do_not_depend_on_the_slices(monkeypatch):
+    texts = pa.array(["one", "", "one two three four five six seven", None, "a b", "one two three four five six seven eight", " "])
+    whole = [s.tolist() for s in shingle_sets(texts)]
+    for size in (1, 10, 40):
+        monkeypatch.setattr("nightloom.llm.kernels.SLICE_BYTES", size)
+        assert [s.tolist() for s in shingle_sets(texts)] == whole
