@@ -155,13 +155,13 @@ def overscan_clipped_mean(spark, sf_dir):
 @Q.add(
     "full_frame",
     f"""with p as (select row % 20 as r, col % 30 as c, row // 20 as cr, col // 30 as cc, data from {PIXELS})
-    select cast(case when cr = 1 and cc = 0 or cr = 0 and cc = 1 then 19 - r else r end + 20 * cr as bigint) as row, cast(case when cr = 0 then 29 - c else c end + 30 * cc as bigint) as col, round(data, 4) as data from p""",
+    select cast(case when cr = 1 and cc = 0 or cr = 0 and cc = 1 then 19 - r else r end + 20 * cr as bigint) as row, cast(case when cr = 0 then 29 - c else c end + 30 * cc as bigint) as col, round(data, 3) as data from p""",
 )
 def full_frame(spark, sf_dir):
     """Four channels, of orientation keys 1 to 4, turned as they are read and put together."""
     rows = pixels(spark, sf_dir).select((F.col("row") % 20).cast("long").alias("row"), (F.col("col") % 30).cast("long").alias("col"), (F.floor(F.col("row") / 20) + 1).alias("cr"), (F.floor(F.col("col") / 30) + 1).alias("cc"), "data")
     rows = X.turned(rows.withColumn("key", F.col("cr") * 2 + F.col("cc") - 2), "row", "col", "key", 20, 30)
-    return X.assembled(rows, "row", "col", "cr", "cc", 20, 30).select("row", "col", F.round("data", 4).alias("data"))
+    return X.assembled(rows, "row", "col", "cr", "cc", 20, 30).select("row", "col", F.round("data", 3).alias("data"))
 
 
 @Q.add("ccf_skew", "with f as (select label, unnest(embedding)::double as x from embeddings), m as (select label, avg(x) as m from f group by 1) select f.label, round(avg(power(x - m, 3)) / power(avg(power(x - m, 2)), 1.5), 6) as skew from f join m on f.label = m.label group by 1")
