@@ -38,7 +38,6 @@ def _side(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str,
     other = right.select(*by, at, F.col(value).alias("_value"), F.lit(False).alias("_left"), F.lit(tie).alias("_rank"))
     rows = rows.unionByName(other, allowMissingColumns=True).withColumn("_bucket", F.floor(_clock(left.schema, at) / bucket))
     key = [*by, "_bucket"]
-    order = [F.col(at).asc(), F.col("_rank").asc(), F.col("_value").asc_nulls_first()]
     ends = rows.filter("not _left").groupBy(*key)
     # the value that a bucket hands on, and over all buckets the last one handed on before
     if back:
@@ -46,12 +45,13 @@ def _side(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str,
     else:
         ends = ends.agg(F.min(F.struct(F.col(at).alias("t"), F.col("_value").alias("v"))).alias("_end"))
     filled = rows.select(*key).distinct().join(ends, [*key], "left") if not by else rows.select(*key).distinct().join(ends, key, "left")
-    over = Window.partitionBy(*by).orderBy("_bucket")
-    over = over.rowsBetween(Window.unboundedPreceding, -1) if back else over.rowsBetween(1, Window.unboundedFollowing)
-    carried = filled.withColumn("_carried", (F.last if back else F.first)("_end.v", ignorenulls=True).over(over)).select(*key, "_carried")
-    near = Window.partitionBy(*key).orderBy(*order)
-    near = near.rowsBetween(Window.unboundedPreceding, 0) if back else near.rowsBetween(0, Window.unboundedFollowing)
-    rows = rows.withColumn("_near", (F.last if back else F.first)("_value", ignorenulls=True).over(near)).filter("_left")
+    # a frame that grows from one end is kept as it goes, one that shrinks is computed anew for each row; so rows after
+    # a row are those before it in the reverse order
+    turn = (lambda c: c.asc_nulls_first()) if back else (lambda c: c.desc_nulls_first())
+    over = Window.partitionBy(*by).orderBy(turn(F.col("_bucket"))).rowsBetween(Window.unboundedPreceding, -1)
+    carried = filled.withColumn("_carried", F.last("_end.v", ignorenulls=True).over(over)).select(*key, "_carried")
+    near = Window.partitionBy(*key).orderBy(turn(F.col(at)), turn(F.col("_rank")), turn(F.col("_value"))).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_near", F.last("_value", ignorenulls=True).over(near)).filter("_left")
     rows = rows.join(carried, key, "left").withColumn(out, F.coalesce("_near", "_carried"))
     return rows.drop("_left", "_rank", "_value", "_bucket", "_near", "_carried")
 

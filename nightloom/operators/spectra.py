@@ -188,8 +188,8 @@ def interpolated(samples: DataFrame, grid: DataFrame, by: list[str], at: str, va
     known = F.when(~F.col("_g"), F.struct(F.col(at).alias("x"), F.col("_v").alias("y")))
     w = Window.partitionBy(*by).orderBy(at, "_g")
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*by).orderBy(at, F.col("_g").desc()).rowsBetween(0, Window.unboundedFollowing)
-    rows = rows.withColumn("_b", F.last(known, ignorenulls=True).over(back)).withColumn("_a", F.first(known, ignorenulls=True).over(ahead)).filter("_g")
+    ahead = Window.partitionBy(*by).orderBy(F.col(at).desc(), F.col("_g").asc()).rowsBetween(Window.unboundedPreceding, 0)  # a frame that only grows
+    rows = rows.withColumn("_b", F.last(known, ignorenulls=True).over(back)).withColumn("_a", F.last(known, ignorenulls=True).over(ahead)).filter("_g")
     run = F.nullif(F.col("_a.x") - F.col("_b.x"), F.lit(0.0))
     return rows.select(*by, at, F.when(F.col("_a.x") == F.col("_b.x"), F.col("_b.y")).otherwise(F.col("_b.y") + (F.col(at) - F.col("_b.x")) / run * (F.col("_a.y") - F.col("_b.y"))).alias(value))
 
