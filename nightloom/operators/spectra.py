@@ -210,8 +210,8 @@ def sliding_clipped_mean(pixels: DataFrame, by: list[str], at: str, value: str,
 def repaired(pixels: DataFrame, by: list[str], at: str, value: str) -> DataFrame:
     """NaN and null values replaced on the line between their nearest good neighbours; at the ends by the nearest one."""
     good = F.when(finite(F.col(value)).isNotNull(), F.struct(F.col(at).alias("x"), F.col(value).alias("y")))
-    w = Window.partitionBy(*by).orderBy(at)
-    rows = pixels.withColumns({"_b": F.last(good, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first(good, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))})
+    back, ahead = (Window.partitionBy(*by).orderBy(c).rowsBetween(Window.unboundedPreceding, 0) for c in (F.col(at).asc(), F.col(at).desc()))
+    rows = pixels.withColumns({"_b": F.last(good, ignorenulls=True).over(back), "_a": F.last(good, ignorenulls=True).over(ahead)})
     line = F.col("_b.y") + (F.col(at) - F.col("_b.x")) / F.nullif(F.col("_a.x") - F.col("_b.x"), F.lit(0)) * (F.col("_a.y") - F.col("_b.y"))
     out = F.when(F.col("_b").isNull(), F.col("_a.y")).when(F.col("_a").isNull() | (F.col("_a.x") == F.col("_b.x")), F.col("_b.y")).otherwise(line)
     return rows.withColumn(value, out).drop("_b", "_a")
