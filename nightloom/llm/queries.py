@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_dedup, html_extraction, jaccard_join, license_scan, line_dedup, packing, paragraph_dedup, sharding, toxicity
+from . import (
+    decision_lists,
+    decontamination,
+    exact_dedup,
+    hard_negatives,
+    html_extraction,
+    jaccard_join,
+    license_scan,
+    line_dedup,
+    packing,
+    paragraph_dedup,
+    sharding,
+    toxicity,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +75,23 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction, op10_paragraph_dedup)}
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decision_lists.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return out.select("doc_id", *base, "base_failed", "kept", "rule")
+
+
+def op12_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", turned), F.col("vec_id") % 50 == 0)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_exact_dedup, op4_ngram_jaccard_join, op5_sharding, op6_packing, op7_benchmark_decontamination, op8_license_scan, op9_html_extraction, op10_paragraph_dedup, op11_quality_rules, op12_hard_negative_mining, op13_embedding_whitening)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": """
@@ -78,5 +108,14 @@ ORACLE_SQL = {
         e as (select a, b from l union all select b, a from l),
         r(doc_id, reached) as (select doc_id, doc_id from documents union select r.doc_id, e.b from r join e on r.reached = e.a)
         select r.doc_id, coalesce(max(n), 0) as n_shingles, min(reached) as component_id from r left join n on n.doc_id = r.doc_id group by 1""",
+    "op12_hard_negative_mining": """
+        with u as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda c: floor(256 * c::double)) as x
+                   from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+        s as (select a.vec_id as a, b.vec_id as b, a.label = b.label as same, list_dot_product(a.x, b.x)::bigint as score
+              from u a join u b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+        p as (select a, b, score from s where same qualify row_number() over (partition by a order by score desc, b) <= 5),
+        n as (select p.a, p.b, p.score, s.b as neg, s.score as neg_score, row_number() over (partition by p.a, p.b order by s.score desc, s.b) as rank
+              from p join s on s.a = p.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score)
+        select a as anchor_id, b as positive_id, rank::integer as rank, neg as negative_id, score as positive_score, neg_score as negative_score from n where rank <= 3""",
     "op8_license_scan": license_scan.oracle_sql(),
 }
