@@ -99,17 +99,6 @@ def optimally_extracted(pixels: DataFrame, by: list[str], clip: float, rounds: i
     return profile_extracted(pixels, by)
 
 
-def in_trace(pixels: DataFrame, traces: DataFrame, row: str, col: str, coefficients: str, below: str, above: str, tile: int = 64) -> DataFrame:
-    """Pixels with the trace whose rows ceil(mid - below) .. floor(mid + above) - 1 hold them.
-
-    Traces are spread over tiles of columns and the rows they reach, so that a pixel only meets traces of its tile.
-    """
-    c = F.col(col).cast("double")
-    mid = F.aggregate(F.reverse(F.col(coefficients)), F.lit(0.0), lambda acc, k: acc * c + k)
-    joined = pixels.join(broadcast_small(traces), (c >= F.col("x1")) & (c <= F.col("x2")))
-    return joined.filter((F.col(row) >= F.ceil(mid - F.col(below))) & (F.col(row) <= F.floor(mid + F.col(above)) - 1))
-
-
 def tiled_background(pixels: DataFrame, row: str, col: str, value: str, height: int, width: int, n_sigma: float) -> DataFrame:
     """Per tile the median of the values within n sigma of the tile's median."""
     rows = pixels.withColumn("tile_row", F.floor(F.col(row) / height)).withColumn("tile_col", F.floor(F.col(col) / width)).withColumn("_x", finite(F.col(value)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +26,12 @@ class Queries:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark, name):
+    """A folder that driver and executors share; on one machine, where none is set, one inside the warehouse."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+    top = top or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
+    return f"{top.rstrip('/')}/nightloom-work/{name}-{uuid.uuid4().hex}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import frames
 from ..operators import spectra as X
 from ._common import Queries, table
 
@@ -89,7 +90,7 @@ TRACES = [(0, [4.0, 0.05], 2.0, 2.5, 0, 59), (1, [14.0, 0.1, -0.0005], 1.5, 3.0,
 def order_mask_join(spark, sf_dir):
     """Pixels of each order by its trace polynomial and edges."""
     traces = spark.createDataFrame(TRACES, "trace int, c array<double>, below double, above double, x1 int, x2 int")
-    return X.in_trace(pixels(spark, sf_dir).select("row", "col"), traces, "row", "col", "c", "below", "above").select("trace", "row", "col")
+    return frames.in_trace(pixels(spark, sf_dir).select("row", "col"), traces, "row", "col", "c", "below", "above").select("trace", "row", "col")
 
 
 @Q.add("straylight_mean", f"with p as {PIXELS} select round(avg(data), 4) as level, count(*) as n from p where row % 8 in (0, 7) and col between 3 and 56")

@@ -2,25 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..streaming import ingest
-from ._common import Queries
+from ._common import Queries, scratch
 
 Q = Queries()
 
 
-def scratch(spark, name):
-    """A folder that driver and executors share; on one machine, where none is set, one inside the warehouse."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-    top = top or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/work"
-    return f"{top.rstrip('/')}/nightloom-streams/{name}-{uuid.uuid4().hex}"
-
-
 def events(spark, sf_dir):
     """The events file as a stream of files."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
