@@ -86,7 +86,8 @@ def columns_of(pixels: DataFrame, by: list[str], gain: float) -> DataFrame:
         F.col("row").cast("int").alias("row"), F.col("data").cast("double").alias("d"), F.col("sky").cast("double").alias("s"), F.col("weight").cast("double").alias("w"),
         F.col("profile").cast("double").alias("p"), (F.col("variance") - F.abs("data") / F.lit(gain)).cast("double").alias("v0"), m.alias("m"),
     )
-    columns = pixels.groupBy(*by).agg(F.sort_array(F.collect_list(p)).alias("_p"))
+    more = [F.first("flux").alias("flux")] if "flux" in pixels.columns else []  # one for all pixels of a column
+    columns = pixels.groupBy(*by).agg(F.sort_array(F.collect_list(p)).alias("_p"), *more)
     return columns.withColumn("_f", total(F.col("_p"), lambda x: x["m"] * (x["d"] - x["s"]) * x["w"]))
 
 
@@ -115,12 +116,14 @@ def spatial_profile(pixels: DataFrame, order: list[str], width: int, knots: int,
     rows = rows.join(middle, line)
     spread = rows.groupBy(*line).agg((F.lit(1.482602218505602) * F.median(F.abs(F.col("_off") - F.col("_m")))).alias("_s"))
     kept = rows.join(spread, line).filter(F.col("_p").isNotNull() & (F.abs("_off") <= F.lit(n_sigma) * F.col("_s")))
-    ends = kept.groupBy(*line).agg(F.min("col").cast("double").alias("_a"), F.max("col").cast("double").alias("_b"))
+    a, b = F.min("col").cast("double"), F.max("col").cast("double")
+    inner = F.transform(F.sequence(F.lit(1), F.lit(knots - 2)), lambda i: a + 1 + (b - a - 2) * i / F.lit(knots - 1))
+    ends = kept.groupBy(*line).agg(a.alias("_a"), b.alias("_b"), fits.cubic_knots(a, b, inner).alias("_t"))
     nearest = F.greatest(F.least(F.col("col").cast("double"), F.col("_b")), F.col("_a"))  # constant beyond the values
-    inner = [F.col("_a") + 1 + (F.col("_b") - F.col("_a") - 2) * F.lit(i / (knots - 1)) for i in range(1, knots - 1)]
-    basis = fits.cubic_splines(nearest, F.col("_a"), F.col("_b"), inner)
-    fit = fits.least_squares(kept.join(ends, line), line, basis, "_p")
-    smooth = pixels.join(fit.select(*line, "coefficients").join(ends, line), line, "left").withColumn("_q", F.greatest(fits.evaluated(basis), F.lit(0.0)))
+    splines, basis = fits.cubic_splines(nearest, F.col("_t")), fits.entries("_splines", knots + 2)
+    fit = fits.least_squares(kept.join(ends, line).withColumn("_splines", splines), line, basis, "_p")
+    smooth = rows.join(fit.select(*line, "coefficients").join(ends, line), line, "left").withColumn("_splines", splines)
+    smooth = smooth.withColumn("_q", F.greatest(fits.evaluated(basis), F.lit(0.0)))
     smooth = smooth.withColumn("_q", F.when(F.col("weight") > 0, F.coalesce("_q", F.lit(0.0))).otherwise(0.0))
     column = Window.partitionBy(*order, "col")
     scaled = F.col("_q") / F.nullif(F.sum(F.col("_q") * F.col("weight")).over(column), F.lit(0.0))
@@ -139,8 +142,7 @@ def extracted_with_profile(pixels: DataFrame, order: list[str], clip: float, kee
     rows, done = keep(rows.withColumn("flux", box)), None
     for number in range(1, most + 1):
         held = spatial_profile(rows, order, width, knots, n_sigma)
-        lists = columns_of(held, [*order, "col"], gain).join(rows.select(*order, "col", "flux").distinct(), [*order, "col"])
-        step = lists.select(*order, "col", one_round(F.col("_p").cast(PIXEL), F.col("flux"), clip, gain).alias("x")).select(*order, "col", "x.*")
+        step = columns_of(held, [*order, "col"], gain).select(*order, "col", one_round(F.col("_p").cast(PIXEL), F.col("flux"), clip, gain).alias("x")).select(*order, "col", "x.*")
         step = keep(step)
         open_orders = step.groupBy(*order).agg(F.bool_or("masked").alias("_open"))
         closed = open_orders.filter(~F.col("_open") | F.lit(number == most)).select(*order)

@@ -42,26 +42,41 @@ def on_unit(at: Column, size: int) -> Column:
     return F.lit(2.0) * at / F.lit(max(size - 1, 1)) - F.lit(1.0)
 
 
-def cubic_splines(x: Column, low: Column, high: Column, inner: list[Column]) -> list[Column]:
-    """The cubic B-splines between low and high, which hold x, with these inner knots in rising order."""
-    knots = [low] * 4 + inner + [high] * 4
-    last = 3 + len(inner)  # the last interval that is not empty; it holds its right end
-    splines = []
-    for i in range(len(knots) - 1):
-        inside = (x >= knots[i]) & ((x <= knots[i + 1]) if i == last else (x < knots[i + 1]))
-        splines.append(F.when(inside, 1.0).otherwise(0.0) if 3 <= i <= last else None)
-    for degree in (1, 2, 3):
-        wider = []
-        for i in range(len(splines) - 1):
-            up, down = splines[i], splines[i + 1]
-            terms = []
-            if up is not None:
-                terms.append((x - knots[i]) / F.nullif(knots[i + degree] - knots[i], F.lit(0.0)) * up)
-            if down is not None:
-                terms.append((knots[i + degree + 1] - x) / F.nullif(knots[i + degree + 1] - knots[i + 1], F.lit(0.0)) * down)
-            wider.append(None if not terms else terms[0] if len(terms) == 1 else terms[0] + terms[1])
-        splines = wider
-    return splines
+def cubic_knots(low: Column, high: Column, inner: Column) -> Column:
+    """The array of knots for cubic_splines(): the inner ones, an array in rising order, between four times each end."""
+    return F.concat(F.array_repeat(low, 4), inner, F.array_repeat(high, 4))
+
+
+def cubic_splines(x: Column, at: Column) -> Column:
+    """The array of the cubic B-splines' values at x on the knots in the array `at`, between whose ends x lies.
+
+    Degree by degree, each spline from two of the degree before; knots that fall together count as 0.
+    """
+    last = F.size(at) - 5  # the last interval that is not empty; it holds its right end
+
+    def part(i: Column, over: Column) -> Column:
+        return F.coalesce(over / F.nullif(i, F.lit(0.0)), F.lit(0.0))
+
+    def inside(i: Column) -> Column:
+        return (x >= F.get(at, i)) & ((x < F.get(at, i + 1)) | ((i == last) & (x <= F.get(at, i + 1)))) & (F.get(at, i) < F.get(at, i + 1))
+
+    def raised(splines: Column, degree: int) -> Column:
+        def one(i: Column) -> Column:
+            up = part(F.get(at, i + degree) - F.get(at, i), x - F.get(at, i)) * F.get(splines, i)
+            down = part(F.get(at, i + degree + 1) - F.get(at, i + 1), F.get(at, i + degree + 1) - x) * F.get(splines, i + 1)
+            return up + down
+
+        return F.transform(F.sequence(F.lit(0), F.size(splines) - 2), one)
+
+    out = F.transform(F.sequence(F.lit(0), F.size(at) - 2), lambda i: F.when(inside(i), 1.0).otherwise(0.0))
+    for use in (lambda s: raised(s, 1), lambda s: raised(s, 2), lambda s: raised(s, 3)):
+        out = F.transform(F.array(out), use)[0]  # computed once for all that is made of it
+    return out
+
+
+def entries(array: str, n: int) -> list[Column]:
+    """An array column of n values as a basis."""
+    return [F.get(array, F.lit(i)) for i in range(n)]
 
 
 # fits

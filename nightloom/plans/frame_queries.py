@@ -16,7 +16,7 @@ Q = Queries()
 HEIGHT, WIDTH, SPAN = 32, 64, 1000
 
 PIXELS = f"""(select l_orderkey // {SPAN} as frame, cast((l_partkey * 7 + l_linenumber) % {HEIGHT} as int) as row, cast((l_suppkey * 11 + l_orderkey) % {WIDTH} as int) as col,
-    sum(l_extendedprice) / 100 as data, sum(l_quantity) as quantity, avg(l_discount) as sky, max(l_linenumber) as line from lineitem group by 1, 2, 3)"""
+    sum(l_extendedprice) / 97.00012345::double as data, sum(l_quantity) as quantity, avg(l_discount) as sky, max(l_linenumber) as line from lineitem group by 1, 2, 3)"""
 
 
 def pixels(spark, sf_dir):
@@ -24,7 +24,7 @@ def pixels(spark, sf_dir):
     frame = F.floor(F.col("l_orderkey") / SPAN).cast("long").alias("frame")
     row = ((F.col("l_partkey") * 7 + F.col("l_linenumber")) % HEIGHT).cast("int").alias("row")
     col = ((F.col("l_suppkey") * 11 + F.col("l_orderkey")) % WIDTH).cast("int").alias("col")
-    sums = [(F.sum("l_extendedprice") / 100).alias("data"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("sky"), F.max("l_linenumber").alias("line")]
+    sums = [(F.sum("l_extendedprice") / 97.00012345).alias("data"), F.sum("l_quantity").alias("quantity"), F.avg("l_discount").alias("sky"), F.max("l_linenumber").alias("line")]
     return lines.groupBy(frame, row, col).agg(*sums)
 
 
@@ -183,7 +183,7 @@ def optimal_extract_to_end(spark, sf_dir):
 @Q.add("optimal_extract_profile")
 def optimal_extract_profile(spark, sf_dir):
     """Optimal extraction with a profile that is estimated from the order before each round."""
-    out = extraction.extracted_with_profile(cut(spark, sf_dir).drop("profile"), ["frame", "ord"], CLIP, kept_in(spark, "extraction"), width=15, knots=6, gain=GAIN)
+    out = extraction.extracted_with_profile(cut(spark, sf_dir).drop("profile"), ["frame", "ord"], CLIP, kept_in(spark, "extraction"), width=15, knots=6, gain=GAIN, most=5)
     return out.select("frame", "ord", "col", "flux", "variance", "rounds")
 
 

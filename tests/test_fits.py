@@ -74,8 +74,9 @@ def test_cubic_splines_span_the_splines_of_their_knots(spark):
     a = spline_space(x / 40, inner / 40)
     want = a @ np.linalg.lstsq(a, y, rcond=None)[0]
     rows = spark.createDataFrame([(float(p), float(q)) for p, q in zip(x, y, strict=True)], "x double, y double")
-    basis = fits.cubic_splines(F.col("x"), F.lit(x.min()), F.lit(x.max()), [F.lit(float(k)) for k in inner])
-    assert len(basis) == knots + 2
+    at = fits.cubic_knots(F.lit(x.min()), F.lit(x.max()), F.array(*[F.lit(float(k)) for k in inner]))
+    rows, basis = rows.withColumn("b", fits.cubic_splines(F.col("x"), at)), fits.entries("b", knots + 2)
+    assert {r.n for r in rows.select(F.size("b").alias("n")).collect()} == {knots + 2}
     fit = fits.least_squares(rows, [], basis, "y")
     got = np.array([r.v for r in fits.joined(rows, fit, []).select("x", fits.evaluated(basis).alias("v")).orderBy("x").collect()])
     assert np.abs(got - want).max() < 1e-6
