@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from . import fits
 from .statistics import finite
 
+MAD_SIGMA = 1.482602218505602  # standard deviation of a normal sample over its median absolute deviation
 PIXEL = "array<struct<row int, d double, s double, w double, p double, v0 double, m int>>"
 
 
@@ -111,18 +112,19 @@ def spatial_profile(pixels: DataFrame, order: list[str], width: int, knots: int,
     line, half = [*order, "row"], width // 2
     raw = finite((F.col("data") - F.col("sky")) / F.nullif(F.col("flux"), F.lit(0.0)))
     frame = Window.partitionBy(*line).orderBy("col").rowsBetween(-half, half)
-    rows = pixels.withColumn("_p", raw).withColumn("_off", F.col("_p") - F.percentile("_p", F.lit(0.5)).over(frame))
-    middle = rows.groupBy(*line).agg(F.median("_off").alias("_m"))
-    rows = rows.join(middle, line)
-    spread = rows.groupBy(*line).agg((F.lit(1.482602218505602) * F.median(F.abs(F.col("_off") - F.col("_m")))).alias("_s"))
-    kept = rows.join(spread, line).filter(F.col("_p").isNotNull() & (F.abs("_off") <= F.lit(n_sigma) * F.col("_s")))
-    a, b = F.min("col").cast("double"), F.max("col").cast("double")
+    rows = pixels.withColumn("_p", raw).withColumn("_raw", F.col("_p") - F.percentile("_p", F.lit(0.5)).over(frame)).withColumn("_off", F.col("_raw"))
+    whole = Window.partitionBy(*line)  # as long as the detector is wide; sorted for the running median, so nothing moves
+    rows = rows.withColumn("_off", F.col("_off") - F.median("_off").over(whole)).withColumn("_mad", F.median(F.abs("_off")).over(whole))
+    rows = rows.withColumn("_ok", F.coalesce(F.abs("_raw") <= F.lit(n_sigma * MAD_SIGMA) * F.col("_mad"), F.lit(False)))
+    at = F.when(F.col("_ok"), F.col("col").cast("double"))
+    rows = rows.withColumns({"_a": F.min(at).over(whole), "_b": F.max(at).over(whole)})
+    a, b = F.col("_a"), F.col("_b")
     inner = F.transform(F.sequence(F.lit(1), F.lit(knots - 2)), lambda i: a + 1 + (b - a - 2) * i / F.lit(knots - 1))
-    ends = kept.groupBy(*line).agg(a.alias("_a"), b.alias("_b"), fits.cubic_knots(a, b, inner).alias("_t"))
-    nearest = F.greatest(F.least(F.col("col").cast("double"), F.col("_b")), F.col("_a"))  # constant beyond the values
-    splines, basis = fits.cubic_splines(nearest, F.col("_t")), fits.entries("_splines", knots + 2)
-    fit = fits.least_squares(kept.join(ends, line).withColumn("_splines", splines), line, basis, "_p")
-    smooth = rows.join(fit.select(*line, "coefficients").join(ends, line), line, "left").withColumn("_splines", splines)
+    nearest = F.greatest(F.least(F.col("col").cast("double"), b), a)  # constant beyond the values
+    rows = rows.withColumn("_splines", fits.cubic_splines(nearest, F.when(a.isNotNull(), fits.cubic_knots(a, b, inner))))
+    basis = fits.entries("_splines", knots + 2)
+    fit = fits.least_squares(rows.filter("_ok"), line, basis, "_p")
+    smooth = rows.join(fit.select(*line, "coefficients"), line, "left")
     smooth = smooth.withColumn("_q", F.greatest(fits.evaluated(basis), F.lit(0.0)))
     smooth = smooth.withColumn("_q", F.when(F.col("weight") > 0, F.coalesce("_q", F.lit(0.0))).otherwise(0.0))
     column = Window.partitionBy(*order, "col")

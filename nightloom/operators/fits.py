@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # bases
 
@@ -47,30 +49,28 @@ def cubic_knots(low: Column, high: Column, inner: Column) -> Column:
     return F.concat(F.array_repeat(low, 4), inner, F.array_repeat(high, 4))
 
 
-def cubic_splines(x: Column, at: Column) -> Column:
-    """The array of the cubic B-splines' values at x on the knots in the array `at`, between whose ends x lies.
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def cubic_splines(x: pd.Series, at: pd.Series) -> pd.Series:
+    """The array of the cubic B-splines' values at x on the knots in the array `at`, between whose ends x lies; null without knots.
 
-    Degree by degree, each spline from two of the degree before; knots that fall together count as 0.
+    Degree by degree, each spline from two of the degree before; knots that fall together count as 0.  All arrays of
+    knots have one length.
     """
-    last = F.size(at) - 5  # the last interval that is not empty; it holds its right end
-
-    def part(i: Column, over: Column) -> Column:
-        return F.coalesce(over / F.nullif(i, F.lit(0.0)), F.lit(0.0))
-
-    def inside(i: Column) -> Column:
-        return (x >= F.get(at, i)) & ((x < F.get(at, i + 1)) | ((i == last) & (x <= F.get(at, i + 1)))) & (F.get(at, i) < F.get(at, i + 1))
-
-    def raised(splines: Column, degree: int) -> Column:
-        def one(i: Column) -> Column:
-            up = part(F.get(at, i + degree) - F.get(at, i), x - F.get(at, i)) * F.get(splines, i)
-            down = part(F.get(at, i + degree + 1) - F.get(at, i + 1), F.get(at, i + degree + 1) - x) * F.get(splines, i + 1)
-            return up + down
-
-        return F.transform(F.sequence(F.lit(0), F.size(splines) - 2), one)
-
-    out = F.transform(F.sequence(F.lit(0), F.size(at) - 2), lambda i: F.when(inside(i), 1.0).otherwise(0.0))
-    for use in (lambda s: raised(s, 1), lambda s: raised(s, 2), lambda s: raised(s, 3)):
-        out = F.transform(F.array(out), use)[0]  # computed once for all that is made of it
+    out = pd.Series([None] * len(x), index=x.index, dtype=object)
+    held = at.notna() & x.notna()
+    if not held.any():
+        return out
+    t, v = np.stack(at[held].to_numpy()), x[held].to_numpy(float)[:, None]
+    last = t.shape[1] - 5  # the last interval that is not empty; it holds its right end
+    splines = ((v >= t[:, :-1]) & (v < t[:, 1:])).astype(float)
+    splines[:, last] = (v[:, 0] >= t[:, last]) & (v[:, 0] <= t[:, last + 1]) & (t[:, last] < t[:, last + 1])
+    for degree in (1, 2, 3):
+        n = splines.shape[1] - 1
+        run = t[:, degree : degree + n + 1] - t[:, : n + 1]
+        share = np.divide(v - t[:, : n + 1], run, out=np.zeros_like(run), where=run > 0)
+        left = np.where(run > 0, 1 - share, 0.0)
+        splines = share[:, :n] * splines[:, :n] + left[:, 1:] * splines[:, 1:]
+    out[held] = pd.Series(list(splines), index=x.index[held])
     return out
 
 

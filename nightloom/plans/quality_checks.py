@@ -16,7 +16,7 @@ Q = Queries()
 #: Column of the header -> how it follows from an event.
 HEADER = {
     "level": "case event_id % 4 when 0 then 'L0' when 1 then '2D' when 2 then 'L1' else 'L2' end",
-    "source": "case event_type when 'click' then 'Star' when 'view' then 'Flat' when 'error' then 'LFC' when 'signup' then 'Etalon' else case when user_id % 2 = 0 then 'Dark' else 'Bias' end end",
+    "source": "case (event_id + user_id) % 10 when 0 then 'Star' when 1 then 'Flat' when 2 then 'LFC' when 3 then 'Etalon' when 4 then 'Dark' when 5 then 'Bias' when 6 then 'ThAr' when 7 then 'UNe' when 8 then 'Sun' else 'Wide Flat' end",
     "exptime": "value",
     "elapsed": "case when user_id % 10 = 0 then 6.3 else value + 0.05 end",
     "elevation": "user_id % 90",
@@ -26,8 +26,11 @@ HEADER = {
     "em_columns": "100",
     "em_negative_run": "user_id % 30",
     "green_temp": "-100.0 + (user_id % 50) / 1000.0",
-    "red_temp": "-110.0 + (user_id % 40) / 20.0",
-    "etalon_temp": "23.9 + (user_id % 7) / 100.0",
+    "red_temp": "-101.0 + (user_id % 80) / 40.0",
+    "lid_temp": "23.6 + (user_id % 7) / 7000.0",
+    "lid_set": "case when user_id % 2 = 0 then 23.6002e0 end",
+    "chamber_temp": "23.9 + (user_id % 5) / 5000.0",
+    "chamber_set": "case when user_id % 3 = 0 then 23.9003e0 end",
     "guide_rms": "value / 1.5",
     "guide_bias": "value - 60.0",
     "guide_saturated": "user_id % 8",
@@ -47,9 +50,10 @@ HEADER = {
     "snr_low": "value * 8.0",
     "snr_high": "value * 30.0",
     "negative_share": "(user_id % 30) / 1000.0",
-    "comb_first": "user_id % 5",
-    "comb_last": "35 - user_id % 4",
-    "wls_std": "value / 12.0",
+    "green_first": "case when user_id % 47 = 0 then null else user_id % 5 end",
+    "green_last": "35 - user_id % 3",
+    "red_first": "case when user_id % 6 = 0 then 1 else 0 end",
+    "red_last": "32 - user_id % 3",
     "bcv_change": "(value - 50.0) / 45.0",
     "n_nan": "user_id",
     "hk_shutter": "user_id % 3 <> 0",
@@ -65,15 +69,16 @@ HEADER = {
     "junk": "user_id % 41 = 0",
     "gaia": "case when user_id % 12 = 0 then 'x' else '123' end",
 }
-ALL, CAL = ["all"], ["Flat", "LFC", "Etalon", "Star"]
+ALL = ["all"]
+LIT = ["Flat", "LFC", "Etalon", "ThAr", "UNe", "Sun", "Star"]
 
-#: Keyword, levels, sources, condition.
+#: The set points and limits of the instrument, in each condition.  Keyword, levels, sources, condition.
 CHECKS = [
     ("NOTJUNK", ALL, ALL, "not junk"),
     ("MONOTWLS", ["L1"], ALL, "monotonic"),
     ("TIMCHKL0", ["L0"], ALL, "date_gap <= 0.1"),
     ("TIMCHKL2", ["L2"], ALL, "date_gap <= 0.1"),
-    ("EMSAT", ["L0"], ALL, "em_saturated < 1.5 * em_columns / 100"),
+    ("EMSAT", ["L0"], ALL, "em_saturated <= 1.5 * em_columns / 100"),
     ("EMNEG", ["L0"], ALL, "em_negative_run < 20"),
     ("LFC2DFOK", ["2D"], ["LFC"], "flux_p98 >= 4000"),
     ("LOWBIAS", ["2D"], ["Bias"], "mean_flux <= 10 and mean_flux_red <= 10"),
@@ -86,52 +91,89 @@ CHECKS = [
     ("POS2DSNR", ["2D"], ALL, "negative_share <= 0.01"),
     ("LFCSAT", ["L1"], ["LFC"], "snr_high < 2800"),
     ("GOODREAD", ["L0"], ALL, "not (exptime >= 7 and elapsed between 6.0 and 6.7)"),
-    ("OLDBIAS", ["2D"], CAL, "age_bias <> -99 and abs(age_bias) <= 5"),
-    ("OLDDARK", ["2D"], CAL, "age_dark <> -99 and abs(age_dark) <= 5"),
-    ("OLDFLAT", ["2D"], ["LFC", "Etalon", "Star"], "age_flat <> -99 and abs(age_flat) <= 5"),
+    ("OLDBIAS", ["2D"], ["Dark", "Wide Flat", *LIT], "age_bias <> -99 and abs(age_bias) <= 5"),
+    ("OLDDARK", ["2D"], ["Bias", "Wide Flat", *LIT], "age_dark <> -99 and abs(age_dark) <= 5"),
+    ("OLDFLAT", ["2D"], ["Bias", "Dark", "Wide Flat", *LIT[1:]], "age_flat <> -99 and abs(age_flat) <= 5"),
     ("OLDWLS", ["L1"], ALL, "abs(age_wls) <= 2"),
     ("OLDWLS2", ["L1"], ALL, "abs(age_wls2) <= 2"),
     ("WLSL1", ["L1"], ALL, "age_wls <= 0 and age_wls2 >= 0 and age_wls <> age_wls2"),
-    ("FLATSNR", ["L1"], ["Flat"], "snr_low >= 40 and snr_high <= 1600"),
-    ("LFCLINES", ["L1"], ["LFC"], "comb_first <= 2 and comb_last >= 34"),
-    ("LFCLINEP", ["L1"], ["LFC"], "comb_last >= 34"),
-    ("ETALINES", ["L1"], ["Etalon"], "comb_first <= 3 and comb_last >= 33"),
-    ("WILDWSCI", ["L1"], ALL, "wls_std < 5"),
-    ("WILDWSKY", ["L1"], ALL, "wls_std + 1 < 5"),
-    ("WILDWCAL", ["L1"], ALL, "wls_std - 1 < 5"),
+    ("FLATSNR", ["L1"], ["Flat"], "snr_low >= 40 and snr_high < 1600"),
+    ("LFCLINES", ["L1"], ["LFC"], "green_first <= 2 and green_last >= 34 and red_first <= 0 and red_last >= 31"),
+    ("LFCLINEP", ["L1"], ["LFC"], "green_first <= 15 and green_last >= 34 and red_first <= 0 and red_last >= 31"),
+    ("ETALINES", ["L1"], ["Etalon"], "green_first <= 2 and green_last >= 34 and red_first <= 0 and red_last >= 31"),
     ("NTPGOOD", ["L0"], ALL, "ntp_ms < 100"),
     ("GUIDGOOD", ["L0"], ["Star"], "guide_rms <= 50 and guide_bias <= 50"),
     ("TARGPLAU", ["L0"], ["Star"], "gaia = '123'"),
     ("QCPCBCV", ["L2"], ["Star"], "bcv_change <= 1 and bcv_change >= -1"),
-    ("OLDTRAC", ["L1"], CAL, "abs(age_trace) <= 5"),
-    ("OLDLAMP", ["L1"], CAL, "abs(age_lamp) <= 5"),
-    ("AGITOK", ["L0"], CAL, "agitator = 'Running' and abs(agitator_speed) > 1000"),
+    ("OLDTRAC", ["L1"], ["Dark", *LIT], "abs(age_trace) <= 5"),
+    ("OLDLAMP", ["L1"], LIT, "abs(age_lamp) <= 5"),
+    ("AGITOK", ["L0"], LIT, "agitator = 'Running' and abs(agitator_speed) > 1000"),
     ("GUIDSAT", ["L0"], ["Star"], "guide_saturated <= 3 and guide_saturated_share <= 0.1"),
     ("NOTVIGN", ["L0"], ["Star"], "not vignetted"),
     ("GOODEL", ["L0"], ["Star"], "elevation >= 30"),
-    ("ETASTEMP", ["L0"], ["Etalon"], "abs(etalon_temp - 23.9) <= 0.035"),
+    ("ETASTEMP", ["L0"], ["Etalon"], "abs(lid_temp - coalesce(lid_set, 23.6)) <= 0.0005 and abs(chamber_temp - coalesce(chamber_set, 23.9)) <= 0.0005"),
     ("TELEPRL0", ["L0"], ALL, "n_telemetry > 0"),
-    ("HKSHTOPN", ["L0"], CAL, "hk_shutter"),
-    ("GRCCDT10", ["L0"], ALL, "abs(green_temp + 100.0) <= 0.0105"),
-    ("GRCCDT1", ["L0"], ALL, "abs(green_temp + 100.0) <= 1"),
-    ("RDCCDT10", ["L0"], ALL, "abs(red_temp + 110.0) <= 0.0105"),
-    ("RDCCDT1", ["L0"], ALL, "abs(red_temp + 110.0) <= 1.01"),
-    ("CLEARSKY", ["L0"], ["Star"], "clear_min = 1"),
-    ("L1NAN", ["L1"], ALL, "n_nan < 50"),
+    ("HKSHTOPN", ["L0"], LIT, "hk_shutter"),
+    ("GRCCDT10", ["L0"], ALL, "abs(green_temp + 100.0) < 0.01"),
+    ("GRCCDT1", ["L0"], ALL, "abs(green_temp + 100.0) < 1"),
+    ("RDCCDT10", ["L0"], ALL, "abs(red_temp + 100.0) < 0.01"),
+    ("RDCCDT1", ["L0"], ALL, "abs(red_temp + 100.0) < 1"),
+    ("CLEARSKY", ["L0"], ["Sun"], "clear_min = 1"),
+    ("L1NAN", ["L1"], ALL, "n_nan <= 50"),
 ]
 
-
-def _listed(values):
-    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
-
-
-def _sql_check(keyword, levels, sources, condition):
-    fits = " and ".join(["true"] + ([f"level in {_listed(levels)}"] if levels != ALL else []) + ([f"source in {_listed(sources)}"] if sources != ALL else []))
-    return f"case when {fits} then coalesce({condition}, false) end as {keyword}"
-
-
 HEADER_SQL = "(select event_id, " + ", ".join(f"{v} as {k}" for k, v in HEADER.items()) + " from events)"
-MATRIX_SQL = "select event_id, " + ", ".join(_sql_check(*c) for c in CHECKS) + f" from {HEADER_SQL}"
+
+#: The same checks written out by hand, with every limit and source list anew.
+MATRIX_SQL = f"""
+    select event_id,
+      coalesce(not junk, false) as NOTJUNK,
+      case level when 'L1' then coalesce(monotonic, false) end as MONOTWLS,
+      case level when 'L0' then coalesce(date_gap <= 0.1, false) end as TIMCHKL0,
+      case level when 'L2' then coalesce(date_gap <= 0.1, false) end as TIMCHKL2,
+      case level when 'L0' then not coalesce(em_saturated / 100.0 > 1.5 / 100, true) end as EMSAT,
+      case level when 'L0' then coalesce(em_negative_run <= 19, false) end as EMNEG,
+      case when level = '2D' and source = 'LFC' then coalesce(not flux_p98 < 4000, false) end as LFC2DFOK,
+      case when level = '2D' and source = 'Bias' then coalesce(greatest(mean_flux, mean_flux_red) <= 10, false) end as LOWBIAS,
+      case when level = '2D' and source = 'Dark' then coalesce(mean_flux <= 11 and mean_flux_red <= 13, false) end as LOWDARK,
+      case level when 'L1' then orders_green = 35 and orders_red = 32 end as DATAPRL1,
+      case level when 'L1' then hk_rows <> 0 end as CAHKPRL1,
+      case level when 'L2' then orders_green + orders_red = 67 end as DATAPRL2,
+      case level when '2D' then hk_rows = 255 end as CAHKPR2D,
+      case level when '2D' then least(rows_green, rows_red) = 4080 end as DATAPR2D,
+      case level when '2D' then not negative_share > 0.01 end as POS2DSNR,
+      case when level = 'L1' and source = 'LFC' then coalesce(snr_high < 2800, false) end as LFCSAT,
+      case level when 'L0' then coalesce(exptime < 7 or elapsed < 6.0 or elapsed > 6.7, false) end as GOODREAD,
+      case when level = '2D' and source <> 'Bias' then age_bias between -5 and 5 end as OLDBIAS,
+      case when level = '2D' and source <> 'Dark' then age_dark between -5 and 5 end as OLDDARK,
+      case when level = '2D' and source <> 'Flat' then age_flat between -5 and 5 end as OLDFLAT,
+      case level when 'L1' then age_wls between -2 and 2 end as OLDWLS,
+      case level when 'L1' then age_wls2 between -2 and 2 end as OLDWLS2,
+      case level when 'L1' then age_wls <= 0 and age_wls2 >= 0 and age_wls <> age_wls2 end as WLSL1,
+      case when level = 'L1' and source = 'Flat' then coalesce(not snr_low < 40 and snr_high < 1600, false) end as FLATSNR,
+      case when level = 'L1' and source = 'LFC' then coalesce(green_first in (0, 1, 2) and green_last in (34, 35) and red_first = 0 and red_last in (31, 32), false) end as LFCLINES,
+      case when level = 'L1' and source = 'LFC' then coalesce(green_first < 16 and green_last in (34, 35) and red_first = 0 and red_last in (31, 32), false) end as LFCLINEP,
+      case when level = 'L1' and source = 'Etalon' then coalesce(green_first in (0, 1, 2) and green_last in (34, 35) and red_first = 0 and red_last in (31, 32), false) end as ETALINES,
+      case level when 'L0' then coalesce(ntp_ms < 100, false) end as NTPGOOD,
+      case when level = 'L0' and source = 'Star' then coalesce(guide_rms <= 50 and guide_bias <= 50, false) end as GUIDGOOD,
+      case when level = 'L0' and source = 'Star' then gaia = '123' end as TARGPLAU,
+      case when level = 'L2' and source = 'Star' then coalesce(bcv_change between -1 and 1, false) end as QCPCBCV,
+      case when level = 'L1' and source not in ('Bias', 'Wide Flat') then age_trace between -5 and 5 end as OLDTRAC,
+      case when level = 'L1' and source not in ('Bias', 'Dark', 'Wide Flat') then age_lamp between -5 and 5 end as OLDLAMP,
+      case when level = 'L0' and source not in ('Bias', 'Dark', 'Wide Flat') then agitator = 'Running' and (agitator_speed < -1000 or agitator_speed > 1000) end as AGITOK,
+      case when level = 'L0' and source = 'Star' then guide_saturated <= 3 and not guide_saturated_share > 0.1 end as GUIDSAT,
+      case when level = 'L0' and source = 'Star' then not vignetted end as NOTVIGN,
+      case when level = 'L0' and source = 'Star' then elevation >= 30 end as GOODEL,
+      case when level = 'L0' and source = 'Etalon' then lid_temp - ifnull(lid_set, 23.6) between -0.0005 and 0.0005 and chamber_temp - ifnull(chamber_set, 23.9) between -0.0005 and 0.0005 end as ETASTEMP,
+      case level when 'L0' then n_telemetry <> 0 end as TELEPRL0,
+      case when level = 'L0' and source not in ('Bias', 'Dark', 'Wide Flat') then hk_shutter end as HKSHTOPN,
+      case level when 'L0' then green_temp > -100.01 and green_temp < -99.99 end as GRCCDT10,
+      case level when 'L0' then green_temp > -101 and green_temp < -99 end as GRCCDT1,
+      case level when 'L0' then red_temp > -100.01 and red_temp < -99.99 end as RDCCDT10,
+      case level when 'L0' then red_temp > -101 and red_temp < -99 end as RDCCDT1,
+      case when level = 'L0' and source = 'Sun' then clear_min = 1 end as CLEARSKY,
+      case level when 'L1' then not n_nan > 50 end as L1NAN
+    from {HEADER_SQL}"""
 
 
 def matrix(spark, sf_dir):
