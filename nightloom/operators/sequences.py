@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -196,3 +200,64 @@ def tracked(df: DataFrame, by: list[str], step: str, value: str, start: Column,
 
     folded = F.aggregate("_all", F.struct(F.col("_start").cast("double").alias("position"), empty.alias("track")), advance, lambda acc: acc["track"])
     return groups.select(*by, F.explode(folded).alias("t")).select(*by, "t.step", "t.position", "t.met")
+
+
+MAD_SIGMA = 1.482602218505602  # standard deviation of a normal sample over its median absolute deviation
+REACH = 3  # neighbours on either side among which a value must be the largest or smallest
+
+
+def outlier_limit(n: int) -> float:
+    """Standard deviations that one in n normal values exceeds, times 3."""
+    return -3 * NormalDist().inv_cdf(1 / (2 * n))
+
+
+def deviations(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each value is off from its neighbours, the smallest of three (two at the ends) by size, and what it would be without.
+
+    Inside these are the mean of both neighbours and each of them, at the ends the mean of the next two and the next
+    one; the first of equally small ones counts.  Inside, the mean takes a value's place.
+    """
+    mean = np.empty(len(v))
+    mean[1:-1], mean[0], mean[-1] = (v[:-2] + v[2:]) / 2, (v[1] + v[2]) / 2, (v[-2] + v[-3]) / 2
+    before, after = np.r_[v[1], v[:-1]], np.r_[v[1:], v[-2]]
+    off = v - np.stack([mean, before, after])
+    smallest = off[np.abs(off).argmin(axis=0), np.arange(len(v))]
+    mean[[0, -1]] = (v - smallest)[[0, -1]]
+    return smallest, mean
+
+
+def without_outliers(v: np.ndarray) -> np.ndarray:
+    """The sequence with its worst value replaced, again and again, at most for a quarter of the values.
+
+    It ends where no deviation is beyond the limit, in robust standard deviations of the deviations, or where the
+    worst one is part of a plateau: neither the largest nor the smallest of its neighbourhood.
+    """
+    v = v.copy()
+    for _ in range(len(v) // 4):
+        off, instead = deviations(v)
+        worst = int(np.abs(off).argmax())
+        sigma = MAD_SIGMA * np.median(np.abs(off - np.median(off)))
+        near = v[max(0, worst - REACH) : worst + REACH + 1]
+        if abs(off[worst]) <= outlier_limit(len(v)) * sigma or v[worst] not in (near.min(), near.max()):
+            break
+        v[worst] = instead[worst]
+    return v
+
+
+def neighbours_replaced(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """by, order, the value and `settled`, the value with outliers replaced by what their neighbours say.
+
+    Which value is replaced depends on all replacements before it, so that a group, the readings of one exposure, is
+    settled in one task, and the groups in parallel.  Null and NaN readings stay what they are and are no neighbours.
+    """
+    rows = df.select(*by, *order, F.col(value).cast("double").alias(value))
+    types = ", ".join(f"{k} {t}" for k, t in rows.dtypes)
+
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(order, kind="stable")
+        held = frame[value].notna()
+        frame["settled"] = frame[value]
+        frame.loc[held, "settled"] = without_outliers(frame.loc[held, value].to_numpy(float))
+        return frame
+
+    return rows.groupBy(*by).applyInPandas(settle, f"{types}, settled double")

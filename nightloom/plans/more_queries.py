@@ -188,3 +188,27 @@ def peak_track(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("user_id", F.dayofmonth("ts").alias("night"), "value")
     out = W.tracked(rows, USER, "night", "value", F.median("value"), 15.0)
     return out.select("user_id", F.col("step").alias("night"), F.round("position", 6).alias("position"), "met")
+
+
+# readings of one user count as one exposure
+_LIMITS = "[" + ", ".join(f"{W.outlier_limit(n)!r}::double" for n in range(4, 1001)) + "]"
+
+
+@Q.add(
+    "neighbour_replaced",
+    f"""with recursive s as (select user_id, list(value order by ts, event_id) as v, list(event_id order by ts, event_id) as ids, count(*)::int as n from events where value is not null and not isnan(value) group by 1),
+    r(user_id, v, n, k, done) as (select user_id, v, n, 0, n < 4 from s union all
+      select user_id, case when go then list_concat(list_concat(v[:w - 1], [instead[w]]), v[w + 1:]) else v end, n, k + 1, not go or k + 1 >= n // 4
+      from (select *, abs(d[w]) > ({_LIMITS})[n - 3] * {W.MAD_SIGMA} * list_aggregate(d, 'mad') and v[w] in (list_max(near), list_min(near)) as go
+        from (select *, v[greatest(1, w - 3):w + 3] as near
+          from (select *, list_position(list_transform(d, lambda x: abs(x)), list_max(list_transform(d, lambda x: abs(x)))) as w, list_transform(range(1, n + 1), lambda i: case when i in (1, n) then v[i] - d[i] else (v[i - 1] + v[i + 1]) / 2 end) as instead
+            from (select *, list_transform(range(1, n + 1), lambda i: list_reduce([v[i] - (case i when 1 then v[2] + v[3] when n then v[n - 1] + v[n - 2] else v[i - 1] + v[i + 1] end) / 2, v[i] - v[case i when 1 then 2 else i - 1 end], v[i] - v[case i when n then n - 1 else i + 1 end]], lambda p, q: case when abs(q) < abs(p) then q else p end)) as d
+              from r where not done))))),
+    f as (select user_id, arg_max(v, k) as v from r where done group by 1)
+    select s.user_id, unnest(ids) as event_id, round(unnest(f.v), 6) as settled from s join f using (user_id)""",
+)
+def neighbour_replaced(spark, sf_dir):
+    """Each user's readings with outliers replaced by their neighbours, the worst first."""
+    rows = table(spark, sf_dir, "events").filter("value is not null and not isnan(value)")
+    out = W.neighbours_replaced(rows, USER, TIME, "value")
+    return out.select("user_id", "event_id", F.round("settled", 6).alias("settled"))

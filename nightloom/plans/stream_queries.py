@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..streaming import ingest
+from ..streaming import ingest, quiet
 from ._common import Queries, scratch
 
 Q = Queries()
@@ -43,6 +43,27 @@ def stream_quiet_files(spark, sf_dir):
     return out.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@Q.add(
+    "stream_quiet_state",
+    """with e as (select '/data/' || user_id || '.fits' as path, epoch_us(ts) // 1000 as ms, event_type = 'error' as gone from events where event_type <> 'signup'),
+    n as (select *, lead(ms) over (partition by path order by ms, gone) as later, max(ms) over () as newest from e)
+    select path, make_timestamp(ms * 1000) as changed from n where not gone and coalesce(later - ms > 3000, ms + 3001 <= newest)""",
+)
+def stream_quiet_state(spark, sf_dir):
+    """Each time that a path (here one for each user) has not changed for more than three seconds; errors are deletions."""
+    at = scratch(spark, "quiet-state")
+    kind = F.create_map(*[F.lit(x) for pair in (("click", "created"), ("view", "modified"), ("purchase", "moved"), ("error", "deleted")) for x in pair])
+    stream = events(spark, sf_dir).select(F.concat(F.lit("/data/"), "user_id", F.lit(".fits")).alias("path"), kind[F.col("event_type")].alias("kind"), "ts")
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, quiet.PROVIDER)
+    try:
+        out = ingest.into_table(quiet.quiet_files(stream, "path", "kind", "ts"), f"{at}/out", f"{at}/checkpoint")
+    finally:
+        spark.conf.set(store, before)
+    return out.select("path", F.col("changed").cast("timestamp_ntz").alias("changed"))
+
+
 @Q.add("tumbling_windows", "select time_bucket(interval 1 hour, ts) as start, event_type, count(*) as n from events group by 1, 2")
 def tumbling_windows(spark, sf_dir):
     """Hourly counts per type; the same operator runs on a stream."""
