@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import extraction, fits, frames
+from ..operators import combs, extraction, fits, frames
 from ._common import Queries, scratch, table
 
 Q = Queries()
@@ -241,3 +241,36 @@ def straylight_columns(spark, sf_dir):
     both = smooth.join(between, ["frame", "row", "col"], "left")
     level = both.groupBy("frame").agg(F.median(F.col("data") - F.col("light")).alias("level"))
     return both.join(level, "frame").select("frame", "row", "col", F.greatest(F.col("light") + F.col("level"), F.lit(0.0)).alias("light"))
+
+
+# combs
+
+
+def _near_sql(source: str) -> str:
+    """Peaks (g, x, rough) with the median step around them and how far they are off the comb."""
+    return f"""(select g, x, rough, usual, list_sort(list_transform(list_filter(near, lambda y: y <> x), lambda y: abs((x - y) / usual - round((x - y) / usual)))) as offs
+        from (select *, list_sort(steps)[(len(steps) + 1) // 2] as usual
+              from (select g, x, rough, list_filter(list(step) over w, lambda s: s is not null) as steps, list(x) over w as near
+                    from (select *, x - lag(x) over (partition by g order by x) as step from {source}) window w as (partition by g order by x rows between 8 preceding and 8 following))))"""
+
+
+#: Peaks of one comb for each 1000 order keys: a tenth of them missing, every twentieth followed by a false one.
+PEAKS = """(select o_orderkey // 1000 as g, 20.0::double * k * (1 + k * 0.0002) + j + f * 8.4 as x, k + 5000 + (o_custkey % 5 - 2) / 8.0 + f * 0.42 as rough
+    from (select o_orderkey, o_custkey, o_orderkey % 1000 as k, (o_custkey % 7) * 0.05::double as j from orders where o_custkey % 10 <> 3), (values (0), (1)) t(f) where f = 0 or o_custkey % 20 = 7)"""
+
+
+@Q.add(
+    "comb_modes",
+    f"""with a as materialized {_near_sql(PEAKS)}, t as materialized (select g, x, rough from a where offs[(len(offs) + 1) // 2] <= {combs.OFF_COMB}), b as materialized {_near_sql("t")},
+    n as (select *, coalesce(round((x - lag(x) over (partition by g order by x)) / usual), 0) as step from b), c as (select *, sum(step) over (partition by g order by x rows unbounded preceding) as n from n),
+    f as (select g, mode(round(rough - n)) as first from c group by 1)
+    select c.g, cast(n + first as bigint) as mode, round(x, 4) as x from c join f using (g) where len(offs) > 0 qualify row_number() over (partition by c.g, n order by offs[(len(offs) + 1) // 2], x) = 1""",
+)
+def comb_modes(spark, sf_dir):
+    """Peaks with their number in the comb, some missing and some false."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    k = key % 1000
+    one = table(spark, sf_dir, "orders").filter(cust % 10 != 3).withColumn("f", F.explode(F.array(F.lit(0), F.lit(1)))).filter((F.col("f") == 0) | (cust % 20 == 7))
+    x = F.lit(20.0) * k * (1 + k * 0.0002) + (cust % 7) * 0.05 + F.col("f") * 8.4
+    peaks = one.select(F.floor(key / 1000).alias("g"), x.alias("x"), (k + 5000 + (cust % 5 - 2) / 8.0 + F.col("f") * 0.42).alias("rough"))
+    return combs.mode_numbers(peaks, ["g"], "x", "rough").select("g", "mode", F.round("x", 4).alias("x"))
