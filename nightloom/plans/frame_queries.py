@@ -9,7 +9,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import combs, extraction, fits, frames
+from ..operators import combs, extraction, fits, frames, masters
 from ._common import Queries, scratch, table
 
 Q = Queries()
@@ -274,3 +274,30 @@ def comb_modes(spark, sf_dir):
     x = F.lit(20.0) * k * (1 + k * 0.0002) + (cust % 7) * 0.05 + F.col("f") * 8.4
     peaks = one.select(F.floor(key / 1000).alias("g"), x.alias("x"), (k + 5000 + (cust % 5 - 2) / 8.0 + F.col("f") * 0.42).alias("rough"))
     return combs.mode_numbers(peaks, ["g"], "x", "rough").select("g", "mode", F.round("x", 4).alias("x"))
+
+
+# master frames
+
+
+@Q.add(
+    "master_flat",
+    f"""with p as (select frame, frame % 3 as lamp_id, row, col, (data - (row + 2 * col) / 10.0::double) / (1 + frame % 4) - 0.01::double * row as rate from {PIXELS}),
+    q as (select lamp_id, row, col, quantile_cont(rate, [0.16, 0.5, 0.84]) as q from p group by 1, 2, 3),
+    s as (select p.lamp_id, p.row, p.col, avg(rate) as mean, count(rate) as n from p join q using (lamp_id, row, col) where abs(rate - q[2]) <= 2.1 * (q[3] - q[1]) / 2 group by 1, 2, 3),
+    f as (select lamp_id, row, col, n, mean, row // 8 as o, mean / nullif(600.0::double + 5 * col - (case when col = 7 then 635 else 0 end), 0) as flat from s),
+    c as (select lamp_id, o, round_even(flat * 100, 0) as bin, count(*) as k from f where o > 0 and mean > 300 and flat is not null group by 1, 2, 3),
+    m as (select lamp_id, o, arg_min(bin, struct_pack(a := -k, b := bin)) / 100 as mode from c group by 1, 2),
+    v as (select lamp_id, row, col, n, mean, case when o > 0 and mean >= 300 then flat / (case when mean > 300 then nullif(mode, 0) else 1 end) end as v from f left join m using (lamp_id, o))
+    select lamp_id, row, col, round(case when v between 0.1 and 2.5 then v else 1 end, 5) as flat, n, round(mean, 3) as stack from v""",
+)
+def master_flat(spark, sf_dir):
+    """A flat of each lamp from all its frames; three lamps, four orders, one column without light."""
+    p = pixels(spark, sf_dir).select("frame", (F.col("frame") % 3).alias("lamp_id"), "row", "col", "data", (1 + F.col("frame") % 4).cast("double").alias("exptime"))
+    places = spark.range(HEIGHT * WIDTH).select(F.floor(F.col("id") / WIDTH).cast("int").alias("row"), (F.col("id") % WIDTH).cast("int").alias("col"))
+    row, col = F.col("row"), F.col("col")
+    bias = places.select("row", "col", ((row + 2 * col) / F.lit(10.0)).alias("bias"))
+    dark = places.select("row", "col", (F.lit(0.01) * row).alias("dark"))
+    lamp = places.select("row", "col", (F.lit(600.0) + 5 * col - F.when(col == 7, 635).otherwise(0)).alias("lamp"))
+    orderlets = places.select("row", "col", F.floor(row / 8).cast("int").alias("orderlet"))
+    out = masters.master_flat(p, bias, dark, lamp, orderlets, ["row", "col"], 300.0, 2.1, ["lamp_id"])
+    return out.select("lamp_id", "row", "col", F.round("flat", 5).alias("flat"), "n", F.round("stack", 3).alias("stack"))
