@@ -26,44 +26,41 @@ def _clock(schema: T.StructType, path: str) -> Column:
     return F.col(path).cast("double") if isinstance(kind, T.NumericType) else seconds(F.col(path))
 
 
-def _side(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, back: bool, strict: bool, bucket: int, out: str) -> DataFrame:
-    """left with out: the struct value of the last right row before (first after) each left row.
+def _sides(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, bucket: int, tie: int, before: str | None, after: str | None) -> DataFrame:
+    """left with the struct value of the last right row before each row as the column before, and of the first after it as after.
 
-    right has the columns by, at and value (a struct); left has by and at.  Not strict: a right row at the same
-    time counts.
+    right has the columns by, at and value (a struct); left has by and at.  tie says where right rows stand that have
+    the time of a left row: -1 before, 1 after it.  Both sides come into one sequence per key, which is cut into buckets of time; a bucket is
+    sorted apart, once for each direction, and what it hands on to the others is one row.
     """
-    inner = -1 if back else 1
-    tie = inner if not strict else -inner  # where right rows of the same time stand relative to left rows
     rows = left.withColumn("_left", F.lit(True)).withColumn("_rank", F.lit(0)).withColumn("_value", F.lit(None).cast(right.schema[value].dataType))
     other = right.select(*by, at, F.col(value).alias("_value"), F.lit(False).alias("_left"), F.lit(tie).alias("_rank"))
     rows = rows.unionByName(other, allowMissingColumns=True).withColumn("_bucket", F.floor(_clock(left.schema, at) / bucket))
     key = [*by, "_bucket"]
-    ends = rows.filter("not _left").groupBy(*key)
-    # the value that a bucket hands on, and over all buckets the last one handed on before
-    if back:
-        ends = ends.agg(F.max(F.struct(F.col(at).alias("t"), F.col("_value").alias("v"))).alias("_end"))
-    else:
-        ends = ends.agg(F.min(F.struct(F.col(at).alias("t"), F.col("_value").alias("v"))).alias("_end"))
-    filled = rows.select(*key).distinct().join(ends, [*key], "left") if not by else rows.select(*key).distinct().join(ends, key, "left")
+    known = F.when(~F.col("_left"), F.struct(F.col(at).alias("t"), F.col("_value").alias("v")))
+    ends = rows.groupBy(*key).agg(F.max(known).alias("_last"), F.min(known).alias("_first"))
+    near, carried, out = {}, {}, {}
     # a frame that grows from one end is kept as it goes, one that shrinks is computed anew for each row; so rows after
     # a row are those before it in the reverse order
-    turn = (lambda c: c.asc_nulls_first()) if back else (lambda c: c.desc_nulls_first())
-    over = Window.partitionBy(*by).orderBy(turn(F.col("_bucket"))).rowsBetween(Window.unboundedPreceding, -1)
-    carried = filled.withColumn("_carried", F.last("_end.v", ignorenulls=True).over(over)).select(*key, "_carried")
-    near = Window.partitionBy(*key).orderBy(turn(F.col(at)), turn(F.col("_rank")), turn(F.col("_value"))).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_near", F.last("_value", ignorenulls=True).over(near)).filter("_left")
-    rows = rows.join(carried, key, "left").withColumn(out, F.coalesce("_near", "_carried"))
-    return rows.drop("_left", "_rank", "_value", "_bucket", "_near", "_carried")
+    for name, end, turn in ((before, "_last", lambda c: c.asc_nulls_first()), (after, "_first", lambda c: c.desc_nulls_first())):
+        if name:
+            over = Window.partitionBy(*by).orderBy(turn(F.col("_bucket"))).rowsBetween(Window.unboundedPreceding, -1)
+            carried[f"_carried{end}"] = F.last(f"{end}.v", ignorenulls=True).over(over)
+            inside = Window.partitionBy(*key).orderBy(turn(F.col(at)), turn(F.col("_rank")), turn(F.col("_value"))).rowsBetween(Window.unboundedPreceding, 0)
+            near[f"_near{end}"] = F.last("_value", ignorenulls=True).over(inside)
+            out[name] = F.coalesce(f"_near{end}", f"_carried{end}")
+    rows = rows.withColumns(near).filter("_left").join(ends.select(*key, *[c.alias(k) for k, c in carried.items()]), key, "left")
+    return rows.withColumns(out).drop("_left", "_rank", "_value", "_bucket", *near, *carried)
 
 
 def asof_before(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, out: str = "before", strict: bool = True, bucket: int = 30 * DAY) -> DataFrame:
     """The latest right row before each left row; of equal times, the largest value."""
-    return _side(left, right, by, at, value, True, strict, bucket, out)
+    return _sides(left, right, by, at, value, bucket, 1 if strict else -1, out, None)
 
 
 def asof_after(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, out: str = "after", strict: bool = True, bucket: int = 30 * DAY) -> DataFrame:
     """The earliest right row after each left row; of equal times, the smallest value."""
-    return _side(left, right, by, at, value, False, strict, bucket, out)
+    return _sides(left, right, by, at, value, bucket, -1 if strict else 1, None, out)
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], at: str, value: str, value_time: str, out: str = "nearest", tolerance: float | None = None, bucket: int = 30 * DAY) -> DataFrame:
@@ -71,7 +68,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], at: str, valu
 
     value_time is the field of the struct that repeats its time.  at may be a number; bucket and tolerance have its unit.
     """
-    both = asof_after(asof_before(left, right, by, at, value, "_b", False, bucket), right, by, at, value, "_a", True, bucket)
+    both = _sides(left, right, by, at, value, bucket, -1, "_b", "_a")  # what has the row's own time counts as before it
     t = _clock(left.schema, at)
     gap_b, gap_a = t - _clock(both.schema, f"_b.{value_time}"), _clock(both.schema, f"_a.{value_time}") - t
     near = F.when(F.col("_a").isNull() | (gap_b <= gap_a), F.col("_b")).otherwise(F.col("_a"))
@@ -153,7 +150,19 @@ def within_interval(df: DataFrame, intervals: DataFrame, at: str, start: str, st
     return found.select(*df.columns, (held if default is None else F.coalesce(held, F.lit(default))).alias(out))
 
 
-def outside_windows(df: DataFrame, windows: DataFrame, at: str, start: str, stop: str) -> DataFrame:
-    """Rows whose time lies in none of the windows, ends included; windows is a short list, checked before its broadcast."""
-    side = F.broadcast(windows) if windows.count() <= 100_000 else windows
-    return df.join(side, F.col(at).between(F.col(start), F.col(stop)), "left_anti")
+def outside_windows(df: DataFrame, windows: DataFrame, at: str, start: str, stop: str, bucket: int = 30 * DAY) -> DataFrame:
+    """Rows whose time lies in none of the windows, ends included; rows without a time lie in none.
+
+    Of the windows that begin at or before a row the one that ends last decides.  Windows are met in time order, in
+    buckets: each knows how far the windows of its bucket up to it reach, and a bucket hands on how far all before it do.
+    """
+    open_ = windows.filter(F.col(start).isNotNull() & F.col(stop).isNotNull()).groupBy(F.col(start).alias(at)).agg(F.max(stop).alias("_stop"))
+    part = F.floor(_clock(open_.schema, at) / bucket)
+    open_ = open_.withColumn("_part", part)
+    so_far = Window.partitionBy("_part").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    reach = open_.groupBy("_part").agg(F.max("_stop").alias("_most"))
+    reach = reach.withColumn("_carried", F.max("_most").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))  # a row a bucket
+    reached = open_.withColumn("_here", F.max("_stop").over(so_far)).join(reach.select("_part", "_carried"), "_part")
+    value = F.struct(F.greatest("_here", "_carried").alias("until"))
+    met = asof_before(df, reached.select(at, value.alias("_value")), [], at, "_value", "_window", False, bucket)
+    return met.filter(F.col("_window").isNull() | F.col(at).isNull() | (F.col("_window.until") < F.col(at))).drop("_window")

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import exact_percentiles
+
 #: Standard deviation of a normal sample over that of the same sample clipped at n sigma.
 CLIP_CORRECTION = {2.0: 1.299182, 2.1: 1.243576, 2.5: 1.100510, 3.0: 1.028345}
 
@@ -20,11 +22,14 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
-def clipped_stack(df: DataFrame, by: list[str], value: str, n_sigma: float, correction: float | None = None) -> DataFrame:
-    """Per group: median, robust sigma (p84 - p16) / 2, and of the values within n sigma their mean, corrected variance, count and uncertainty."""
+def clipped_stack(df: DataFrame, by: list[str], value: str, n_sigma: float, correction: float | None = None, large: bool = False) -> DataFrame:
+    """Per group, of rows that fit one task or large ones: median, robust sigma (p84 - p16) / 2, and of the values within n sigma their mean, corrected variance, count and uncertainty."""
     cf = CLIP_CORRECTION.get(n_sigma, 1.0) if correction is None else correction
     x = df.withColumn("_x", finite(F.col(value).cast("double")))
-    p = x.groupBy(*by).agg(F.percentile("_x", F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).alias("_p"))
+    if large:
+        p = exact_percentiles(x, by, "_x", [0.16, 0.5, 0.84]).withColumnRenamed("percentiles", "_p")
+    else:
+        p = x.groupBy(*by).agg(F.percentile("_x", F.array(F.lit(0.16), F.lit(0.5), F.lit(0.84))).alias("_p"))
     p = p.select(*by, F.get("_p", F.lit(1)).alias("center"), ((F.get("_p", F.lit(2)) - F.get("_p", F.lit(0))) / 2).alias("spread"))
     inside = F.abs(F.col("_x") - F.col("center")) <= F.lit(n_sigma) * F.col("spread")
     joined = x.join(p, by) if by else x.crossJoin(F.broadcast(p))  # without keys p is one row
@@ -88,7 +93,10 @@ def percentiles_by_mask(df: DataFrame, by: list[str], value: str, mask: Column,
     """Percentiles inside and outside of a mask, one row per group and fraction, and the ratio of the two."""
     fs = F.array(*[F.lit(f) for f in fractions])
     x = finite(F.col(value).cast("double"))
-    both = df.groupBy(*by).agg(F.percentile(F.when(mask, x), fs).alias("i"), F.percentile(F.when(~mask, x), fs).alias("o"))
+    flagged = df.select(*by, mask.alias("_in"), x.alias("_x")).filter("_in is not null")
+    p = exact_percentiles(flagged, [*by, "_in"], "_x", fractions)
+    side = lambda flag: F.first(F.when(F.col("_in") == flag, F.col("percentiles")), ignorenulls=True)
+    both = p.groupBy(*by).agg(side(True).alias("i"), side(False).alias("o"))
     rows = both.select(*by, F.explode(F.arrays_zip(fs.alias("fraction"), "i", "o")).alias("r"))
     return rows.select(*by, F.col("r.fraction").alias("fraction"), F.col("r.i").alias("inside"), F.col("r.o").alias("outside"), (F.col("r.i") / F.nullif(F.col("r.o"), F.lit(0.0))).alias("ratio"))
 

@@ -111,7 +111,7 @@ def nearest_mean_mjd(spark, sf_dir):
     masters = table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("kind")).agg(((F.min(m) + F.max(m)) / 2).alias("mid"))
     masters = masters.groupBy("kind", "mid").agg(F.min("id").alias("id")).select("kind", F.col("mid").alias("t"), F.struct("mid", "id").alias("v"))
     obs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("obs"), S.mjd(F.col("o_orderdate")).alias("t"), F.explode(F.array(*[F.lit(k) for k in "ANR"])).alias("kind"))
-    near = asof.asof_nearest(obs, masters, ["kind"], "t", "v", "mid", "near", 365, 365)
+    near = asof.asof_nearest(obs, masters, ["kind"], "t", "v", "mid", "near", 365, 30)
     return near.filter("near is not null").select("obs", "kind", "near.id")
 
 

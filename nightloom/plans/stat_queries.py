@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import seconds
 from ..operators import sequences as W
 from ..operators import statistics as A
+from ..operators.quantiles import exact_medians, exact_percentiles
 from ._common import Queries, table
 
 Q = Queries()
@@ -132,7 +133,7 @@ def l2_weighted_stats(spark, sf_dir):
 def stack_clip(spark, sf_dir):
     """Clipped mean of a stack of frames per pixel."""
     frames = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("pixel"), "l_extendedprice")
-    out = A.clipped_stack(frames, ["pixel"], "l_extendedprice", 2.5)
+    out = A.clipped_stack(frames, ["pixel"], "l_extendedprice", 2.5, large=True)
     return out.select("pixel", *[F.round(c, 4).alias(c) for c in ("center", "spread", "mean")], F.round(F.col("variance") / 1e6, 4).alias("variance_m"), "n", F.round("uncertainty", 4).alias("uncertainty"))
 
 
@@ -147,7 +148,7 @@ def stack_median_mad(spark, sf_dir):
     select round(m, 6) as center, round(avg(value) filter (where abs(value - m) <= 2.0 * (b - a) / 2), 6) as mean, count(*) filter (where abs(value - m) <= 2.0 * (b - a) / 2) as n from events, p group by m""",
 )
 def clip_global(spark, sf_dir):
-    out = A.clipped_stack(table(spark, sf_dir, "events").select("value"), [], "value", 2.0)
+    out = A.clipped_stack(table(spark, sf_dir, "events").select("value"), [], "value", 2.0, large=True)
     return out.select(F.round("center", 6).alias("center"), F.round("mean", 6).alias("mean"), "n")
 
 
@@ -168,13 +169,15 @@ def region_median(spark, sf_dir):
     """Median of each detector region per hour; regions may overlap."""
     regions = spark.createDataFrame([(1, 0, 30), (2, 25, 60), (3, 100, 150)], "region int, lo int, hi int")
     inside = table(spark, sf_dir, "events").join(F.broadcast(regions), (F.col("user_id") >= F.col("lo")) & (F.col("user_id") < F.col("hi")))  # three rows
-    return inside.groupBy("region").agg(F.round(F.median("value") / 0.5, 6).alias("per_hour"))
+    return exact_medians(inside, ["region"], "value").select("region", F.round(F.col("median") / 0.5, 6).alias("per_hour"))
 
 
 @Q.add("snr_p95", "select l_returnflag, l_linenumber, round(quantile_cont(l_extendedprice / sqrt(abs(nullif(l_quantity, 0))), 0.95), 4) as snr, max(l_extendedprice) as peak from lineitem group by 1, 2")
 def snr_p95(spark, sf_dir):
     snr = F.col("l_extendedprice") / F.sqrt(F.abs(F.nullif(F.col("l_quantity"), F.lit(0.0))))
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linenumber").agg(F.round(F.percentile(snr, F.lit(0.95)), 4).alias("snr"), F.max("l_extendedprice").alias("peak"))
+    lines, by = table(spark, sf_dir, "lineitem").withColumn("snr", snr), ["l_returnflag", "l_linenumber"]
+    p95 = exact_percentiles(lines, by, "snr", [0.95]).select(*by, F.round(F.get("percentiles", F.lit(0)), 4).alias("snr"))
+    return lines.groupBy(*by).agg(F.max("l_extendedprice").alias("peak")).join(p95, by, "left")
 
 
 @Q.add("nan_count", "select label, count(*) filter (where x < -1) as n_bad, round(avg(case when x >= -1 then x end), 6) as mean from (select label, unnest(embedding)::double as x from embeddings) group by 1")

@@ -37,16 +37,18 @@ def _nearest(spark, sf_dir, days, mask=None):
         cal = cal.filter(F.col("contentbits").bitwiseAND(mask) == mask)
     cal = cal.groupBy("caltype", "startdate").agg(F.min("cid").alias("cid")).withColumn("at", F.col("startdate").cast("timestamp_ntz"))  # of one day the smallest id
     cal = cal.select("caltype", "at", F.struct("at", "startdate", "cid").alias("v"))
-    best = asof.asof_nearest(requests, cal, ["caltype"], "at", "v", "at", "best", days * asof.DAY, 365 * asof.DAY).filter("best is not null")
+    best = asof.asof_nearest(requests, cal, ["caltype"], "at", "v", "at", "best", days * asof.DAY).filter("best is not null")
     return best.select("obs", "caltype", F.col("best.startdate").alias("startdate"), F.col("best.cid").alias("cid"))
 
 
 NEAREST_SQL = f"""
     select obs, caltype, startdate, cid from (
-      select o.obs, c.caltype, c.startdate, c.cid,
-             row_number() over (partition by o.obs, c.caltype order by abs(date_diff('day', c.startdate, o.obsdate)), c.startdate, c.cid) as k
-      from {OBSERVATIONS} o join (select caltype, startdate, min(cid) as cid from {CALIBRATIONS} c where true {{more}} group by 1, 2) c on c.startdate between o.obsdate - {{days}} and o.obsdate + {{days}})
-    where k = 1"""
+      select r.obs, r.caltype, obsdate, case when a.startdate is null or obsdate - b.startdate <= a.startdate - obsdate then b.startdate else a.startdate end as startdate,
+             case when a.startdate is null or obsdate - b.startdate <= a.startdate - obsdate then b.cid else a.cid end as cid
+      from (select obs, obsdate, unnest(['A', 'N', 'R']) as caltype from {OBSERVATIONS}) r
+      asof left join (select caltype, startdate, min(cid) as cid from {CALIBRATIONS} c where true {{more}} group by 1, 2) b on r.caltype = b.caltype and r.obsdate >= b.startdate
+      asof left join (select caltype, startdate, min(cid) as cid from {CALIBRATIONS} c where true {{more}} group by 1, 2) a on r.caltype = a.caltype and r.obsdate < a.startdate)
+    where abs(date_diff('day', startdate, obsdate)) <= {{days}}"""
 
 
 @Q.add("asof_nearest_batch", NEAREST_SQL.format(days=90, more=""))
