@@ -7,7 +7,9 @@ most pages is a notice or a menu, whatever it is called.  Branches of low import
 blocks that stay are its text.
 
 What elements and names say is a prior.  Elements of page furniture, hidden ones, and names of adverts and of reader
-comments decide alone, since these say something else on each page.  Other names are overruled where the branch holds
+comments decide alone, since these say something else on each page; but a name of adverts or related pages that comes
+with words that no furniture has ("post ad-free", "related-work"), and a form, which may hold the whole page, decide
+no more than other names.  Those are overruled where the branch holds
 more than half of the text around it: then it is judged by its entropy.  Of a header inside the article its headings
 stay.
 
@@ -41,7 +43,7 @@ PATH = 400  # characters from which a path is known by its beginning and a hash
 #: Elements whose contents are never text.
 SILENT = "script style noscript template svg canvas object iframe math head select textarea button audio video datalist".split()
 #: Elements that are page furniture.
-FURNITURE = "nav footer header aside form menu dialog fieldset search".split()
+FURNITURE = "nav footer header aside menu dialog fieldset search".split()
 #: Elements that hold the article.
 MAIN = "article main".split()
 #: Elements that begin and end a block.
@@ -60,13 +62,19 @@ contentinfo complementary dialog form copyright legal disclaimer hidden
 """.split()
 #: Names that decide alone.
 DECIDING = "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr newsletter".split()
-#: Furniture that holds whole small articles; these names decide alone as well.
-NESTING = "comment comments reply replies disqus related recommended recommendations respond feedback".split()
+#: Furniture that holds whole small articles; names of comments decide alone as well, those of related pages as those of adverts.
+COMMENTS, RELATED = "comment comments reply replies disqus respond feedback".split(), "related recommended recommendations".split()
+#: Words that come with names of furniture and say nothing of their own.
+BESIDE = """
+box wrap wrapper container slot unit block section list area panel inner item items top bottom left right small large row col column grid bar strip zone holder
+frame text title heading articles posts stories links news pages js is has the an of and for to no
+""".split()
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _PART = re.compile(r"[a-z]+")
-_SILENT, _FURNITURE, _MAIN, _BLOCKS, _CONTAINERS, _NAMES, _NESTING, _DECIDING = map(frozenset, (SILENT, FURNITURE, MAIN, BLOCKS, CONTAINERS, NAMES, NESTING, DECIDING))
+_SILENT, _FURNITURE, _MAIN, _BLOCKS, _CONTAINERS, _NAMES = map(frozenset, (SILENT, FURNITURE, MAIN, BLOCKS, CONTAINERS, NAMES))
+_COMMENTS, _RELATED, _DECIDING, _PLAIN = map(frozenset, (COMMENTS, RELATED, DECIDING + RELATED, NAMES + BESIDE))
 _HEADINGS = frozenset(f"h{i}" for i in range(1, 7))
 _ENDS = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in SILENT}
 
@@ -92,8 +100,9 @@ def short(value: str, most: int) -> str:
 def described(tag: str, attributes: str) -> tuple[str, float | None, bool, bool]:
     """The style of an element, the importance its presentation gives (None: its parent's), whether articles in it are not the page's, whether only a name calls it furniture."""
     kind: float | None = 0.0 if tag in _FURNITURE else 1.0 if tag in _MAIN else None
+    by_name = tag == "form"  # a form may hold the whole page
     if not attributes or tag == "body":
-        return tag, kind, False, False
+        return tag, 0.5 if by_name else kind, False, by_name
     style, parts = tag, set()
     for name, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "").lower()
@@ -106,10 +115,11 @@ def described(tag: str, attributes: str) -> tuple[str, float | None, bool, bool]
                 kind = 0.0
         elif name == "hidden" or value == "true":
             kind = 0.0
-    nesting = bool(parts & _NESTING)
-    if nesting or (parts & _DECIDING and tag not in _MAIN):
+    alone = parts <= _PLAIN  # without words of its own
+    nesting = bool(parts & _COMMENTS or (parts & _RELATED and alone))
+    if nesting or (parts & _DECIDING and alone and tag not in _MAIN):
         kind = 0.0
-    elif kind is None and parts & _NAMES:
+    elif kind is None and (by_name or parts & _NAMES):
         return style, 0.5, False, True
     elif kind is None and style != tag and parts:
         kind = 0.5  # a named part that only its content can judge

@@ -22,6 +22,14 @@ STORY = "a long story of many words that goes on for quite a while, as stories d
         (f"<div class='content more'><p>{STORY}</p><div class='related'>{STORY} {STORY}</div><div class='social'>tell all</div></div>", STORY),
         (f"<div class='ad'>{STORY} {STORY}</div><p>few words", "few words"),
         (f"<div class='comments'>{STORY} {STORY}</div><p>few words", "few words"),
+        (f"<div class='comment-thread-x'>{STORY} {STORY}</div><p>few words", "few words"),
+        (f"<div class='ad-slot ads_2'>{STORY} {STORY}</div><p>few words", "few words"),
+        (f"<body><nav>menu</nav><div class='post ad-free'><p>{STORY}</p></div>", STORY),
+        (f"<body><div class='article-body promo-2020'><p>{STORY}</p></div><div class='promo-big'>buy</div>", STORY),
+        (f"<body><div id='cookie-recipes'><p>{STORY}</p></div><div id='cookie-notice'>We use them</div>", STORY),
+        (f"<body><div class='related-work'><p>{STORY}</p></div><div class='related-articles'>{STORY} {STORY}</div>", STORY),
+        (f"<body><form id='aspnetForm'><div class='content'><p>{STORY}</p></div><nav>menu</nav></form>", STORY),
+        (f"<body><p>{STORY}</p><form class='login'><label>Your name</label></form>", STORY),
     ],
 )
 def test_names_are_a_prior(page, text):
