@@ -109,17 +109,21 @@ def error_messages(lines: DataFrame, line: str, mark: str = "[ERROR]:") -> DataF
     return lines.filter(F.contains(F.col(line), F.lit(mark))).groupBy(message.alias("message")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "message")
 
 
-def next_in_type(df: DataFrame, by: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """Each row with the columns of the row that follows it, as next_<column>; rows without a follower go."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    out = df
-    for c in columns:
-        out = out.withColumn(f"next_{c}", F.lead(c).over(w))
-    return out.filter(reduce_not_null([f"next_{c}" for c in columns]))
-
-
-def reduce_not_null(columns: list[str]) -> Column:
-    out = F.lit(True)
-    for c in columns:
-        out = out & F.col(c).isNotNull()
-    return out
+def next_in_type(df: DataFrame, by: list[str], order: list[str], columns: list[str], bucket: Column | None = None) -> DataFrame:
+    """Each row with the columns of the row that follows it, as next_<column>; rows without a follower go.
+
+    bucket, which never falls along the order, cuts the rows of a type: each bucket is sorted apart, and what a bucket
+    hands to the one before it is its first row.
+    """
+    key = [*by, "_bucket"]
+    rows = df.withColumn("_bucket", F.lit(0) if bucket is None else bucket)
+    follower = F.struct(*[F.col(c).alias(f"next_{c}") for c in columns])
+    inside = F.lead(follower).over(Window.partitionBy(*key).orderBy(*order))
+    if bucket is None:
+        return rows.withColumn("_next", inside).filter("_next is not null").select(*df.columns, "_next.*")
+    firsts = rows.groupBy(*key).agg(F.min_by(follower, F.struct(*order)).alias("_first"))
+    firsts = firsts.withColumn("_after", F.lead("_first").over(Window.partitionBy(*by).orderBy("_bucket")))  # a row for each bucket
+    firsts = firsts.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(key)], "_after")
+    same = [F.equal_null(F.col(c), F.col(f"_{i}")) for i, c in enumerate(key)]
+    out = rows.withColumn("_inside", inside).join(firsts, same).withColumn("_next", F.coalesce("_inside", "_after"))
+    return out.filter("_next is not null").select(*df.columns, "_next.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ingest, quality, registry, selection
+from ..sources import products
 from ._common import Queries, table
 
 Q = Queries()
@@ -214,3 +215,57 @@ def last_days(spark, sf_dir):
 @Q.add("latest_receipt", "select l_orderkey as obs, max(l_shipdate) as latest from lineitem group by 1")
 def latest_receipt(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("obs")).agg(F.max("l_shipdate").alias("latest"))
+
+
+# extraction by a catalog
+
+
+#: Columns of the registry: name, type, level, extension, keyword, table, what is made of several.
+CATALOG = [
+    ("exptime", "float", "L0", "PRIMARY", "EXPTIME", "tsdb_l0", "last"),
+    ("is_junk", "bool", "L0", "PRIMARY", "JUNK", "tsdb_l0", "last"),
+    ("mode_2d", "string", "2D", "PRIMARY", "MODE", "tsdb_2d", "last"),
+    ("n_reads", "int", "L1", "PRIMARY", "NREADS", "tsdb_l1", "last"),
+    ("made", "datetime", "L2", "PRIMARY", "MADE", "tsdb_l2", "last"),
+    ("exptime_l2", "float", "L2", "PRIMARY", "EXPTIME", "tsdb_l2", "last"),
+    ("temperature", "float", "L2", "TELEMETRY", "TEMP", "tsdb_telemetry", "mean"),
+]
+#: A scan of files made from lineitem: lines are levels, the fourth and later ones headers of L2 that come one after the other.
+SCANNED = """(select obs, case least(place, 4) when 1 then 'L0' when 2 then '2D' when 3 then 'L1' else 'L2' end as level, p.*, place from (
+      select l_orderkey as obs, l_linenumber as place, unnest([struct_pack(extension := 'PRIMARY', keyword := 'EXPTIME', value := case when l_partkey % 10 = 0 then '-nan' else cast(cast(l_quantity as bigint) as varchar) end),
+        struct_pack(extension := 'PRIMARY', keyword := 'JUNK', value := case l_returnflag when 'A' then 'T' when 'N' then 'false' else '?' end),
+        struct_pack(extension := 'PRIMARY', keyword := 'MODE', value := ' ' || l_linestatus || ' '), struct_pack(extension := 'PRIMARY', keyword := 'NREADS', value := cast(l_suppkey as varchar)),
+        struct_pack(extension := 'PRIMARY', keyword := 'MADE', value := strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')), struct_pack(extension := 'TELEMETRY', keyword := 'TEMP', value := case when l_suppkey % 7 = 0 then '-999' else cast(cast(l_quantity * 2 as bigint) as varchar) end)]) as p from lineitem))"""
+
+
+def scanned(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    text = lambda c: c.cast("long").cast("string")
+    cells = {
+        ("PRIMARY", "EXPTIME"): F.when(F.col("l_partkey") % 10 == 0, "-nan").otherwise(text(F.col("l_quantity"))),
+        ("PRIMARY", "JUNK"): F.when(F.col("l_returnflag") == "A", "T").when(F.col("l_returnflag") == "N", "false").otherwise("?"),
+        ("PRIMARY", "MODE"): F.concat(F.lit(" "), "l_linestatus", F.lit(" ")),
+        ("PRIMARY", "NREADS"): text(F.col("l_suppkey")),
+        ("PRIMARY", "MADE"): F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"),
+        ("TELEMETRY", "TEMP"): F.when(F.col("l_suppkey") % 7 == 0, "-999").otherwise(text(F.col("l_quantity") * 2)),
+    }
+    level = F.element_at(F.array(*[F.lit(x) for x in products.LEVELS]), F.least("l_linenumber", F.lit(4)).cast("int"))
+    rows = F.explode(F.array(*[F.struct(F.lit(e).alias("extension"), F.lit(k).alias("keyword"), v.alias("value")) for (e, k), v in cells.items()])).alias("p")
+    return lines.select(F.col("l_orderkey").alias("obs"), level.alias("level"), rows, F.col("l_linenumber").alias("place")).select("obs", "level", "p.*", "place")
+
+
+_LAST = "arg_max(value, place) filter (where level = '{}' and extension = 'PRIMARY' and keyword = '{}')"
+
+
+@Q.add(
+    "catalog_extract",
+    f"""with s as {SCANNED} select obs, try_cast(nullif({_LAST.format("L0", "EXPTIME")}, '-nan') as double) as exptime, case {_LAST.format("L0", "JUNK")} when 'T' then true when 'false' then false end as is_junk,
+      trim({_LAST.format("2D", "MODE")}) as mode_2d, try_cast({_LAST.format("L1", "NREADS")} as bigint) as n_reads, try_cast({_LAST.format("L2", "MADE")} as timestamp) as made,
+      try_cast(nullif({_LAST.format("L2", "EXPTIME")}, '-nan') as double) as exptime_l2, round(avg(try_cast(nullif(value, '-999') as double)) filter (where level = 'L2' and extension = 'TELEMETRY'), 6) as temperature,
+      bool_or(level = 'L0') as "has_L0", bool_or(level = '2D') as "has_2D", bool_or(level = 'L1') as "has_L1", bool_or(level = 'L2') as "has_L2" from s group by 1""",
+)
+def catalog_extract(spark, sf_dir):
+    """Whole observations by a catalog: headers of all levels and telemetry, each cell as its type, in one pass."""
+    catalog = [products.Keyword(*c) for c in CATALOG]
+    out = products.observations(scanned(spark, sf_dir), "obs", catalog)
+    return out.withColumn("temperature", F.round("temperature", 6))

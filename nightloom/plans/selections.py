@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import registry, selection
+from ..operators.sizes import broadcast_small
 from ._common import Queries, table
 
 Q = Queries()
@@ -19,7 +20,7 @@ STAR_SQL = """(with l as (select l_orderkey, sum(l_quantity) as qty, max(l_shipd
 def star(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("datecode", S.datecode(F.col("o_orderdate")))
     base = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice", "datecode")
-    people = table(spark, sf_dir, "customer").join(F.broadcast(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")  # 25 rows
+    people = table(spark, sf_dir, "customer").join(broadcast_small(table(spark, sf_dir, "nation")), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     people = base.select("o_orderkey", "o_custkey").join(people, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name", "c_mktsegment", "c_nationkey", "n_name")
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("qty"),
@@ -255,5 +256,5 @@ def stale_files(spark, sf_dir):
 def difference_pairs(spark, sf_dir):
     """Each frame with the next of its type; their difference over the root of two is the noise of one."""
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "value", "ts")
-    pairs = registry.next_in_type(events, ["event_type"], ["ts", "event_id"], ["event_id", "value"])
+    pairs = registry.next_in_type(events, ["event_type"], ["ts", "event_id"], ["event_id", "value"], F.to_date("ts"))
     return pairs.select("event_type", "event_id", "next_event_id", F.round((F.col("value") - F.col("next_value")) / F.sqrt(F.lit(2.0)), 6).alias("noise"))
