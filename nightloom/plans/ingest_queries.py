@@ -254,7 +254,7 @@ def scanned(spark, sf_dir):
     return lines.select(F.col("l_orderkey").alias("obs"), level.alias("level"), rows, F.col("l_linenumber").alias("place")).select("obs", "level", "p.*", "place")
 
 
-_LAST = "arg_max(value, place) filter (where level = '{}' and extension = 'PRIMARY' and keyword = '{}')"
+_LAST = "arg_max(value, struct_pack(p := place, v := value)) filter (where level = '{}' and extension = 'PRIMARY' and keyword = '{}')"
 
 
 @Q.add(

@@ -64,7 +64,7 @@ def observations(scanned: DataFrame, key: str, catalog: list[Keyword]) -> DataFr
 
     scanned has key, level, extension, keyword, place and value.  Rows that the catalog does not name are left out
     before anything is grouped, except that they tell that their level is there.  A keyword that stands several times
-    has the value of its last place.
+    has the value of its last place, of equal places the largest text.
     """
     spark = scanned.sparkSession
     wanted = spark.createDataFrame(sorted({(k.level, k.extension, k.keyword) for k in catalog}), "level string, extension string, keyword string")
@@ -73,7 +73,7 @@ def observations(scanned: DataFrame, key: str, catalog: list[Keyword]) -> DataFr
     value = F.when(F.col("_wanted"), F.col("value"))
     number = clean_number(value)
     place = [F.when(F.col("_wanted"), F.col(c)).alias(f"_{c}") for c in ("extension", "keyword")]
-    one = named.groupBy(key, "level", *place).agg(F.max_by(value, "place").alias("last"), F.avg(number).alias("mean"))
+    one = named.groupBy(key, "level", *place).agg(F.max_by(value, F.struct(F.col("place"), value.alias("v"))).alias("last"), F.avg(number).alias("mean"))
     columns = []
     for k in catalog:
         here = (F.col("level") == k.level) & (F.col("_extension") == k.extension) & (F.col("_keyword") == k.keyword)
