@@ -6,6 +6,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -102,22 +103,26 @@ def greedy_bins(df: DataFrame, by: list[str], at: str, value: str, error: str, w
 
     Where a bin begins depends on all bins before it, which no frame expresses.  But after a gap of a width a new bin
     begins whatever came before; so a group is first cut into islands, runs of stretches of one width that hold rows,
-    and the bin starts of each island are found by a fold over its times, on the JVM.  The means are a plain grouping.
+    and the bin starts of each island are found one from the other in its sorted times.  The means are a plain grouping.
     """
     stretch = F.floor(F.col(at).cast("double") / F.lit(width))
     held = df.filter(F.col(error) > 0).withColumn("_stretch", stretch)
     over = Window.partitionBy(*by).orderBy("_stretch")
     runs = held.select(*by, "_stretch").distinct().withColumn("_island", F.col("_stretch") - F.row_number().over(over))  # a row for each stretch
     t = held.join(runs, [*by, "_stretch"]).drop("_stretch")
-    start = F.struct(F.lit(None).cast("double").alias("open"), F.array().cast("array<double>").alias("starts"))
-    fold = F.aggregate(
-        F.array_sort(F.collect_list(F.col(at).cast("double"))),
-        start,
-        lambda acc, x: F.when(acc["open"].isNull() | (x >= acc["open"] + F.lit(width)), F.struct(x.alias("open"), F.concat(acc["starts"], F.array(x)).alias("starts"))).otherwise(acc),
-        lambda acc: acc["starts"],
-    )
     inside = [*by, "_island"]
-    bins = t.groupBy(*inside).agg(fold.alias("starts")).select(*inside, F.explode("starts").alias("bin_start"))
+    times = t.select(*inside, F.col(at).cast("double").alias("bin_start")).filter("bin_start is not null")
+    types = ", ".join(f"{k} {kind}" for k, kind in times.dtypes)
+
+    def begins(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bin_start")
+        times, places, i = np.asarray(table["bin_start"]), [], 0
+        while i < len(times):
+            places.append(i)
+            i = int(np.searchsorted(times, times[i] + width))
+        return table.take(pa.array(places, pa.int64()))
+
+    bins = times.groupBy(*inside).applyInArrow(begins, types)
     bins = bins.withColumn("bin", (F.row_number().over(Window.partitionBy(*by).orderBy("bin_start")) - 1).cast("int"))  # a row for each bin
     nearest = t.withColumn("_t", F.col(at).cast("double")).unionByName(bins.select(*inside, F.col("bin_start").alias("_t"), "bin", "bin_start"), allowMissingColumns=True)
     w = Window.partitionBy(*inside).orderBy(F.col("_t"), F.col("bin").isNull()).rowsBetween(Window.unboundedPreceding, 0)
