@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def upsert(stored: DataFrame, incoming: DataFrame, key: list[str], order: str) -> DataFrame:
     """Incoming rows replace stored rows of the same key, column by column where they have a value.
 
-    Of several incoming rows of one key the last by order counts.  Columns that incoming lacks keep their stored
-    values.
+    Of several incoming rows of one key the last by order counts, of equally late ones that with the largest values,
+    column by column; a value is larger than none.  Columns that incoming lacks keep their stored values.
     """
-    newest = incoming.groupBy(*key).agg(F.max_by(F.struct(*incoming.columns), F.col(order)).alias("_in"))
+    newest = incoming.groupBy(*key).agg(F.max_by(F.struct(*incoming.columns), F.struct(order, *incoming.columns)).alias("_in"))
     both = stored.join(newest, key, "full_outer")
     values = [c for c in stored.columns if c not in key]
     return both.select(*key, *[F.coalesce(F.col(f"_in.{c}"), F.col(c)).alias(c) if c in incoming.columns else F.col(c) for c in values])

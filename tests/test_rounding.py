@@ -1,6 +1,6 @@
 """Results that neither the order of rows nor the last bit of a sum may change."""
 
-from nightloom.operators import quality
+from nightloom.operators import quality, registry
 
 #: Taxes with a variance of 25 pixels^2; added up in this order their deviation comes out below 5.
 TAXES = [0.03, 0.03, 0.04, 0.0, 0.08, 0.06, 0.04, 0.02, 0.04, 0.0, 0.0, 0.03, 0.02, 0.04, 0.0, 0.08, 0.03, 0.01, 0.08, 0.01, 0.03, 0.06, 0.05, 0.06]
@@ -10,3 +10,11 @@ def test_scatter_of_exactly_the_limit_is_wild_in_any_order(spark):
     for values in (TAXES, sorted(TAXES), TAXES[::-1]):
         rows = spark.createDataFrame([(1, 1, x * 200) for x in values], "obs int, ord int, pixels double").coalesce(1)
         assert [r["pass"] for r in quality.not_wild(rows, ["obs"], "ord", "pixels").collect()] == [False]
+
+
+def test_equally_late_rows_are_settled_by_their_values(spark):
+    stored = spark.createDataFrame([(1, 0, 0.0, "s")], "k int, cid int, n double, note string")
+    late = [(1, 7, 12.0), (1, 7, None), (1, 7, 30.0), (1, 6, 99.0)]
+    for rows in (late, late[::-1]):
+        new = spark.createDataFrame(rows, "k int, cid int, n double").coalesce(1)
+        assert [tuple(r) for r in registry.upsert(stored, new, ["k"], "cid").collect()] == [(1, 7, 30.0, "s")]
