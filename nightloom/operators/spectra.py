@@ -83,12 +83,18 @@ def profile_extracted(pixels: DataFrame, by: list[str]) -> DataFrame:
 
 
 def worst_rejected(pixels: DataFrame, by: list[str], clip: float) -> DataFrame:
-    """One round of rejection: of each column the pixel furthest from flux * profile is masked if beyond clip sigma."""
-    flux = profile_extracted(pixels, by).select(*by, F.col("flux").alias("_f"))
-    r = F.pow(F.col("data") - F.col("sky") - F.col("_f") * F.col("profile"), 2) / F.nullif(F.col("variance"), F.lit(0.0))
-    rows = pixels.join(flux, by).withColumn("_r", F.when(F.col("mask") > 0, r))
-    worst = rows.groupBy(*by).agg(F.max("_r").alias("_w"))
-    rows = rows.join(worst, by)
+    """One round of rejection: of each column the pixel furthest from flux * profile is masked if beyond clip sigma.
+
+    A column is as many pixels as the trace is wide.  Its flux and its worst residual are window values over the very
+    rows that they are compared with: a second reading of the pixels could add up their sums in another order.
+    """
+    column = Window.partitionBy(*by)
+    v = F.nullif(F.col("variance"), F.lit(0.0))
+    norm = F.nullif(F.sum(F.col("mask") * F.pow("profile", 2) / v).over(column), F.lit(0.0))
+    flux = F.sum(F.col("mask") * F.col("profile") * (F.col("data") - F.col("sky")) / v).over(column) / norm
+    rows = pixels.withColumn("_f", flux)
+    r = F.pow(F.col("data") - F.col("sky") - F.col("_f") * F.col("profile"), 2) / v
+    rows = rows.withColumn("_r", F.when(F.col("mask") > 0, r)).withColumn("_w", F.max("_r").over(column))
     return rows.withColumn("mask", F.when((F.col("_r") == F.col("_w")) & (F.col("_w") > clip * clip), 0.0).otherwise(F.col("mask"))).select(*pixels.columns)
 
 
