@@ -78,7 +78,10 @@ def header_at_most(limits: dict[str, float]) -> Column:
 
 
 def first_match(files: DataFrame, ids: DataFrame, path: str, key: str, bucket: Column, id_bucket: Column, order: list[str]) -> DataFrame:
-    """For each id the first file whose path contains it; both sides share a bucket that the id tells."""
+    """For each id the first file whose path contains it; both sides share a bucket that the id tells.
+
+    A bucket should hold the files of few ids: all its files stand against all its ids.
+    """
     pairs = files.withColumn("_b", bucket).join(ids.withColumn("_b", id_bucket), "_b").filter(F.contains(F.col(path), F.col(key)))
     return pairs.groupBy(key).agg(F.min_by(F.col(path), F.struct(*order)).alias(path))
 

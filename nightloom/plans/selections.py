@@ -141,7 +141,8 @@ def select_obs_first_match(spark, sf_dir):
     name = F.concat(F.lit("KP."), day, F.lit("."), F.col("user_id").cast("string"), F.lit("_"))
     files = events.select(F.concat(F.lit("/data/"), day, F.lit("/"), name, "event_type", F.lit(".fits")).alias("path"))
     ids = events.filter("event_type = 'error' and value > 60").select(name.alias("id")).distinct()
-    return selection.first_match(files, ids, "path", "id", F.get(F.split("path", "/"), F.lit(2)), F.substring("id", 4, 8), ["path"])
+    # an id is the name up to its mark, so a file's name tells the one id that it can contain
+    return selection.first_match(files, ids, "path", "id", F.regexp_extract("path", r"(KP\.\d{8}\.[^_/]*_)", 1), F.col("id"), ["path"])
 
 
 @Q.add(
