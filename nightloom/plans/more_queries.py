@@ -89,14 +89,11 @@ def drift_candidates(spark, sf_dir):
     select x.event_id, bool_and(e.value < 90) as clear, round(avg(e.value), 7) as mean, round(stddev_pop(e.value), 6) as std, count(*) as n from x join events e on e.ts >= x.a and e.ts < x.b group by 1""",
 )
 def clear_interval_stats(spark, sf_dir):
-    """Sky samples within each exposure: both sides share hours, so that the range join is an equi-join on them."""
-    events = table(spark, sf_dir, "events")
-    hour = lambda c: F.floor(S.seconds(c) / 3600)
-    exposures = events.filter("event_type = 'signup'").select("event_id", F.col("ts").alias("a"), F.timestamp_add("SECOND", F.lit(7200), "ts").alias("b"))
-    exposures = exposures.withColumn("h", F.explode(F.sequence(hour(F.col("a")), hour(F.col("b")))))
-    samples = events.select("ts", "value", hour(F.col("ts")).alias("h"))
-    met = exposures.join(samples, "h").filter("ts >= a and ts < b")
-    return met.groupBy("event_id").agg(F.bool_and(F.col("value") < 90).alias("clear"), F.round(F.avg("value"), 7).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std"), F.count("*").alias("n"))
+    """Sky samples within the two hours of each exposure."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", at.alias("at"))
+    out = A.interval_stats(events, events.filter("event_type = 'signup'"), "event_id", "at", "at", "value", 7200 * 1_000_000, 90)
+    return out.select("event_id", "clear", F.round("mean", 7).alias("mean"), F.round("std", 6).alias("std"), "n")
 
 
 @Q.add(

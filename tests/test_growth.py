@@ -1,11 +1,21 @@
 """Steps whose work may grow no faster than their rows: what their plans hold."""
 
+import random
+import statistics
+
+import pytest
+
 from nightloom.operators import selection
+from nightloom.operators import statistics as A
 from nightloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 
 
+def plan(df, kind="optimizedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
 def test_files_meet_the_one_id_that_they_can_contain(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(selection, "first_match", lambda *a: seen.append(a) or spark.range(0))
@@ -13,3 +23,26 @@ def test_files_meet_the_one_id_that_they_can_contain(spark, monkeypatch):
     files, ids, _, _, bucket, id_bucket, _ = seen[0]
     pairs = files.withColumn("_b", bucket).join(ids.withColumn("_b", id_bucket), "_b").count()
     assert 0 < pairs <= files.count()
+
+
+def test_intervals_make_no_pairs(spark):
+    assert "Join Inner" not in plan(catalog.QUERIES["clear_interval_stats"](spark, SF))
+
+
+def test_intervals_against_a_loop(spark):
+    rng = random.Random(4)
+    samples = [(rng.randrange(-300, 900), rng.choice([None, float("nan"), *[round(rng.uniform(0, 100), 2) for _ in range(40)]])) for _ in range(400)] + [(100, 5.0), (200, 7.0)]
+    intervals = [(i, rng.randrange(-400, 1000)) for i in range(60)] + [(60, 100), (61, 200), (62, 0), (63, None), (64, 100_000)]
+    out = A.interval_stats(spark.createDataFrame(samples, "at long, v double"), spark.createDataFrame(intervals, "k int, a long"), "k", "a", "at", "v", 100, 90)
+    got = {r.k: r for r in out.collect()}
+    want = {k: inside for k, a in intervals if a is not None and (inside := [v for t, v in samples if a <= t < a + 100])}
+    assert got.keys() == want.keys()
+    for k, inside in want.items():
+        v = [x for x in inside if x is not None]
+        r = got[k]
+        assert r.n == len(inside) and r.clear == (all(x < 90 for x in v) if v else None)
+        if v:
+            assert r.mean == pytest.approx(statistics.fmean(v), nan_ok=True)
+            assert r.std == pytest.approx(statistics.pstdev(v) if not any(x != x for x in v) else float("nan"), abs=1e-9, nan_ok=True)
+        else:
+            assert r.mean is None and r.std is None
