@@ -46,3 +46,16 @@ def test_intervals_against_a_loop(spark):
             assert r.std == pytest.approx(statistics.pstdev(v) if not any(x != x for x in v) else float("nan"), abs=1e-9, nan_ok=True)
         else:
             assert r.mean is None and r.std is None
+
+
+def test_clipped_groups_are_not_dealt_out(spark):
+    """A few groups of very many rows stay where they are: what is joined to them is a row for each group."""
+    rows = spark.createDataFrame([(k, float(x), 1.0) for k in range(3) for x in [*range(1, 40), 5000]], "k int, x double, w double").repartition(3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = A.weighted_clip(rows, ["k"], "x", "w", 3, 3.0)
+        assert "SortMergeJoin" not in plan(out, "executedPlan")
+        assert sorted(tuple(r) for r in out.collect()) == [(k, 20.0, 39) for k in range(3)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
