@@ -69,20 +69,20 @@ def observations(scanned: DataFrame, key: str, catalog: list[Keyword]) -> DataFr
     spark = scanned.sparkSession
     wanted = spark.createDataFrame(sorted({(k.level, k.extension, k.keyword) for k in catalog}), "level string, extension string, keyword string")
     named = scanned.join(broadcast_small(wanted.withColumn("_wanted", F.lit(True))), ["level", "extension", "keyword"], "left")
-    # a row for each (observation, keyword) leaves a task, however often the keyword stands
+    # a row for each observation leaves a task: its keywords side by side, each with the place it was read at
     value = F.when(F.col("_wanted"), F.col("value"))
-    number = clean_number(value)
-    place = [F.when(F.col("_wanted"), F.col(c)).alias(f"_{c}") for c in ("extension", "keyword")]
-    one = named.groupBy(key, "level", *place).agg(F.max_by(value, F.struct(F.col("place"), value.alias("v"))).alias("last"), F.avg(number).alias("mean"))
-    columns = []
-    for k in catalog:
+    cells = named.select(key, "level", *[F.when(F.col("_wanted"), F.col(c)).alias(f"_{c}") for c in ("extension", "keyword", "place")], value.alias("_value"))
+    columns, out = [], []
+    for i, k in enumerate(catalog):
         here = (F.col("level") == k.level) & (F.col("_extension") == k.extension) & (F.col("_keyword") == k.keyword)
         if k.many == "mean":
-            columns.append(F.max(F.when(here, F.col("mean"))).alias(k.name))
+            columns.append(F.avg(F.when(here, clean_number(F.col("_value")))).alias(f"_{i}"))
+            out.append(F.col(f"_{i}").alias(k.name))
         else:
-            columns.append(typed(F.max(F.when(here, F.col("last"))), k.kind).alias(k.name))
+            columns.append(F.max(F.when(here, F.struct(F.col("_place").alias("p"), F.col("_value").alias("v")))).alias(f"_{i}"))
+            out.append(typed(F.col(f"_{i}.v"), k.kind).alias(k.name))
     there = [F.bool_or(F.col("level") == level).alias(f"has_{level}") for level in LEVELS]
-    return one.groupBy(key).agg(*columns, *there)
+    return cells.groupBy(key).agg(*columns, *there).select(key, *out, *[f"has_{level}" for level in LEVELS])
 
 
 def tables(wide: DataFrame, key: str, catalog: list[Keyword]) -> dict[str, DataFrame]:

@@ -59,3 +59,7 @@ def test_clipped_groups_are_not_dealt_out(spark):
         assert sorted(tuple(r) for r in out.collect()) == [(k, 20.0, 39) for k in range(3)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_an_observation_is_grouped_once(spark):
+    assert plan(catalog.QUERIES["catalog_extract"](spark, SF)).count("Aggregate [") == 1
