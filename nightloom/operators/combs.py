@@ -5,17 +5,20 @@ Peaks of an order are a few hundred rows; everything is window values and groups
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HALF = 8  # neighbours on either side
 OFF_COMB = 0.15  # of a spacing, from which a peak is none of the comb's
 
 
-def middle(values: Column) -> Column:
-    """The lower median of an array; null of an empty one."""
-    held = F.sort_array(F.filter(values, lambda x: x.isNotNull()))
-    return F.get(held, F.floor((F.size(held) - 1) / 2).cast("int"))
+def middle(values: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lower median of the values of each row that are held, and whether there is any."""
+    n = held.sum(axis=1)
+    values = np.sort(np.where(held, values, np.nan), axis=1)  # what is not held comes last
+    return values[np.arange(len(values)), np.maximum(n - 1, 0) // 2], n > 0
 
 
 def with_spacing(peaks: DataFrame, by: list[str], at: str, half: int) -> DataFrame:
@@ -24,17 +27,27 @@ def with_spacing(peaks: DataFrame, by: list[str], at: str, half: int) -> DataFra
     A peak that is missing or false changes few of the steps of a neighbourhood, so that their median stays the
     comb's.  A peak of the comb is a whole number of steps from most of its neighbours.
     """
-    w = Window.partitionBy(*by).orderBy(at)
-    around = w.rowsBetween(-half, half)
-    rows = peaks.withColumn("_step", F.col(at) - F.lag(at).over(w))
-    rows = rows.withColumns({"_steps": F.collect_list("_step").over(around), "_near": F.collect_list(at).over(around)})
-    rows = rows.withColumn("_usual", middle(F.col("_steps")))
 
-    def off(x: Column) -> Column:
-        steps = (F.col(at) - x) / F.nullif(F.col("_usual"), F.lit(0.0))
-        return F.when(x != F.col(at), F.abs(steps - F.round(steps)))
+    def spaced(table: pa.Table) -> pa.Table:
+        table = table.sort_by(at)
+        x = np.asarray(table[at])
+        place = np.arange(len(x))[:, None] + np.arange(-half, half + 1)
+        held = (place >= 0) & (place < len(x))
+        place = np.clip(place, 0, len(x) - 1)
+        step = np.diff(x, prepend=np.nan)
+        usual, known = middle(step[place], held & (place > 0))
+        near = x[place]
+        with np.errstate(all="ignore"):
+            steps = (x[:, None] - near) / usual[:, None]
+            off = np.abs(steps - np.rint(steps))
+        same = (near == x[:, None]) | (np.isnan(near) & np.isnan(x[:, None]))
+        off, some = middle(off, held & ~same & (known & (usual != 0))[:, None])
+        for name, value, ok in (("_usual", usual, known), ("off_comb", off, some)):
+            table = table.append_column(name, pa.array(value, pa.float64(), mask=~ok))
+        return table
 
-    return rows.withColumn("off_comb", middle(F.transform("_near", off))).drop("_step", "_steps", "_near")
+    types = ", ".join(f"`{k}` {t}" for k, t in peaks.dtypes)
+    return peaks.groupBy(*by).applyInArrow(spaced, f"{types}, _usual double, off_comb double")
 
 
 def mode_numbers(peaks: DataFrame, by: list[str], at: str, rough: str, half: int = HALF, off_comb: float = OFF_COMB) -> DataFrame:

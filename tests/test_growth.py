@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from nightloom.operators import extraction, selection
+from nightloom.operators import combs, extraction, selection
 from nightloom.operators import statistics as A
 from nightloom.plans import catalog
 
@@ -75,3 +75,11 @@ def test_a_round_of_extraction_writes_its_pixels_once(spark):
     out = extraction.extracted_with_profile(pixels, ["o"], 5.0, lambda df: kept.append(df) or df.localCheckpoint(), 11, 5, 5.0, 1.0, 3)
     assert out.count() == 3 * 40
     assert len(kept) == out.agg(F.max("rounds")).first()[0]
+
+
+def test_spacing_of_peaks_takes_one_pass_over_an_order(spark):
+    """Neighbourhoods as arrays within Spark's windows took most of the time of a large run."""
+    peaks = spark.createDataFrame([(0, float(10 * k), k + 0.1) for k in range(30) if k != 7], "g int, x double, rough double")
+    out = combs.mode_numbers(peaks, ["g"], "x", "rough")
+    assert "collect_list" not in plan(out)
+    assert sorted((r.mode, r.x) for r in out.collect()) == [(k, 10.0 * k) for k in range(30) if k != 7]
