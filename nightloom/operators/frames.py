@@ -6,8 +6,9 @@ that a frame of any size is many tasks.  Null and NaN pixels count as absent.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,6 +57,36 @@ def runs_joined(row: np.ndarray, col: np.ndarray) -> np.ndarray:
     return first[merged(len(first), a, b)][np.cumsum(begins) - 1]
 
 
+def in_groups(rows: DataFrame, keys: list[str], order: list[str], use: Callable[[pa.Table, np.ndarray], pa.Table], types: str) -> DataFrame:
+    """use(table, group) of whole groups of rows in order, a batch's at once, as small groups are too many for a call each.
+
+    group numbers the rows' groups from 0; a group that a batch cuts waits for the next one.
+    """
+
+    def numbers(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        for k in keys:
+            code = np.asarray(table[k].combine_chunks().dictionary_encode(null_encoding="encode").indices)
+            new[1:] |= code[1:] != code[:-1]
+        return np.cumsum(new)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = (table if held is None else pa.concat_tables([held, table])).combine_chunks()
+            if held.num_rows:
+                group = numbers(held)
+                whole = int(np.searchsorted(group, group[-1]))
+                if whole:
+                    yield from use(held.slice(0, whole), group[:whole]).to_batches()
+                held = held.slice(whole)
+        if held is not None and held.num_rows:
+            yield from use(held, np.zeros(held.num_rows, np.int64)).to_batches()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(task, types)
+
+
 def clusters(lit: DataFrame, by: list[str], row: str, col: str, height: int, width: int, tile: int = TILE) -> DataFrame:
     """Lit pixels with the row and column of the first pixel of their cluster, by (row, column); neighbours touch at edges or corners.
 
@@ -69,13 +100,12 @@ def clusters(lit: DataFrame, by: list[str], row: str, col: str, height: int, wid
     keys = ", ".join(f"{k} {t}" for k, t in pixels.select(*by).dtypes)
     keys = keys and keys + ", "
 
-    def label(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_at")
+    def label(table: pa.Table, group: np.ndarray) -> pa.Table:
         at = np.asarray(table["_at"])
-        return table.append_column("_label", pa.array(at[runs_joined(at // width, at % width)]))
+        return table.append_column("_label", pa.array(at[runs_joined(group * (height + 1) + at // width, at % width)]))  # tiles lie a row apart
 
     types = ", ".join(f"{k} {t}" for k, t in pixels.dtypes)
-    local = pixels.groupBy(*by, "_tr", "_tc").applyInArrow(label, f"{types}, _label long")
+    local = in_groups(pixels, [*by, "_tr", "_tc"], ["_at"], label, f"{types}, _label long")
 
     # pixels at the border of their tile and the neighbours that lie in another one
     edge = F.lit(False)
@@ -91,13 +121,14 @@ def clusters(lit: DataFrame, by: list[str], row: str, col: str, height: int, wid
 
     labels = edges.select(*by, F.explode(F.array("_a", "_b")).alias("_label")).distinct().withColumn("_now", F.col("_label"))
 
-    def union(frame: pd.DataFrame) -> pd.DataFrame:
-        known, places = np.unique(frame[["_x", "_y"]].to_numpy(), return_inverse=True)
-        a, b = places.reshape(-1, 2).T
-        out = pd.DataFrame({"_now": known, "_next": known[merged(len(known), a, b)]})
-        for k in by:
-            out[k] = frame[k].iloc[0]
-        return out[[*by, "_now", "_next"]]
+    def union(table: pa.Table, group: np.ndarray) -> pa.Table:
+        places = np.stack([np.asarray(table["_x"]), np.asarray(table["_y"])], 1) + group[:, None] * (height * width)
+        known, first, found = np.unique(places, return_index=True, return_inverse=True)
+        a, b = found.reshape(-1, 2).T
+        out = table.select([*by, "_sr"]).take(pa.array(first // 2))
+        for name, place in (("_now", known), ("_next", known[merged(len(known), a, b)])):
+            out = out.append_column(name, pa.array(place % (height * width)))
+        return out.drop_columns("_sr")
 
     level, side = 0, max(-(-height // tile), -(-width // tile))
     while (1 << level) < side:
@@ -109,7 +140,7 @@ def clusters(lit: DataFrame, by: list[str], row: str, col: str, height: int, wid
         then = labels.select(*by, F.col("_label").alias("_b"), F.col("_now").alias("_y"))
         mine = edges.filter(together & apart).join(now, [*by, "_a"]).join(then, [*by, "_b"])
         mine = mine.select(*by, square("_tr", level).alias("_sr"), square("_tc", level).alias("_sc"), "_x", "_y").distinct()
-        moved = mine.groupBy(*by, "_sr", "_sc").applyInPandas(union, f"{keys}_now long, _next long")
+        moved = in_groups(mine, [*by, "_sr", "_sc"], [], union, f"{keys}_now long, _next long")
         labels = labels.join(moved, [*by, "_now"], "left").select(*by, "_label", F.coalesce("_next", "_now").alias("_now"))
     out = local.join(labels, [*by, "_label"], "left").withColumn("_label", F.coalesce("_now", "_label"))
     first = F.floor(F.col("_label") / width).cast("int"), (F.col("_label") % width).cast("int")

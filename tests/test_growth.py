@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from nightloom.operators import combs, extraction, selection
+from nightloom.operators import combs, extraction, frames, selection
 from nightloom.operators import statistics as A
 from nightloom.plans import catalog
 
@@ -83,3 +83,15 @@ def test_spacing_of_peaks_takes_one_pass_over_an_order(spark):
     out = combs.mode_numbers(peaks, ["g"], "x", "rough")
     assert "collect_list" not in plan(out)
     assert sorted((r.mode, r.x) for r in out.collect()) == [(k, 10.0 * k) for k in range(30) if k != 7]
+
+
+def test_tiles_of_many_frames_share_a_call(spark):
+    """Frames of two tiles, more rows than a batch holds; each has one cluster across the border and one of its own."""
+    frames_of = spark.range(3000)
+    lit = frames_of.select(F.col("id").alias("frame"), F.explode(F.expr("array(struct(1 as r, 3 as c), struct(2 as r, 4 as c), struct(2 as r, 5 as c), struct(0 as r, 7 as c), struct(7 as r, 0 as c))")).alias("p")).select("frame", "p.*")
+    found = frames.clusters(lit, ["frame"], "r", "c", 8, 8, 4)
+    assert "FlatMapGroups" not in plan(found)
+    sizes = frames.cluster_sizes(found, ["frame"], "r", "c").groupBy("first_row", "first_col", "n_pixels").count().collect()
+    assert sorted(tuple(r) for r in sizes) == [(0, 7, 1, 3000), (1, 3, 3, 3000), (7, 0, 1, 3000)]
+    one = frames.clusters(lit.filter("frame = 0").drop("frame"), [], "r", "c", 8, 8, 4)
+    assert one.select("first_row", "first_col").distinct().count() == 3
