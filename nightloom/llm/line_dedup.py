@@ -8,9 +8,9 @@ so lines are also joined on segments of their words (segment_keys), one of which
 there the Hamming bound is DIFFERENT.  Pairs within the bound whose lengths and counts of letters the edit similarity
 admits are verified by it, and each connected group of lines keeps its first occurrence by (doc_id, line).
 
-In each cell lines are compared with leaders first; what the leaders leave apart is compared across the groups they
-made, of any two groups the NEAREST pairs by Hamming distance, so that many variants of one line cost their number,
-not its square.  Cells of a frequent phrase are cut up.
+In each cell every two lines that no chain of similar lines joins yet are compared, where their texts lie; only the
+links that join something leave the task.  A cell of more than MOST lines is dealt out by length into parts, which are
+compared each for itself and then, where they hold lines that are still apart, every two that can have lines in common.
 
 Defined results: null and empty texts have no lines; lines without words stay; rows that repeat a doc_id are
 one document and get the same verdict; rows without doc_id stay as they are; extra columns are kept; an empty
@@ -19,6 +19,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -37,10 +38,10 @@ BLOCKS, CLOSE = 3, 1
 DIFFERENT = 16  # bits, of lines that have a segment in common
 SKIP = 7  # words of a line whose segments are all its words but one
 LEAST_WORDS = 4  # of a segment
-NEAREST = 4
-FAR = 10  # bits
-SAMPLE, HOT = 16, 16  # a cell that has HOT lines among one class in SAMPLE is cut up
+MOST = 8192  # lines of a cell that one task compares
+SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
+VERIFIED = 4096  # pairs whose texts are taken at once
 SEEN = 1 << 20  # lines that a task remembers, so that a line that is repeated everywhere is not sent everywhere
 PART = 60_000  # words that 16-bit counters can add up
 LEAST = 0.85  # edit similarity
@@ -62,7 +63,7 @@ _LETTER[97:123] = np.arange(26)
 _LETTER[48], _LETTER[192:] = 26, 27
 
 LINE = "doc_id long, line int, id long, simhash long, n int, segments array<long>"
-FEATURES = "id long, text string, simhash long, chars int, letters binary"
+FEATURES = "id long, text string, simhash long, chars int, letters binary, cells array<struct<cell: long, size: int>>"
 
 
 #: For each half byte four 16-bit lanes, of which those of its set bits are 1.
@@ -205,31 +206,38 @@ def _letters(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, least:
 
 
 class Rows:
-    """A partition's rows (cell, id, simhash, chars and more), by cell and within it by distance from the middle.
+    """A partition's rows (cell, id, simhash, chars and more), by unit and within it by distance from the middle.
 
-    The middle of a cell has the bits that most of its SimHashes have; its first row is its leader, the variant that
-    the others have come from or lie around.
+    A unit is a cell or a part of it.  Its middle has the bits that most of its SimHashes have; its first row is the
+    variant that the others have come from or lie around.
     """
 
     def __init__(self, batches: list[pa.RecordBatch], *more: str):
         table = pa.Table.from_batches(batches).combine_chunks()
         ids, cell, s = (table[c].to_numpy() for c in ("id", "cell", "simhash"))
-        order = np.argsort(cell, kind="stable")
-        begin = np.flatnonzero(np.concatenate(([True], cell[order][1:] != cell[order][:-1])))
-        size = np.diff(np.append(begin, len(cell)))
+        unit = table["unit"].to_numpy() if "unit" in table.column_names else cell
+        order = np.argsort(unit, kind="stable")
+        begin = np.flatnonzero(np.concatenate(([True], unit[order][1:] != unit[order][:-1])))
+        size = np.diff(np.append(begin, len(unit)))
         middle = np.zeros(len(begin), np.uint64)
         for bit in range(64):
             ones = np.add.reduceat((s.view(np.uint64)[order] >> np.uint64(bit) & np.uint64(1)).astype(np.int64), begin)
             middle |= (2 * ones > size).astype(np.uint64) << np.uint64(bit)
         far = np.zeros(len(cell), np.uint8)
         far[order] = np.bitwise_count(s.view(np.uint64)[order] ^ np.repeat(middle, size))
-        order = np.lexsort((mix(ids.view(np.uint64)), far, cell))
-        self.cell, self.id = cell[order], ids[order]
+        order = np.lexsort((mix(ids.view(np.uint64)), far, unit))
+        self.unit, self.cell, self.id = unit[order], cell[order], ids[order]
         self.simhash, self.chars = table["simhash"].to_numpy()[order].view(np.uint64), table["chars"].to_numpy()[order]
         if "letters" in more:
             self.letters = np.frombuffer(b"".join(table["letters"].to_pylist()), np.uint8).reshape(-1, LETTERS)[order]
-        if "root" in more:
-            self.root = table["root"].to_numpy()[order]
+        for name in ("root", "side"):
+            if name in more:
+                setattr(self, name, table[name].to_numpy()[order])
+        if "text" in more:
+            self.order, self.texts = order, table["text"]
+
+    def text(self, at: np.ndarray) -> list[str]:
+        return self.texts.take(pa.array(self.order[at])).to_pylist()
 
     def similar(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
         """Indices of those pairs that are to be compared."""
@@ -241,14 +249,8 @@ class Rows:
         return at[at >= 0]
 
 
-def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.stack([np.concatenate(a), np.concatenate(b)], 1) if a else np.zeros((0, 2), np.int64)
-    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["a", "b"])
-
-
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Those rows (cell, id) of a partition that do not have a cell to themselves, once each."""
+    """Those rows (cell, id) of a partition that do not have a cell to themselves, once each, and how many rows the cell has."""
     parts = list(batches)
     if parts:
         cell, ids = (np.concatenate([b[c].to_numpy() for b in parts]) for c in ("cell", "id"))
@@ -258,67 +260,58 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, ids = cell[new], ids[new]
         same = cell[1:] == cell[:-1]
         keep = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-        yield pa.RecordBatch.from_arrays([pa.array(cell[keep]), pa.array(ids[keep])], ["cell", "id"])
-
-
-def _stars(least: float):
-    """(id, far, leader) of one partition's rows: each line with the first leader of its cell that it is to be compared with, and the bits between them."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        rows = Rows(parts, "letters")
-        left = np.arange(len(rows.cell))
-        while len(left):
-            cell = rows.cell[left]
-            begin = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-            leader = np.repeat(left[begin], np.diff(np.append(begin, len(left))))
-            near = rows.similar(leader, left, least)
-            near = near[leader[near] != left[near]]
-            x, y = left[near], leader[near]
-            yield pa.RecordBatch.from_arrays([pa.array(rows.id[x]), pa.array(np.bitwise_count(rows.simhash[x] ^ rows.simhash[y]).astype(np.int32)), pa.array(rows.id[y])], ["id", "far", "leader"])
-            stay = np.ones(len(left), bool)
-            stay[near] = stay[begin] = False
-            left = left[stay]
+        cell, ids = cell[keep], ids[keep]
+        begin = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1]))[: len(cell)])
+        size = np.diff(np.append(begin, len(cell)))
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(ids), pa.array(np.repeat(size, size).astype(np.int32))], ["cell", "id", "size"])
 
-    return task
 
+def _linked(least: float, apart: bool = False):
+    """Similar lines (a, b) of one unit of a partition's rows (unit, cell, id, simhash, chars, letters, text), as many as join what is joined.
 
-def _crossing(least: float):
-    """Pairs of one partition's rows of one cell but different roots that are to be compared: of two roots the NEAREST pairs."""
+    Of every two lines of a unit, one after another, those are compared that no link found before joins.  With apart, lines
+    of one root are joined already, and only those of different sides meet.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
         if not parts:
             return
-        rows = Rows(parts, "letters", "root")
-        a, b = [], []
-        begin = np.flatnonzero(np.concatenate(([True], rows.cell[1:] != rows.cell[:-1], [True])))
-        for i, j in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
-            kinds, kind, count = np.unique(rows.root[i:j], return_inverse=True, return_counts=True)
-            if len(kinds) == 1:
-                continue
-            largest = int(count.argmax())
-            found = []
-            for x in np.flatnonzero(kind != largest) + i:  # one of two different roots is not the largest
-                y = np.arange(i, j)
-                y = y[(kind[y - i] != kind[x - i]) & ((kind[y - i] == largest) | (y > x))]
-                y = y[rows.similar(np.full(len(y), x), y, least)]
-                found.append(np.stack([np.full(len(y), x), y], 1))
-            p = np.concatenate(found)
-            if not len(p):
-                continue
-            roots = np.sort(kind[p - i], axis=1)
-            far = np.bitwise_count(rows.simhash[p[:, 0]] ^ rows.simhash[p[:, 1]])
-            order = np.lexsort((far, roots[:, 1], roots[:, 0]))
-            p, roots = p[order], roots[order]
-            first = np.flatnonzero(np.concatenate(([True], (roots[1:] != roots[:-1]).any(axis=1))))
-            nth = np.arange(len(p)) - np.repeat(first, np.diff(np.append(first, len(p))))
-            p = p[nth < NEAREST]
-            a.append(rows.id[p[:, 0]])
-            b.append(rows.id[p[:, 1]])
-        yield _pairs(a, b)
+        rows = Rows(parts, "letters", "text", *(("root", "side") if apart else ()))
+        begin = np.flatnonzero(np.concatenate(([True], rows.unit[1:] != rows.unit[:-1])))
+        end = np.append(begin[1:], len(rows.unit))
+        of = np.repeat(np.arange(len(begin)), end - begin)
+        label = np.unique(rows.root, return_inverse=True)[1] if apart else np.arange(len(of))
+        live, nth = np.flatnonzero(end - begin > 1), 0
+        while len(live):
+            n = end[live] - begin[live] - nth - 1
+            x = np.repeat(begin[live] + nth, n)
+            y = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + x + 1
+            open_ = label[x] != label[y]
+            if apart:
+                open_ &= rows.side[x] != rows.side[y]
+            x, y = x[open_], y[open_]
+            near = rows.similar(x, y, least)
+            x, y = x[near], y[near]
+            order = np.lexsort((np.bitwise_count(rows.simhash[x] ^ rows.simhash[y]), x))
+            a, b = [], []
+            for i in range(0, len(order), VERIFIED):
+                some = order[i : i + VERIFIED]
+                for p, q, one, two in zip(x[some].tolist(), y[some].tolist(), rows.text(x[some]), rows.text(y[some]), strict=True):
+                    if label[p] != label[q] and edit_similar(one, two, least):
+                        unit = label[begin[of[p]] : end[of[p]]]
+                        unit[unit == label[q]] = label[p]
+                        a.append(rows.id[p])
+                        b.append(rows.id[q])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            nth += 1
+            live = live[end[live] - begin[live] > nth + 1]
+            if len(live):  # units that are one by now are done
+                n = end[live] - begin[live]
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[live], n)
+                first = np.cumsum(n) - n
+                live = live[np.minimum.reduceat(label[at], first) != np.maximum.reduceat(label[at], first)]
 
     return task
 
@@ -331,30 +324,27 @@ def normalised(line: str) -> str:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """FEATURES of the wanted lines [(line, id)] of each document."""
     for batch in batches:
-        ids, texts = [], []
+        ids, texts, at = [], [], []
+        wants = batch["wanted"].flatten()
+        cells = wants.field("cells") if wants.type.get_field_index("cells") >= 0 else pa.nulls(len(wants))
+        n = 0
         for wanted, text in zip(batch["wanted"].to_pylist(), batch["text"].to_pylist(), strict=True):
             lines = text.split("\n")
             for w in wanted:
                 if w["line"] < len(lines):
                     ids.append(w["id"])
                     texts.append(normalised(lines[w["line"]]))
+                    at.append(n)
+                n += 1
         texts = pa.array(texts, pa.string())
         for base, data, offsets in slices(texts):
             lines = Lines(data, offsets)
             if len(lines.long):
                 hashed, _ = simhashes(lines.words, lines.begin, lines.end)
                 chars, letters = lines.sizes()
-                arrays = [pa.array(ids, pa.int64()).take(pa.array(base + lines.text)), texts.take(pa.array(base + lines.text)), pa.array(hashed.view(np.int64)), pa.array(chars), letters]
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "simhash", "chars", "letters"])
-
-
-def _similar(least: float):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = [edit_similar(x, y, least) > 0 for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    return task
+                text = pa.array(base + lines.text)
+                arrays = [pa.array(ids, pa.int64()).take(text), texts.take(text), pa.array(hashed.view(np.int64)), pa.array(chars), letters, cells.take(pa.array(at, pa.int64()).take(text))]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "text", "simhash", "chars", "letters", "cells"])
 
 
 def keyed(lines: DataFrame) -> DataFrame:
@@ -380,43 +370,56 @@ def cut_up(cells: DataFrame, lines: DataFrame, work: Workspace, sample: int = SA
     return marked.filter("often is null").drop("often").unionByName(wide.select((F.xxhash64("cell", "segment").bitwiseOR(1)).alias("cell"), "id"))
 
 
-def line_groups(docs: DataFrame, work: Workspace, least: float = LEAST) -> DataFrame:
+def dealt_out(rows: DataFrame, least: float, most: int) -> DataFrame:
+    """Rows of cells of more than most lines with band and part: similar lines of a cell are in the same or neighbouring bands of lengths."""
+    width = -math.log(min(max(least, 0.01), 0.99)) * 1.000001
+    banded = rows.withColumn("band", F.floor(F.log(F.col("chars")) / width).cast("int"))
+    parts = banded.groupBy("cell", "band").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+    return banded.join(parts, ["cell", "band"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+
+
+def facing(rows: DataFrame, regions: DataFrame, work: Workspace) -> DataFrame:
+    """Units of two parts each that can have similar lines in common, of rows with band and part, where roots are still apart."""
+    rooted = rows.join(regions, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    open_cells = rooted.groupBy("cell").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("cell")
+    rooted = work.keep(rooted.join(open_cells, "cell"), "rooted")
+    ends = rooted.groupBy("cell", "band", "part").agg(F.min("root").alias("r"), F.max("root").alias("s"))
+    one, two = (ends.select("cell", *[F.col(c).alias(f"{c}{i}") for c in ("band", "part", "r", "s")]) for i in (1, 2))
+    met = one.join(two, "cell").filter("band2 = band1 + 1 or band2 = band1 and part1 < part2").filter("least(r1, r2) <> greatest(s1, s2)")
+    sides = F.explode(F.array(*[F.struct(F.col(f"band{i}").alias("band"), F.col(f"part{i}").alias("part"), F.lit(i).alias("side")) for i in (1, 2)]))
+    sides = met.select("cell", F.xxhash64("cell", "band1", "part1", "band2", "part2").alias("unit"), sides.alias("of")).select("cell", "unit", "of.band", "of.part", "of.side")
+    return sides.join(rooted, ["cell", "band", "part"])
+
+
+def line_groups(docs: DataFrame, work: Workspace, least: float = LEAST, most: int = MOST) -> DataFrame:
     """(doc_id, line, group_id, keep_doc_id, keep_line) for each line of a group that has several occurrences."""
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null and text is not null")
     lines = work.keep(plain.mapInArrow(_hashed, LINE), "lines")
     # short lines, and lines of a few words over and over, are told apart exactly or not at all
     compared = lines.filter(F.col("n") >= SHORTEST)
-    cells = cut_up(keyed(compared), compared, work)
-    met = cells.repartition("cell").mapInArrow(_shared, "cell long, id long").groupBy("id").agg(F.collect_list("cell").alias("cells"))  # cells of one line
-    met = work.keep(met, "met")
+    shared = keyed(compared).repartition("cell").mapInArrow(_shared, "cell long, id long, size int")
+    met = work.keep(shared.groupBy("id").agg(F.collect_list(F.struct("cell", "size")).alias("cells")), "met")  # cells of one line
     # where its text can be read, any place of one document: two numbers, which are hashed and not sorted
-    first = compared.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line")).join(met.select("id"), "id")
+    first = compared.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min_by("line", "doc_id").alias("line")).join(met, "id")
     # the texts that any comparison can need, once for each class
-    wanted = first.select("doc_id", F.struct("line", "id").alias("w")).groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))  # lines of one document
+    wanted = first.select("doc_id", F.struct("line", "id", "cells").alias("w")).groupBy("doc_id").agg(F.collect_list("w").alias("wanted"))  # lines of one document
     texts = plain.join(wanted, "doc_id").select("wanted", "text").mapInArrow(_features, FEATURES)
     texts = work.keep(texts, "texts")
     if texts.count() > met.count():  # a doc_id that is repeated gives its lines twice
         texts = work.keep(texts.dropDuplicates(["id"]), "texts")
-    cells = work.keep(met.select("id", F.explode("cells").alias("cell")).join(texts.drop("text"), "id"), "cells")
     work.drop(met)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInArrow(_similar(least), "a long, b long")
-
-    # each line is compared with the nearest of its cells' leaders, and if that is FAR, which it need not be similar to, with
-    # the next one; what that leaves apart is looked at across groups
-    led = cells.repartition("cell").mapInArrow(_stars(least), "id long, far int, leader long").groupBy("id").agg(F.sort_array(F.collect_set(F.struct("far", "leader"))).alias("led"))  # of one line
-    some = F.when(F.col("led")[0]["far"] >= FAR, F.slice("led", 1, 2)).otherwise(F.slice("led", 1, 1))
-    stars = led.select("id", F.explode(some).alias("m")).select(F.least("id", "m.leader").alias("a"), F.greatest("id", "m.leader").alias("b"))
-    stars = work.keep(stars.distinct(), "stars")
-    inner = work.keep(verified(stars), "inner")
-    regions = work.keep(components(inner, work), "regions")
-    rooted = cells.join(regions, "id", "left").select("cell", "id", "simhash", "chars", "letters", F.coalesce("root", "id").alias("root"))
-    open_cells = rooted.groupBy("cell").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r <> s").select("cell")
-    crossing = rooted.join(open_cells, "cell").repartition("cell").mapInArrow(_crossing(least), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    outer = work.keep(verified(crossing), "outer")
-    groups = components(regions.select(F.col("root").alias("a"), F.col("id").alias("b")).union(outer), work)
+    cells = texts.select("id", "simhash", "chars", "letters", "text", F.explode("cells").alias("c"))
+    cells = cells.select("c.cell", "id", "simhash", "chars", "letters", "text", "c.size")
+    units = cells.filter(F.col("size") <= most).drop("size").withColumn("unit", F.col("cell"))
+    large = None
+    if not texts.filter(F.exists("cells", lambda c: c["size"] > most)).isEmpty():
+        large = work.keep(dealt_out(cells.filter(F.col("size") > most).drop("size"), least, most), "large")
+        units = units.unionByName(large.withColumn("unit", F.xxhash64("cell", "band", "part")).drop("band", "part"))
+    linked = work.keep(units.repartition("unit").mapInArrow(_linked(least), "a long, b long"), "linked")
+    groups = components(linked, work)
+    if large is not None:
+        more = work.keep(facing(large, groups, work).repartition("unit").mapInArrow(_linked(least, True), "a long, b long"), "more")
+        groups = components(linked.union(more), work)
     placed = work.keep(lines.select("doc_id", "line", "id").join(groups, "id", "left").select("doc_id", "line", F.coalesce("root", "id").alias("group_id")), "placed")
     # first how often, which needs no order; then the first of those that stand several times
     often = placed.groupBy("group_id").agg(F.count("*").alias("rows")).filter("rows > 1").select("group_id")

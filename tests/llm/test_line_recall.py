@@ -87,3 +87,56 @@ def test_frequent_phrases_are_cut_up(spark):
     classes = work.keep(docs.mapInArrow(line_dedup._hashed, line_dedup.LINE), "classes")
     largest = [c.groupBy("cell").count().agg({"count": "max"}).first()[0] for c in (line_dedup.keyed(classes), line_dedup.cut_up(line_dedup.keyed(classes), classes, work, 4, 16))]
     assert largest[0] >= 400 and largest[1] <= 8
+
+
+def groups_of(spark, docs, most=line_dedup.MOST):
+    out = line_dedup.line_groups(docs, line_dedup.Workspace(spark, "test"), most=most)
+    return {(r.doc_id, r.line): (r.keep_doc_id, r.keep_line) for r in out.collect()}
+
+
+def test_near_copies_beside_a_frequent_phrase(spark):
+    """Four changed characters leave only the first words of a line as they are, which many other lines have as well."""
+    rng = random.Random(10)
+    phrase = "considering everything rather carefully "
+    lines = [phrase + prose(rng, 36) for _ in range(1500)]
+    copies = []
+    for line in lines[:30]:
+        text = list(line)
+        for i in (line.index(w, len(line) * k // 5) for k, w in enumerate(" " * 4, 1)):
+            text[i + 1] = "k" if text[i + 1] != "k" else "z"
+        copies.append("".join(text))
+    docs = spark.createDataFrame(list(enumerate(lines + copies)), "doc_id long, text string")
+    got = groups_of(spark, docs)
+    assert got == {(i, 0): (i % 1500, 0) for i in [*range(30), *range(1500, 1530)]}
+    assert groups_of(spark, docs, 100) == got  # cells dealt out
+
+
+@pytest.mark.parametrize("most", [line_dedup.MOST, 20])
+def test_all_pairs_of_a_cell(spark, most):
+    """Groups against every pair of every cell: families of lines that drift apart, of which no leader finds all."""
+    rng = random.Random(11)
+    lines = []
+    for _ in range(6):
+        line = ("considering everything rather carefully " + prose(rng, 16)).split()
+        for _ in range(40):
+            other = list(rng.choice(lines[-20:]).split()) if lines and rng.random() < 0.5 else list(line)
+            for i in rng.sample(range(4, len(other)), 2):
+                other[i] = prose(rng, 1)
+            lines.append(" ".join(other))
+    lines = sorted(set(lines))
+    hashed = pa.Table.from_batches(line_dedup._hashed([pa.RecordBatch.from_pydict({"doc_id": list(range(len(lines))), "text": lines})])).combine_chunks()
+    where = dict(zip(hashed["id"].to_pylist(), hashed["doc_id"].to_pylist(), strict=True))
+    simhash = dict(zip(hashed["doc_id"].to_pylist(), hashed["simhash"].to_numpy().view(np.uint64).tolist(), strict=True))
+    cells = {}
+    for batch in line_dedup._keyed(hashed.to_batches()):
+        for cell, i in zip(batch["cell"].to_pylist(), batch["id"].to_pylist(), strict=True):
+            cells.setdefault(cell, set()).add(where[i])
+    root = list(range(len(lines)))
+    met = {(a, b, cell & 1) for cell, some in cells.items() for a in some for b in some if a < b}
+    for a, b, segment in met:
+        if (simhash[a] ^ simhash[b]).bit_count() <= (line_dedup.DIFFERENT if segment else line_dedup.CLOSE) and edit_similar(lines[a], lines[b], line_dedup.LEAST):
+            old, new = max(root[a], root[b]), min(root[a], root[b])
+            root = [new if r == old else r for r in root]
+    want = {(i, 0): (r, 0) for i, r in enumerate(root) if root.count(r) > 1}
+    assert len(set(want.values())) > 3
+    assert groups_of(spark, spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), most) == want
