@@ -42,6 +42,7 @@ MOST = 8192  # lines of a cell that one task compares
 SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
 VERIFIED = 4096  # pairs whose texts are taken at once
+RESYNC = 3  # words that within() skips to find the next common one
 SEEN = 1 << 20  # lines that a task remembers, so that a line that is repeated everywhere is not sent everywhere
 PART = 60_000  # words that 16-bit counters can add up
 LEAST = 0.85  # edit similarity
@@ -234,11 +235,17 @@ class Rows:
             if name in more:
                 setattr(self, name, table[name].to_numpy()[order])
         if "text" in more:
-            self.order, self.texts = order, table["text"]
+            self.order, self.texts, self.cells = order, table["text"], table["cells"]
 
     def text(self, at: np.ndarray) -> list[str]:
         return self.texts.take(pa.array(self.order[at])).to_pylist()
 
+    def first_met(self, x: int, y: int) -> int:
+        """The first cell in which these two lines are to be compared."""
+        met = set(self.cells[int(self.order[x])].as_py()).intersection(self.cells[int(self.order[y])].as_py())
+        close = int(self.simhash[x] ^ self.simhash[y]).bit_count() <= CLOSE
+        return min(c for c in met if close or c & 1)
+
     def similar(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
         """Indices of those pairs that are to be compared."""
         at = np.flatnonzero(_near_enough(self.cell[x], self.simhash[x], self.simhash[y], self.chars[x], self.chars[y], least))
@@ -266,8 +273,40 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(ids), pa.array(np.repeat(size, size).astype(np.int32))], ["cell", "id", "size"])
 
 
+#: Words to skip in one and the other line where they differ, the fewest first.
+_SKIPS = sorted(((p, q) for p in range(RESYNC + 1) for q in range(RESYNC + 1) if p + q), key=lambda s: (max(s), abs(s[0] - s[1])))
+
+
+def near_copies(x: str, y: str, least: float) -> bool:
+    """Whether within() tells that the edit similarity of two normalised lines is least or more."""
+    return within(x.split(" "), y.split(" "), int(max(len(x), len(y)) * (1 - least) + 1e-9))
+
+
+def within(x: list[str], y: list[str], most: int) -> bool:
+    """Whether runs of words, laid side by side greedily, already differ by at most this many edits of characters; if not, they may still."""
+    i = j = 0
+    n, m = len(x), len(y)
+    while i < n or j < m:
+        if i < n and j < m and x[i] == y[j]:
+            i += 1
+            j += 1
+            continue
+        for p, q in _SKIPS:
+            if i + p < n and j + q < m and x[i + p] == y[j + q]:
+                break
+        else:
+            p, q = n - i, m - j
+        one, two = sum(map(len, x[i : i + p])) + p, sum(map(len, y[j : j + q])) + q  # each with a space
+        most -= max(one, two) - (p > 0 and q > 0)
+        if most < 0:
+            return False
+        i += p
+        j += q
+    return True
+
+
 def _linked(least: float, apart: bool = False):
-    """Similar lines (a, b) of one unit of a partition's rows (unit, cell, id, simhash, chars, letters, text), as many as join what is joined.
+    """Similar lines (a, b) of one unit of a partition's rows (unit, cell, id, simhash, chars, letters, text, cells), as many as join what is joined.
 
     Of every two lines of a unit, one after another, those are compared that no link found before joins.  With apart, lines
     of one root are joined already, and only those of different sides meet.
@@ -298,7 +337,10 @@ def _linked(least: float, apart: bool = False):
             for i in range(0, len(order), VERIFIED):
                 some = order[i : i + VERIFIED]
                 for p, q, one, two in zip(x[some].tolist(), y[some].tolist(), rows.text(x[some]), rows.text(y[some]), strict=True):
-                    if label[p] != label[q] and edit_similar(one, two, least):
+                    if label[p] == label[q]:
+                        continue
+                    # most copies need no exact distance, and the others one only, though they meet in several cells
+                    if near_copies(one, two, least) or rows.first_met(p, q) == rows.cell[p] and edit_similar(one, two, least):
                         unit = label[begin[of[p]] : end[of[p]]]
                         unit[unit == label[q]] = label[p]
                         a.append(rows.id[p])
@@ -408,8 +450,8 @@ def line_groups(docs: DataFrame, work: Workspace, least: float = LEAST, most: in
     if texts.count() > met.count():  # a doc_id that is repeated gives its lines twice
         texts = work.keep(texts.dropDuplicates(["id"]), "texts")
     work.drop(met)
-    cells = texts.select("id", "simhash", "chars", "letters", "text", F.explode("cells").alias("c"))
-    cells = cells.select("c.cell", "id", "simhash", "chars", "letters", "text", "c.size")
+    cells = texts.select("id", "simhash", "chars", "letters", "text", F.col("cells.cell").alias("cells"), F.explode("cells").alias("c"))
+    cells = cells.select("c.cell", "id", "simhash", "chars", "letters", "text", "cells", "c.size")
     units = cells.filter(F.col("size") <= most).drop("size").withColumn("unit", F.col("cell"))
     large = None
     if not texts.filter(F.exists("cells", lambda c: c["size"] > most)).isEmpty():

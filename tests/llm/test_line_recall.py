@@ -140,3 +140,22 @@ def test_all_pairs_of_a_cell(spark, most):
     want = {(i, 0): (r, 0) for i, r in enumerate(root) if root.count(r) > 1}
     assert len(set(want.values())) > 3
     assert groups_of(spark, spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), most) == want
+
+
+def test_words_side_by_side_never_find_too_much():
+    """within() may miss, but what it takes is within the edit distance."""
+    rng = random.Random(12)
+    taken = 0
+    for _ in range(2000):
+        x = [rng.choice(["a", "bb", "abc", "dddd"]) for _ in range(rng.randrange(1, 12))]
+        y = list(x)
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(y) + 1)
+            y[k : k + rng.randrange(3)] = [rng.choice(["a", "bb", "eee"]) for _ in range(rng.randrange(3))]
+        y = y or ["a"]
+        one, two, least = " ".join(x), " ".join(y), rng.choice([0.5, 0.7, 0.85])
+        ok = edit_similar(one, two, least) > 0
+        found = line_dedup.near_copies(one, two, least)
+        assert ok or not found
+        taken += found
+    assert taken > 500
