@@ -42,6 +42,7 @@ MOST = 8192  # lines of a cell that one task compares
 SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
 VERIFIED = 4096  # pairs whose texts are taken at once
+LARGE = 64  # lines of a unit in which every pair is verified at once
 RESYNC = 3  # words that within() skips to find the next common one
 SEEN = 1 << 20  # lines that a task remembers, so that a line that is repeated everywhere is not sent everywhere
 PART = 60_000  # words that 16-bit counters can add up
@@ -339,8 +340,10 @@ def _linked(least: float, apart: bool = False):
                 for p, q, one, two in zip(x[some].tolist(), y[some].tolist(), rows.text(x[some]), rows.text(y[some]), strict=True):
                     if label[p] == label[q]:
                         continue
-                    # most copies need no exact distance, and the others one only, though they meet in several cells
-                    if near_copies(one, two, least) or rows.first_met(p, q) == rows.cell[p] and edit_similar(one, two, least):
+                    # most copies need no exact distance, and the others one only, though they meet in several cells; in LARGE units
+                    # their links spare more pairs than they cost
+                    mine = end[of[p]] - begin[of[p]] > LARGE or near_copies(one, two, least) or rows.first_met(p, q) == rows.cell[p]
+                    if mine and (near_copies(one, two, least) or edit_similar(one, two, least)):
                         unit = label[begin[of[p]] : end[of[p]]]
                         unit[unit == label[q]] = label[p]
                         a.append(rows.id[p])
