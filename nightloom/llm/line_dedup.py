@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .kernels import edit_similar, mix, slices, words
+from .kernels import edits_within, mix, slices, words
 from .workspace import Workspace
 
 SHORTEST = 5  # words of a line that is compared with lines that differ
@@ -42,13 +42,15 @@ MOST = 8192  # lines of a cell that one task compares
 SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
 VERIFIED = 4096  # pairs whose texts are taken at once
-LARGE = 64  # lines of a unit in which every pair is verified at once
+ALIKE = 8  # bits, of most copies
+HELD = 4 << 20  # characters of pairs that wait for their exact distance
 RESYNC = 3  # words that within() skips to find the next common one
 SEEN = 1 << 20  # lines that a task remembers, so that a line that is repeated everywhere is not sent everywhere
 PART = 60_000  # words that 16-bit counters can add up
 LEAST = 0.85  # edit similarity
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+_PAIR = 0xC2B2AE3D27D4EB4F
 _BITS = np.array_split(np.arange(64), BLOCKS)
 _MASKS = [np.uint64(sum(1 << int(b) for i in choice for b in _BITS[i])) for choice in combinations(range(BLOCKS), BLOCKS - CLOSE)]
 _ODDS = np.arange(1, len(_MASKS) + 1, dtype=np.uint64) * _ODD
@@ -237,15 +239,22 @@ class Rows:
                 setattr(self, name, table[name].to_numpy()[order])
         if "text" in more:
             self.order, self.texts, self.cells = order, table["text"], table["cells"]
+            self.met: dict[int, set[int]] = {}
 
     def text(self, at: np.ndarray) -> list[str]:
         return self.texts.take(pa.array(self.order[at])).to_pylist()
 
-    def first_met(self, x: int, y: int) -> int:
-        """The first cell in which these two lines are to be compared."""
-        met = set(self.cells[int(self.order[x])].as_py()).intersection(self.cells[int(self.order[y])].as_py())
+    def own(self, x: int, y: int) -> int:
+        """The one of their common cells in which these two lines are to be compared; pairs of the same cells are dealt out over these."""
+        one, two = self._cells(x), self._cells(y)
         close = int(self.simhash[x] ^ self.simhash[y]).bit_count() <= CLOSE
-        return min(c for c in met if close or c & 1)
+        pair = (int(self.id[x]) ^ int(self.id[y])) * _PAIR
+        return min((c for c in one & two if close or c & 1), key=lambda c: (c ^ pair) * _PAIR & 0xFFFFFFFFFFFFFFFF)
+
+    def _cells(self, x: int) -> set[int]:
+        if x not in self.met:
+            self.met[x] = set(self.cells[int(self.order[x])].as_py())
+        return self.met[x]
 
     def similar(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
         """Indices of those pairs that are to be compared."""
@@ -323,6 +332,23 @@ def _linked(least: float, apart: bool = False):
         of = np.repeat(np.arange(len(begin)), end - begin)
         label = np.unique(rows.root, return_inverse=True)[1] if apart else np.arange(len(of))
         live, nth = np.flatnonzero(end - begin > 1), 0
+        a, b, hard, held = [], [], [], 0
+
+        def join(p, q):
+            unit = label[begin[of[p]] : end[of[p]]]
+            unit[unit == label[q]] = label[p]
+            a.append(rows.id[p])
+            b.append(rows.id[q])
+
+        def settle():
+            """Joins those hard pairs that are similar; they wait for each other to be compared side by side."""
+            left = [h for h in hard if label[h[0]] != label[h[1]]]
+            hard.clear()
+            close = edits_within([h[2] for h in left], [h[3] for h in left], [int(max(len(h[2]), len(h[3])) * (1 - least) + 1e-9) for h in left])
+            for (p, q, *_), ok in zip(left, close.tolist(), strict=True):
+                if ok and label[p] != label[q]:
+                    join(p, q)
+
         while len(live):
             n = end[live] - begin[live] - nth - 1
             x = np.repeat(begin[live] + nth, n)
@@ -334,22 +360,26 @@ def _linked(least: float, apart: bool = False):
             near = rows.similar(x, y, least)
             x, y = x[near], y[near]
             order = np.lexsort((np.bitwise_count(rows.simhash[x] ^ rows.simhash[y]), x))
-            a, b = [], []
             for i in range(0, len(order), VERIFIED):
                 some = order[i : i + VERIFIED]
                 for p, q, one, two in zip(x[some].tolist(), y[some].tolist(), rows.text(x[some]), rows.text(y[some]), strict=True):
                     if label[p] == label[q]:
                         continue
-                    # most copies need no exact distance, and the others one only, though they meet in several cells; in LARGE units
-                    # their links spare more pairs than they cost
-                    mine = end[of[p]] - begin[of[p]] > LARGE or near_copies(one, two, least) or rows.first_met(p, q) == rows.cell[p]
-                    if mine and (near_copies(one, two, least) or edit_similar(one, two, least)):
-                        unit = label[begin[of[p]] : end[of[p]]]
-                        unit[unit == label[q]] = label[p]
-                        a.append(rows.id[p])
-                        b.append(rows.id[q])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    # most copies need no exact distance; other pairs are compared in one of their common cells only, where
+                    # alone it is tried whether words tell copies of very different SimHashes
+                    alike = int(rows.simhash[p] ^ rows.simhash[q]).bit_count() <= ALIKE
+                    if alike and near_copies(one, two, least):
+                        join(p, q)
+                    elif rows.own(p, q) != rows.cell[p]:
+                        continue
+                    elif not alike and near_copies(one, two, least):
+                        join(p, q)
+                    else:
+                        hard.append((p, q, one, two))
+                        held += len(one) + len(two)
+                        if held >= HELD:
+                            settle()
+                            held = 0
             nth += 1
             live = live[end[live] - begin[live] > nth + 1]
             if len(live):  # units that are one by now are done
@@ -357,6 +387,8 @@ def _linked(least: float, apart: bool = False):
                 at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[live], n)
                 first = np.cumsum(n) - n
                 live = live[np.minimum.reduceat(label[at], first) != np.maximum.reduceat(label[at], first)]
+        settle()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return task
 
