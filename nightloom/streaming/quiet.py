@@ -1,4 +1,4 @@
-"""Files that have gone quiet, as a stream: each path's last change is state with a timer.
+"""Files that have gone quiet, as a stream: the changes of a path that follow each other closely are one session.
 
 Events are changes of files: created, modified, moved (to the path) and deleted.  A path is handed on when it has not
 changed for more than some seconds of event time; a later change hands it on again.  A deletion forgets what was pending.  A file
@@ -8,15 +8,8 @@ it has appeared itself.
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from .ingest import QUIET_SECONDS
 
@@ -26,7 +19,7 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def base_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def is_partial(path: Column) -> Column:
@@ -39,71 +32,30 @@ def final_path(path: Column) -> Column:
     return F.when(is_partial(path), F.regexp_replace(path, r"\.([^/]*)\.[^./]*$", "$1")).otherwise(path)
 
 
-class _Quiet(StatefulProcessor):
-    def __init__(self, milliseconds: int):
-        self.milliseconds = milliseconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # last change in ms, whether the file itself is there, the last change's kind
-        self.last = handle.getValueState("last", T.StructType().add("at", T.LongType()).add("there", T.BooleanType()).add("kind", T.StringType()))
-
-    def _row(self, path: str, state: tuple) -> dict:
-        return {"path": path, "changed": pd.Timestamp(state[0], unit="ms"), "kind": state[2]}
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["ms", "turn"], kind="stable")
-        state = self.last.get() if self.last.exists() else None
-        before, out = state and state[0], []
-        for ms, kind, partial in zip(events["ms"], events["kind"], events["partial"], strict=True):
-            if state and state[1] and ms - state[0] > self.milliseconds:
-                out.append(self._row(key[0], state))
-                state = None
-            if kind == GONE:
-                state = state if partial else None  # an end of a transfer says nothing of the file
-            elif partial:
-                state = (max(ms, state[0]), state[1], state[2]) if state else (ms, False, kind)
-            else:
-                state = (max(ms, state[0]) if state else ms, True, kind)
-        if before is not None:
-            self.handle.deleteTimer(before + self.milliseconds + 1)
-        if state:
-            self.last.update(tuple(state))
-            if state[1]:
-                self.handle.registerTimer(int(state[0]) + self.milliseconds + 1)
-        elif before is not None:
-            self.last.clear()
-        yield pd.DataFrame(out, columns=["path", "changed", "kind"]).astype({"changed": "datetime64[ns]"})
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        state = self.last.get() if self.last.exists() else None
-        if state and state[1]:
-            self.last.clear()
-            yield pd.DataFrame([self._row(key[0], state)])
-
-    def close(self) -> None:
-        pass
-
-
 def quiet_files(events: DataFrame, path: str, kind: str, at: str, seconds: float = QUIET_SECONDS, late: str = "0 seconds") -> DataFrame:
     """path, changed (the last change) and kind for each time that a path goes quiet, from a stream of events.
 
-    State is one value for each path that is pending.  How events fall into batches does not matter as long as they
-    come no later than the watermark allows; events of other kinds, and those without path or time, are left out.  Needs the RocksDB state store (PROVIDER).
+    Events of a path that follow each other within the seconds are one session; once it is over, what lies beyond its last
+    deletion decides.  State is three numbers for each session that is not over, nothing for other paths.  How events fall into batches
+    does not matter as long as they come no later than the watermark allows; events of other kinds, and those without path or
+    time, are left out.  Of changes at one time the kind that stands last in CHANGES is given.
     """
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # its workers start where the package need not be found
     rows = events.filter(F.col(kind).isin(*CHANGES, GONE) & F.col(path).isNotNull() & F.col(at).isNotNull())
     named = rows.select(
         final_path(F.col(path)).alias("path"),
-        F.col(kind).alias("kind"),
-        F.col(at).cast("timestamp").alias("at"),
+        F.array_position(F.array(*map(F.lit, CHANGES)), F.col(kind)).alias("kind"),  # from 1; 0 is a deletion
+        F.date_trunc("millisecond", F.col(at).cast("timestamp")).alias("at"),
         is_partial(F.col(path)).alias("partial"),
         F.unix_millis(F.col(at).cast("timestamp")).alias("ms"),
-        (F.col(kind) == GONE).cast("int").alias("turn"),  # of changes at one time the deletion comes last
     )
-    return named.withWatermark("at", late).groupBy("path").transformWithStateInPandas(
-        statefulProcessor=_Quiet(int(seconds * 1000)),
-        outputStructType="path string, changed timestamp, kind string",
-        outputMode="Append",
-        timeMode="eventTime",
+    partial, gone = F.col("partial"), F.col("kind") == 0
+    # an end of a transfer says nothing of the file: without a gap it is in no session
+    gap = F.when(partial & gone, "0 milliseconds").otherwise(f"{int(seconds * 1000) + 1} milliseconds")
+    last = named.withWatermark("at", late).groupBy("path", F.session_window("at", gap)).agg(
+        F.max(F.when(~partial & gone, F.col("ms"))).alias("gone"),  # of changes at one time the deletion comes last
+        F.max(F.when(~partial & ~gone, F.col("ms") * 4 + F.col("kind"))).alias("change"),
+        F.max(F.when(partial, F.col("ms"))).alias("transfer"),
     )
+    there = last.withColumn("ms", F.shiftright("change", 2)).filter(F.col("ms") > F.coalesce("gone", F.col("ms") - 1))
+    kinds = F.element_at(F.array(*map(F.lit, CHANGES)), F.col("change").bitwiseAND(3).cast("int"))
+    return there.select("path", F.timestamp_millis(F.greatest("ms", "transfer")).alias("changed"), kinds.alias("kind"))

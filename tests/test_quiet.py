@@ -74,6 +74,19 @@ def test_batches_do_not_matter(spark, store, tmp_path):
     assert follow(spark, str(tmp_path / "many"), parts, False) == sorted(want)
 
 
+def test_state_is_what_is_not_over(spark, store, tmp_path):
+    transfers = [(f"/d/.t{i}.fits.x", "created", 0) for i in range(20)]  # never end
+    batches = [[*transfers, ("/d/a.fits", "modified", 0), ("/d/a.fits", "created", 0)], [("/d/z.fits", "created", 60)], [("/d/z.fits", "modified", 61)]]
+    for rows in batches:
+        spark.createDataFrame([(p, k, at(s)) for p, k, s in rows], SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    out = quiet.quiet_files(ingest.file_stream(spark, f"{tmp_path}/in", SCHEMA, newest_first=False, per_batch=1), "path", "kind", "at")
+    query = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 1  # z
+    got = [tuple(r) for r in spark.read.schema("path string, changed timestamp, kind string").parquet(f"{tmp_path}/out").collect()]
+    assert got == [("/d/a.fits", START, "modified")]
+
+
 def test_names(spark):
     rows = spark.createDataFrame([("/a/.x.fits.k3J",), ("/a/x.fits",), (".x.fits.Q",), ("/a.b/c",)], "p string")
     got = [(r.f, r.d) for r in rows.select(quiet.final_path(rows.p).alias("f"), quiet.is_partial(rows.p).alias("d")).collect()]
