@@ -95,8 +95,19 @@ def cut(text: bytes, size: int) -> Iterator[bytes]:
     yield text[at:]
 
 
-def chunks(rows: DataFrame, keep: list[str], size: int = CHUNK, huge: int = HUGE) -> DataFrame:
-    """The columns keep, chunk and part for each chunk of the rows' text; texts below huge bytes stay in the JVM as one chunk."""
+def normalised(docs: DataFrame) -> DataFrame:
+    """(doc_id, huge, text, text_sha256); huge is told by the bytes as they stand, so that a filter on it, which Spark moves to the scan, does not normalise texts."""
+    huge = F.coalesce(F.octet_length("text") >= HUGE, F.lit(False))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), huge.alias("huge"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ").alias("text"))
+    # never null, and known not to be: Spark would filter by it before a join and hash each text twice
+    return plain.withColumn("text_sha256", F.coalesce(F.sha2("text", 256), F.lit("")))
+
+
+def chunks(rows: DataFrame, keep: list[str], size: int = CHUNK) -> DataFrame:
+    """The columns keep, chunk and part for each chunk of the rows' text; texts that are not huge stay in the JVM as one chunk.
+
+    A huge text that normalising makes short is one chunk as well, so equal texts are cut alike.
+    """
     kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,20 +120,17 @@ def chunks(rows: DataFrame, keep: list[str], size: int = CHUNK, huge: int = HUGE
                     arrays = [*[batch[c].take(same) for c in keep], pa.array(np.arange(at, at + len(some), dtype=np.int32)), pa.array(some, pa.string())]
                     yield pa.RecordBatch.from_arrays(arrays, [*keep, "chunk", "part"])
 
-    length = F.octet_length("text")
-    whole = rows.filter(length < huge).select(*keep, F.lit(0).alias("chunk"), F.col("text").alias("part"))
-    return whole.unionByName(rows.filter(length >= huge).select(*keep, "text").mapInArrow(task, f"{kinds}, chunk int, part string"))
+    whole = rows.filter("not huge").select(*keep, F.lit(0).alias("chunk"), F.col("text").alias("part"))
+    return whole.unionByName(rows.filter("huge").select(*keep, "text").mapInArrow(task, f"{kinds}, chunk int, part string"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, text_sha256, n_bytes, fp array<long>) for each row of docs (doc_id, text)."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ").alias("text"))
-    plain = plain.withColumn("text_sha256", F.sha2("text", 256))
-    size = F.octet_length("text")
-    short = plain.filter(size < HUGE).select("doc_id", "text_sha256", F.lit(0).alias("chunk"), F.col("text").alias("part"))
+    plain = normalised(docs)
+    short = plain.filter("not huge").select("doc_id", "text_sha256", F.lit(0).alias("chunk"), F.col("text").alias("part"))
     done = short.mapInArrow(_hash_chunks, PART).select("doc_id", "text_sha256", "n_bytes", F.col("h").alias("fp"))
     # parts of huge texts are dealt to all tasks, so that one text does not hold one task
-    parts = chunks(plain.filter(size >= HUGE).withColumn("row", F.monotonically_increasing_id()), ["doc_id", "text_sha256", "row"])
+    parts = chunks(plain.filter("huge").withColumn("row", F.monotonically_increasing_id()), ["doc_id", "text_sha256", "row"])
     parts = parts.withColumn("text_sha256", F.concat("text_sha256", F.lit(":"), "row")).drop("row").repartition("text_sha256", "chunk")
     folded = parts.mapInArrow(_hash_chunks, PART).groupBy("doc_id", "text_sha256").agg(F.sort_array(F.collect_list(F.struct("chunk", "n_bytes", "h", "b"))).alias("all"))
     prime = F.array(*[F.lit(int(p)) for p in PRIMES])
@@ -144,10 +152,10 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     groups = work.keep(groups, "groups")
     several = groups.filter("records > 1").select("key", F.col("keep_id").alias("group_id"))
     members = found.select("doc_id", "text_sha256", key.alias("key")).join(several, "key").select("doc_id", "text_sha256", "key")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ").alias("text"))
-    texts = texts.join(members.withColumnRenamed("doc_id", "m_id"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.sha2("text", 256) == F.col("text_sha256")))
+    members = members.withColumnsRenamed({"doc_id": "m_id", "text_sha256": "m_sha256"})
+    texts = normalised(docs).join(members, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_sha256") == F.col("m_sha256")))
     # chunk by chunk, the smallest and largest of a group must be the same bytes; partial results meet, not texts
-    seen = chunks(texts.select("key", "text"), ["key"]).groupBy("key", "chunk").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    seen = chunks(texts.select("key", "huge", "text"), ["key"]).groupBy("key", "chunk").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     clash = work.keep(seen.filter("low <> high").select("key").distinct(), "clashes")
     result = found.select("*", key.alias("key")).join(groups.drop("bytes", "records"), "key")
     if not clash.isEmpty():
