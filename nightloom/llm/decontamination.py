@@ -48,6 +48,7 @@ HELD = 400_000  # common grams that are looked at at once, where they are not al
 
 _random = np.random.default_rng(20240229)
 _STEP = _random.integers(0, 2, (WALKS, 2 * SIZES[-1], 256)).astype(np.int64)  # of each walk, step and byte: stay or advance
+_STEP = np.ascontiguousarray(_STEP.transpose(1, 0, 2)).reshape(2 * SIZES[-1], WALKS * 256)  # by step, one walk after the other
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -57,7 +58,17 @@ def _places(size: int, gram: int) -> list[np.ndarray]:
     return [np.sort(_random.choice(steps, BITS[size], replace=False)) for _ in range(TABLES)]
 
 
+def _wanted(places: list[np.ndarray]) -> list[list[tuple[int, int]]]:
+    """For each step up to the last that is read the (walk, table of the walk) that read it."""
+    out = [[] for _ in range(max(int(t[-1]) for t in places) + 1)]
+    for i, t in enumerate(places):
+        for s in t.tolist():
+            out[s].append((i % WALKS, i // WALKS))
+    return out
+
+
 _READ = {(c, q): _places(c, q) for c in SIZES for q in GRAMS.values()}
+_WANTED = {k: _wanted(places) for k, places in _READ.items()}
 
 
 def squeezed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,9 +85,12 @@ def gram_codes(data: np.ndarray, size: int) -> np.ndarray:
     """A hash of the size bytes, at most 8, that begin at each byte."""
     if len(data) < size:
         return np.zeros(0, np.uint64)
-    code = np.zeros(len(data) - size + 1, np.uint64)
-    for i in range(size):
-        code |= data[i : len(data) - size + 1 + i].astype(np.uint64) << np.uint64(8 * i)
+    code = np.zeros(len(data) - size + 1, "<u8")
+    more = np.concatenate((data, np.zeros(8, np.uint8)))
+    for i in range(min(8, len(code))):  # eight bytes from each byte on are one number
+        some = code[i::8]
+        some[:] = more[i : i + 8 * len(some)].view("<u8")
+    code &= np.uint64((1 << 8 * size) - 1)
     code *= _MULTIPLY
     return code ^ (code >> np.uint64(29))
 
@@ -86,30 +100,29 @@ def alike(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray, size: int,
 
     Backwards, windows end at x and y.  A walk of 2 * size steps advances by size on average.
     """
-    met = np.zeros(len(x), bool)
+    n, met = len(x), np.zeros(len(x), bool)
     reach = np.arange(2 * size) * (-1 if back else 1)
-    one = a.take(x[:, None] + reach, mode="clip").ravel()  # what a walk can read at all, which stays in the cache
-    two = b.take(y[:, None] + reach, mode="clip").ravel()
-    first = np.arange(len(x)) * (2 * size)
-    for walk in range(WALKS):
-        tables = _READ[size, gram][walk::WALKS]
-        wanted: dict[int, list[int]] = {}
-        for i, t in enumerate(tables):
-            for s in t.tolist():
-                wanted.setdefault(s, []).append(i)
-        alive, p, q = np.arange(len(x)), first.copy(), first.copy()
-        ok = np.ones((len(tables), len(x)), bool)  # tables whose places are all equal so far
-        for s in range(max(wanted) + 1):
-            u, v, step = one.take(p), two.take(q), _STEP[walk, s]
-            if s in wanted:
-                ok[wanted[s]] &= u == v
-            p += step.take(u)
-            q += step.take(v)
-            if s % 16 == 15 and not (left := ok.any(axis=0)).all():
-                alive, p, q, ok = alive[left], p[left], q[left], ok[:, left]
-                if not len(alive):
-                    break
-        met[alive[ok.any(axis=0)]] = True
+    read = np.concatenate((a.take(x[:, None] + reach, mode="clip"), b.take(y[:, None] + reach, mode="clip"))).ravel()  # what a walk can read at all, which stays in the cache
+    # all walks of all pairs step side by side, first those over a, then those over b
+    pair, walk = np.tile(np.arange(n), WALKS), np.repeat(np.arange(WALKS), n)
+    p, turn = np.concatenate((pair, pair + n)) * (2 * size), np.tile(walk * 256, 2)
+    ok = np.ones((TABLES // WALKS, len(pair)), bool)  # tables of each walk whose places are all equal so far
+    bound = np.searchsorted(walk, np.arange(WALKS + 1)).tolist()
+    for s, wanted in enumerate(_WANTED[size, gram]):
+        byte = read.take(p)
+        if wanted:
+            equal = byte[: len(pair)] == byte[len(pair) :]
+            for w, i in wanted:
+                ok[i, bound[w] : bound[w + 1]] &= equal[bound[w] : bound[w + 1]]
+        p += _STEP[s].take(turn + byte)
+        if s % 8 == 7 and not (left := ok.any(axis=0)).all():
+            pair, walk, ok = pair[left], walk[left], ok[:, left]
+            if not len(pair):
+                break
+            left = np.tile(left, 2)
+            p, turn = p[left], turn[left]
+            bound = np.searchsorted(walk, np.arange(WALKS + 1)).tolist()
+    met[pair[ok.any(axis=0)]] = True
     return met
 
 
@@ -258,7 +271,7 @@ class Items:
             b = min(int(at[doc + 1]), high + int(self.sizes[item]) + slack)
             window = plain[a:b].tobytes().decode("utf-8", "ignore")
             grams = {window[i : i + GRAM] for i in range(len(window) - GRAM + 1)}
-            if sum(g in grams for g in self.grams[item]) < len(text) - GRAM + 1 - GRAM * int(len(text) * (1 - least) + 1e-9):
+            if sum(map(grams.__contains__, self.grams[item])) < len(text) - GRAM + 1 - GRAM * int(len(text) * (1 - least) + 1e-9):
                 continue  # each edit spoils GRAM of the item's grams at most
             d, end = edit_search(text, window)
             similarity = 1 - d / len(text)
