@@ -49,18 +49,12 @@ def cubic_knots(low: Column, high: Column, inner: Column) -> Column:
     return F.concat(F.array_repeat(low, 4), inner, F.array_repeat(high, 4))
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def cubic_splines(x: pd.Series, at: pd.Series) -> pd.Series:
-    """The array of the cubic B-splines' values at x on the knots in the array `at`, between whose ends x lies; null without knots.
+def splines_at(v: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """The cubic B-splines' values at each of v on its own row of knots t, between whose ends it lies.
 
-    Degree by degree, each spline from two of the degree before; knots that fall together count as 0.  All arrays of
-    knots have one length.
+    Degree by degree, each spline from two of the degree before; knots that fall together count as 0.
     """
-    out = pd.Series([None] * len(x), index=x.index, dtype=object)
-    held = at.notna() & x.notna()
-    if not held.any():
-        return out
-    t, v = np.stack(at[held].to_numpy()), x[held].to_numpy(float)[:, None]
+    v = v[:, None]
     last = t.shape[1] - 5  # the last interval that is not empty; it holds its right end
     splines = ((v >= t[:, :-1]) & (v < t[:, 1:])).astype(float)
     splines[:, last] = (v[:, 0] >= t[:, last]) & (v[:, 0] <= t[:, last + 1]) & (t[:, last] < t[:, last + 1])
@@ -70,7 +64,16 @@ def cubic_splines(x: pd.Series, at: pd.Series) -> pd.Series:
         share = np.divide(v - t[:, : n + 1], run, out=np.zeros_like(run), where=run > 0)
         left = np.where(run > 0, 1 - share, 0.0)
         splines = share[:, :n] * splines[:, :n] + left[:, 1:] * splines[:, 1:]
-    out[held] = pd.Series(list(splines), index=x.index[held])
+    return splines
+
+
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
+def cubic_splines(x: pd.Series, at: pd.Series) -> pd.Series:
+    """The array of splines_at() x for the knots in the array `at`; null without knots.  All arrays of knots have one length."""
+    out = pd.Series([None] * len(x), index=x.index, dtype=object)
+    held = at.notna() & x.notna()
+    if held.any():
+        out[held] = pd.Series(list(splines_at(x[held].to_numpy(float), np.stack(at[held].to_numpy()))), index=x.index[held])
     return out
 
 
@@ -92,6 +95,13 @@ def systems(rows: DataFrame, by: list[str], basis: list[Column], value: str, wei
     return named.groupBy(*by).agg(F.array(*gram).alias("_g"), F.array(*right).alias("_b"), F.count("*").alias("_n"), F.avg("_v").alias("_y"), F.var_pop("_v").alias("_yy"))
 
 
+def solution(gram: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The coefficients of each system, scaled to ones on the diagonal, which bounds what rounding does to the smallest ones."""
+    size = np.sqrt(np.maximum(np.einsum("gii->gi", gram), np.finfo(float).tiny))
+    flat = np.linalg.pinv(gram / size[:, :, None] / size[:, None, :], rcond=1e-13, hermitian=True)
+    return np.einsum("gij,gj->gi", flat, right / size) / size
+
+
 def solved(found: DataFrame, by: list[str], k: int, ridge: float | str, least: int) -> DataFrame:
     """by, coefficients (null for groups of fewer than least rows) and n, from systems()."""
     types = ", ".join(f"{c} {t}" for c, t in found.select(*by).dtypes)
@@ -106,14 +116,7 @@ def solved(found: DataFrame, by: list[str], k: int, ridge: float | str, least: i
             right = np.array(b["_b"].flatten()).reshape(-1, k)
             ok = (n >= least) & np.isfinite(gram).all(axis=(1, 2)) & np.isfinite(right).all(axis=1)
             gram[~ok], right[~ok] = np.eye(k), 0.0
-            # scaled to ones on the diagonal, which bounds what rounding does to the smallest solutions
-            size = np.sqrt(np.maximum(np.einsum("gii->gi", gram), np.finfo(float).tiny))
-
-            def solution(g: np.ndarray, size=size, right=right) -> np.ndarray:
-                flat = np.linalg.pinv(g / size[:, :, None] / size[:, None, :], rcond=1e-13, hermitian=True)
-                return np.einsum("gij,gj->gi", flat, right / size) / size
-
-            c = solution(gram)
+            c = solution(gram, right)
             if ridge:
                 spread = c.var(axis=1)
                 lam = b["_yy"].to_numpy() / np.where(spread > 0, spread, np.inf) if ridge == "auto" else np.full(len(n), float(ridge))

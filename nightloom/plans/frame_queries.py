@@ -5,12 +5,10 @@ Frames are made from lineitem, 32 x 64 pixels for each 1000 order keys, so that
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import combs, extraction, fits, frames, masters
-from ._common import Queries, scratch, table
+from ._common import Queries, table
 
 Q = Queries()
 HEIGHT, WIDTH, SPAN = 32, 64, 1000
@@ -28,18 +26,6 @@ def pixels(spark, sf_dir):
     return lines.groupBy(frame, row, col).agg(*sums)
 
 
-def kept_in(spark, name):
-    """A function that writes a table to the shared folder and reads it back."""
-    folder = scratch(spark, name)
-
-    def keep(df):
-        to = f"{folder}/{uuid.uuid4().hex}"
-        df.write.parquet(to)
-        return spark.read.schema(df.schema).parquet(to)
-
-    return keep
-
-
 # clusters
 
 
@@ -182,8 +168,8 @@ def optimal_extract_to_end(spark, sf_dir):
 
 @Q.add("optimal_extract_profile")
 def optimal_extract_profile(spark, sf_dir):
-    """Optimal extraction with a profile that is estimated from the order before each round."""
-    out = extraction.extracted_with_profile(cut(spark, sf_dir).drop("profile"), ["frame", "ord"], CLIP, kept_in(spark, "extraction"), width=15, knots=6, gain=GAIN, most=5)
+    """Optimal extraction with a profile that is estimated from the order before each round, until a round masks nothing."""
+    out = extraction.profiled_to_end(cut(spark, sf_dir).drop("profile"), ["frame", "ord"], CLIP, width=15, knots=6, gain=GAIN)
     return out.select("frame", "ord", "col", "flux", "variance", "rounds")
 
 
