@@ -41,6 +41,8 @@ LEAST_WORDS = 4  # of a segment
 MOST = 8192  # lines of a cell that one task compares
 SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
+CROWD = 32  # lines of a unit, most of whose pairs share a phrase and no more
+RUNS = {5: 16384, 3: 4096}  # characters of a run, for long and short lines, and bits that tell which runs a line of a crowd has
 VERIFIED = 4096  # pairs whose texts are taken at once
 ALIKE = 8  # bits, of most copies
 HELD = 4 << 20  # characters of pairs that wait for their exact distance
@@ -209,6 +211,29 @@ def _letters(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, least:
     return np.maximum(np.maximum(change, 0).sum(-1), np.maximum(-change, 0).sum(-1)) <= np.maximum(n, m) * (1 - least) + 1e-9
 
 
+def run_bits(texts: list[str], chars: int, bits: int) -> np.ndarray:
+    """A bit for each run of so many characters of each text; equal runs of one text are told apart by their number.
+
+    Bits that only one of two texts has are as many as the runs that only it has, or fewer.
+    """
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    n = max(len(codes) - chars + 1, 0)
+    run = np.zeros(n, np.uint64)
+    for i in range(chars):
+        run = mix(run + codes[i : n + i] + _ODD)
+    inside = text[:n] == text[len(text) - n :]
+    run, text = run[inside], text[:n][inside]
+    order = np.lexsort((run, text))
+    run, text = run[order], text[order]
+    at = np.arange(len(run))
+    first = np.concatenate(([True], (run[1:] != run[:-1]) | (text[1:] != text[:-1])))[: len(run)]
+    bit = mix(run + (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)) % np.uint64(bits)
+    out = np.zeros((len(texts), bits), np.uint8)
+    out[text, bit.astype(np.int64)] = 1
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
 class Rows:
     """A partition's rows (cell, id, simhash, chars and more), by unit and within it by distance from the middle.
 
@@ -240,6 +265,9 @@ class Rows:
         if "text" in more:
             self.order, self.texts, self.cells = order, table["text"], table["cells"]
             self.met: dict[int, set[int]] = {}
+            self.crowd = np.repeat(size >= CROWD, size)
+            self.place = np.cumsum(self.crowd) - 1
+            self.known, self.runs = np.zeros(len(unit), bool), {k: np.empty((int(self.crowd.sum()), bits // 64), np.uint64) for k, bits in RUNS.items()}
 
     def text(self, at: np.ndarray) -> list[str]:
         return self.texts.take(pa.array(self.order[at])).to_pylist()
@@ -259,12 +287,41 @@ class Rows:
     def similar(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
         """Indices of those pairs that are to be compared."""
         at = np.flatnonzero(_near_enough(self.cell[x], self.simhash[x], self.simhash[y], self.chars[x], self.chars[y], least))
-        for i in range(0, len(at), 1 << 16):
-            some = at[i : i + (1 << 16)]
+        for i in range(0, len(at), 1 << 14):
+            some = at[i : i + (1 << 14)]
             a, b = x[some], y[some]
-            at[i : i + (1 << 16)] = np.where(_letters(self.letters[a], self.letters[b], self.chars[a], self.chars[b], least), some, -1)
+            ok = _letters(self.letters[a], self.letters[b], self.chars[a], self.chars[b], least)
+            crowd = ok & self.crowd[a]
+            if crowd.any():
+                ok[crowd] = self._runs_in_common(a[crowd], b[crowd], least)
+            at[i : i + (1 << 14)] = np.where(ok, some, -1)
         return at[at >= 0]
 
+    def beside(self, p: int, end: int, least: float) -> np.ndarray:
+        """Those of the rows p + 1 .. end of the unit that row p is near enough to."""
+        rest = slice(p + 1, end)
+        return np.flatnonzero(_near_enough(self.cell[p], self.simhash[p], self.simhash[rest], self.chars[p], self.chars[rest], least)) + p + 1
+
+    def _runs_in_common(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+        """Whether lines of crowds can have the similarity: an edit takes as many runs as a run has characters at most, and gives as many."""
+        new = np.unique(np.concatenate([x, y]))
+        new = new[~self.known[new]]
+        for i in range(0, len(new), 1 << 10):
+            some = new[i : i + (1 << 10)]
+            texts = self.text(some)
+            for k, bits in RUNS.items():
+                self.runs[k][self.place[some]] = run_bits(texts, k, bits)
+        self.known[new] = True
+        most, left = np.maximum(self.chars[x], self.chars[y]) * (1 - least) + 1e-9, np.arange(len(x))
+        for k, runs in self.runs.items():
+            ok = np.zeros(len(left), bool)
+            for i in range(0, len(left), 1 << 12):
+                some = left[i : i + (1 << 12)]
+                a, b = runs[self.place[x[some]]], runs[self.place[y[some]]]
+                ok[i : i + (1 << 12)] = np.maximum(np.bitwise_count(a & ~b).sum(axis=1), np.bitwise_count(b & ~a).sum(axis=1)) <= k * most[some]
+            left = left[ok]
+        return np.isin(np.arange(len(x)), left)
+
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Those rows (cell, id) of a partition that do not have a cell to themselves, once each, and how many rows the cell has."""
@@ -333,8 +390,10 @@ def _linked(least: float, apart: bool = False):
         label = np.unique(rows.root, return_inverse=True)[1] if apart else np.arange(len(of))
         live, nth = np.flatnonzero(end - begin > 1), 0
         a, b, hard, held = [], [], [], 0
+        joined = np.ones(len(begin), bool)  # units that may be one since it was last asked
 
         def join(p, q):
+            joined[of[p]] = True
             unit = label[begin[of[p]] : end[of[p]]]
             unit[unit == label[q]] = label[p]
             a.append(rows.id[p])
@@ -351,8 +410,13 @@ def _linked(least: float, apart: bool = False):
 
         while len(live):
             n = end[live] - begin[live] - nth - 1
-            x = np.repeat(begin[live] + nth, n)
+            many = n >= CROWD * 8  # looked at one by one, where they lie
+            found = [(p, rows.beside(p, e, least)) for p, e in zip((begin[live[many]] + nth).tolist(), end[live[many]].tolist(), strict=True)]
+            n = n[~many]
+            x = np.repeat(begin[live[~many]] + nth, n)
             y = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + x + 1
+            x = np.concatenate([x, *[np.full(len(q), p) for p, q in found]])
+            y = np.concatenate([y, *[q for _, q in found]])
             open_ = label[x] != label[y]
             if apart:
                 open_ &= rows.side[x] != rows.side[y]
@@ -382,11 +446,14 @@ def _linked(least: float, apart: bool = False):
                             held = 0
             nth += 1
             live = live[end[live] - begin[live] > nth + 1]
-            if len(live):  # units that are one by now are done
-                n = end[live] - begin[live]
-                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[live], n)
+            some = live[joined[live]]
+            joined[some] = False
+            if len(some):  # units that are one by now are done
+                n = end[some] - begin[some]
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[some], n)
                 first = np.cumsum(n) - n
-                live = live[np.minimum.reduceat(label[at], first) != np.maximum.reduceat(label[at], first)]
+                one = some[np.minimum.reduceat(label[at], first) == np.maximum.reduceat(label[at], first)]
+                live = live[~np.isin(live, one)]
         settle()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
