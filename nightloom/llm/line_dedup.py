@@ -262,10 +262,10 @@ class Rows:
         for name in ("root", "side"):
             if name in more:
                 setattr(self, name, table[name].to_numpy()[order])
+        self.crowd = np.repeat((size >= CROWD) & ("text" in more), size)
         if "text" in more:
             self.order, self.texts, self.cells = order, table["text"], table["cells"]
             self.met: dict[int, set[int]] = {}
-            self.crowd = np.repeat(size >= CROWD, size)
             self.place = np.cumsum(self.crowd) - 1
             self.known, self.runs = np.zeros(len(unit), bool), {k: np.empty((int(self.crowd.sum()), bits // 64), np.uint64) for k, bits in RUNS.items()}
 
