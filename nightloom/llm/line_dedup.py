@@ -41,7 +41,8 @@ LEAST_WORDS = 4  # of a segment
 MOST = 8192  # lines of a cell that one task compares
 SAMPLE, HOT = 16, 16  # cut_up(): a cell that has HOT lines among one class in SAMPLE is cut up
 BROADCAST_ROWS = 100_000  # of 16 bytes
-CROWD = 32  # lines of a unit, most of whose pairs share a phrase and no more
+MANY = 256  # lines of a unit that are looked at where they lie, one line beside all others
+CROWD = 512  # lines of a unit in which each meets several that only share a phrase with it, so that its runs are worth their making
 RUNS = {5: 16384, 3: 4096}  # characters of a run, for long and short lines, and bits that tell which runs a line of a crowd has
 VERIFIED = 4096  # pairs whose texts are taken at once
 ALIKE = 8  # bits, of most copies
@@ -410,7 +411,7 @@ def _linked(least: float, apart: bool = False):
 
         while len(live):
             n = end[live] - begin[live] - nth - 1
-            many = n >= CROWD * 8  # looked at one by one, where they lie
+            many = n >= MANY
             found = [(p, rows.beside(p, e, least)) for p, e in zip((begin[live[many]] + nth).tolist(), end[live[many]].tolist(), strict=True)]
             n = n[~many]
             x = np.repeat(begin[live[~many]] + nth, n)

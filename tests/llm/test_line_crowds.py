@@ -40,9 +40,10 @@ def parts(n, links):
     return {frozenset(np.flatnonzero(root == r).tolist()) for r in np.unique(root)}
 
 
-@pytest.mark.parametrize("n", [200, 450])  # the second one is looked at line by line
+@pytest.mark.parametrize("n", [480, 700])
 def test_links_of_a_crowd_against_all_pairs(n, monkeypatch):
     texts = crowd(random.Random(n), n)
+    assert len(texts) >= line_dedup.CROWD
     rows, hashed = batch(texts)
     compared = []
     monkeypatch.setattr(line_dedup, "edits_within", lambda a, b, most, f=line_dedup.edits_within: compared.extend(a) or f(a, b, most))
